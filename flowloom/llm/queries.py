@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from flowloom.llm.copies import copy_counts, later_copies
+from flowloom.llm.leaks import leaked_items, leaked_passages
 from flowloom.llm.tokens import encoded
 from flowloom.sources.tables import table
 
@@ -25,7 +26,16 @@ def p7_ids(spark: SparkSession, root: str) -> DataFrame:
     return encoded(table(spark, root, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p4_found, p4_counts, p7_ids)}
+def p8_found(spark: SparkSession, root: str) -> DataFrame:
+    return leaked_items(table(spark, root, "documents"), table(spark, root, "eval_items"))
+
+
+def p8_passages(spark: SparkSession, root: str) -> DataFrame:
+    """Where each leaked passage stands and how many words it has."""
+    return leaked_passages(table(spark, root, "documents"), table(spark, root, "eval_items"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p4_found, p4_counts, p7_ids, p8_found, p8_passages)}
 
 _KEY = "trim(regexp_replace(lower({x}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
 _P4 = f"""
