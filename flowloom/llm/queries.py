@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from flowloom.llm.copies import copy_counts, later_copies
 from flowloom.llm.leaks import leaked_items, leaked_passages
+from flowloom.llm.quality import not_prose, text_types
 from flowloom.llm.tokens import encoded
 from flowloom.sources.tables import table
 
@@ -35,7 +36,16 @@ def p8_passages(spark: SparkSession, root: str) -> DataFrame:
     return leaked_passages(table(spark, root, "documents"), table(spark, root, "eval_items"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p4_found, p4_counts, p7_ids, p8_found, p8_passages)}
+def p9_found(spark: SparkSession, root: str) -> DataFrame:
+    return not_prose(table(spark, root, "documents"))
+
+
+def p9_statistics(spark: SparkSession, root: str) -> DataFrame:
+    """The statistics and the type of every document."""
+    return text_types(table(spark, root, "documents"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p4_found, p4_counts, p7_ids, p8_found, p8_passages, p9_found, p9_statistics)}
 
 _KEY = "trim(regexp_replace(lower({x}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
 _P4 = f"""
