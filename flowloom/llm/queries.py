@@ -10,11 +10,16 @@ from flowloom.llm.copies import copy_counts, later_copies
 from flowloom.llm.leaks import leaked_items, leaked_passages
 from flowloom.llm.quality import not_prose, text_types
 from flowloom.llm.tokens import encoded
+from flowloom.llm.valuemap import typed_values
 from flowloom.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def p3_found(spark: SparkSession, root: str) -> DataFrame:
+    return typed_values(*[table(spark, root, t) for t in ("context_norm", "flow_synonyms", "context_list", "flow_list")])
+
+
 def p4_found(spark: SparkSession, root: str) -> DataFrame:
     return later_copies(table(spark, root, "flow_records"))
 
@@ -45,7 +50,7 @@ def p9_statistics(spark: SparkSession, root: str) -> DataFrame:
     return text_types(table(spark, root, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p4_found, p4_counts, p7_ids, p8_found, p8_passages, p9_found, p9_statistics)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p3_found, p4_found, p4_counts, p7_ids, p8_found, p8_passages, p9_found, p9_statistics)}
 
 _KEY = "trim(regexp_replace(lower({x}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
 _P4 = f"""
