@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from flowloom.llm.copies import copy_counts, later_copies
 from flowloom.llm.leaks import leaked_items, leaked_passages
+from flowloom.llm.linkage import linked
 from flowloom.llm.quality import not_prose, text_types
 from flowloom.llm.tokens import encoded
 from flowloom.llm.valuemap import typed_values
@@ -28,6 +29,19 @@ def p4_counts(spark: SparkSession, root: str) -> DataFrame:
     return copy_counts(table(spark, root, "flow_records"))
 
 
+def _linked(spark: SparkSession, root: str) -> DataFrame:
+    return linked(*[table(spark, root, t) for t in ("source_records", "biosphere_catalog", "context_list")])
+
+
+def p5_found(spark: SparkSession, root: str) -> DataFrame:
+    return _linked(spark, root).select("source_id", "db", "code").distinct()
+
+
+def p5_confidence(spark: SparkSession, root: str) -> DataFrame:
+    """Every match with its confidence."""
+    return _linked(spark, root)
+
+
 def p7_ids(spark: SparkSession, root: str) -> DataFrame:
     return encoded(table(spark, root, "documents"))
 
@@ -50,7 +64,7 @@ def p9_statistics(spark: SparkSession, root: str) -> DataFrame:
     return text_types(table(spark, root, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p3_found, p4_found, p4_counts, p7_ids, p8_found, p8_passages, p9_found, p9_statistics)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p3_found, p4_found, p4_counts, p5_found, p5_confidence, p7_ids, p8_found, p8_passages, p9_found, p9_statistics)}
 
 _KEY = "trim(regexp_replace(lower({x}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
 _P4 = f"""
