@@ -20,11 +20,13 @@ SHIFT = 3e-10
 ORACLE: dict[str, str] = {}
 
 
-def query(oracle: str | None = None) -> Callable[[Query], Query]:
+def query(oracle: str | None = None, queries: dict | None = None, oracles: dict | None = None) -> Callable[[Query], Query]:
+    """Registers a query and the SQL that gives the same rows."""
+
     def add(f: Query) -> Query:
-        QUERIES[f.__name__] = f
+        (QUERIES if queries is None else queries)[f.__name__] = f
         if oracle:
-            ORACLE[f.__name__] = oracle.replace(", 6)", f" + {SHIFT}, 6)")
+            (ORACLE if oracles is None else oracles)[f.__name__] = oracle.replace(", 6)", f" + {SHIFT}, 6)")
         return f
 
     return add
@@ -233,10 +235,10 @@ def inventory_topn(spark: SparkSession, root: str) -> DataFrame:
     return top.select("demand_id", "row_id", *r6("amount"), F.col("rank").cast("long").alias("rank"))
 
 
-@query(sql("s", "b", "q") + ", c as (select demand_id, method, row_id, sum(supply * value) * cf as x from s join b using (col_id) join q using (row_id) group by demand_id, method, row_id, cf) select demand_id, method, row_id, contribution, abs_share from (select demand_id, method, row_id, round(x, 6) as contribution, round(abs(x) / sum(abs(x)) over (partition by demand_id, method), 6) as abs_share, x from c) where abs(x) > 1e-7")
+@query(sql("s", "b", "q") + ", c as (select demand_id, method, row_id, sum(supply * value) * cf as x from s join b using (col_id) join q using (row_id) group by demand_id, method, row_id, cf) select demand_id, method, row_id, contribution, abs_share from (select demand_id, method, row_id, round(x, 6) as contribution, round(abs(x) / sum(abs(x)) over (partition by demand_id, method), 6) as abs_share, x from c) where abs(x) > 1e-6")
 def flow_contrib(spark: SparkSession, root: str) -> DataFrame:
     _, b, q = _abq(spark, root)
-    return score.flow_contributions(_supply(spark, root), b, q).where("abs(contribution) > 1e-7").select("demand_id", "method", "row_id", *r6("contribution", "abs_share"))
+    return score.flow_contributions(_supply(spark, root), b, q).where("abs(contribution) > 1e-6").select("demand_id", "method", "row_id", *r6("contribution", "abs_share"))
 
 
 @query(sql("s", "b", "q") + "select demand_id, method, col_id, round(supply * x, 6) as contribution from s join (select method, col_id, sum(value * cf) as x from b join q using (row_id) group by 1, 2) using (col_id) where abs(supply * x) > 1e-7")
