@@ -144,6 +144,8 @@ def spelling_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(s, u, to[u][0], to[u][1].scale) for s, u in rows.items()], "spelling string, unit string, kind string, scale double")
 
 
+#: Characters of the longest cell or note that is read.
+LONGEST_CELL = 300
 _NUMBER = r"(10\^[0-9]+|[0-9]+(?:[.,][0-9]+)?(?:[eE][+-]?[0-9]+)?)"
 #: multiple, unit, multiple, multiple of '100 kg', 'kg x 100', 'kg (x100)', '[kg]', '10^6 kg', 'kg.'
 _CELL_FORM = rf"(?U)^\s*\[?\s*(?:{_NUMBER}\s*[x×]?\s+)?(\S.*?)(?:\s*\(\s*[x×]\s*{_NUMBER}\s*\)|\s+[x×]\s*{_NUMBER})?[\s.]*\]?[\s.]*$"
@@ -176,7 +178,12 @@ def _with_unit(df: DataFrame, cell: Column, name: str, spellings: DataFrame) ->
     exact = [s for words in SPELLINGS.values() for s in words]
     base, times = unit_parts(cell)
     df = df.withColumn("_b", base).withColumn("_t", times)
-    df = df.withColumn("_b", F.when(F.col("_b").isin(exact), F.col("_b")).otherwise(F.lower("_b")))
+    meant: dict[str, set] = {}
+    for u, words in SPELLINGS.items():
+        for s in words:
+            meant.setdefault(s.lower(), set()).add(u)
+    doubtful = [s for s, us in meant.items() if len(us) > 1]  # in another letter case these may be either unit
+    df = df.withColumn("_b", F.when(F.col("_b").isin(exact), F.col("_b")).when(~F.lower("_b").isin(doubtful), F.lower("_b")))
     s = spellings.select(F.col("spelling").alias("_b"), F.col("unit").alias(f"{name}_unit"), F.col("kind").alias(f"{name}_kind"), F.col("scale").alias("_s"))
     df = df.join(F.broadcast(s), "_b", "left")
     return df.withColumn(f"{name}_scale", F.col("_t") * F.col("_s")).drop("_b", "_t", "_s")
@@ -187,17 +194,20 @@ def common_factors(df: DataFrame, source: str = "source_unit", target: str = "ta
 
     common_factor is how many common target units one common source unit is. It is null where the factor is
     null or NaN, or a unit can't be read as one of the known kinds. Blank and placeholder cells take their
-    unit from the note. No row is dropped, and columns of other names pass through.
+    unit from the note. Cells and notes of more than LONGEST_CELL characters hold no unit. No row is dropped;
+    columns of other names pass through, those of these names are replaced.
     """
     sp = spelling_table(df.sparkSession)
+    names = ("source_kind", "target_kind", "source_base", "target_base", "common_factor")
+    short = lambda c: F.when(F.length(c) <= LONGEST_CELL, c)
     cells = {}
     for side, c in (("S", source), ("T", target)):
         cell = F.col(c).cast("string")
-        cells[side] = F.when(_is_placeholder(cell), note_unit(F.col(note).cast("string"), side)).otherwise(cell) if note else cell
+        cells[side] = F.when(_is_placeholder(short(cell)), note_unit(short(F.col(note).cast("string")), side)).otherwise(short(cell)) if note else short(cell)
     out = df.withColumn("_sc", cells["S"]).withColumn("_tc", cells["T"])
     out = _with_unit(_with_unit(out, F.col("_sc"), "_src", sp), F.col("_tc"), "_tgt", sp)
     return out.select(
-        *df.columns,
+        *[c for c in df.columns if c not in names],
         F.col("_src_kind").alias("source_kind"),
         F.col("_tgt_kind").alias("target_kind"),
         F.col("_src_unit").alias("source_base"),
