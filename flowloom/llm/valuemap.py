@@ -177,7 +177,7 @@ class Lexicon:
             return False
         if bare.isdigit():
             return True
-        return any(bare == x or (len(x) >= 6 and edits(bare, x) <= 2) for x in DECORATIONS)
+        return any(bare == x or (len(x) >= 6 and abs(len(x) - len(bare)) <= 2 and edits(bare, x) <= 2) for x in DECORATIONS)
 
 
 def _tokens(text: str) -> list[str]:
@@ -192,6 +192,7 @@ class Matcher:
     def __init__(self, entries: Iterable[tuple[int, Words]]):
         entries = [(i, w) for i, w in entries]
         self.lexicon = Lexicon(x for _, w in entries for x in w)
+        self.longest = max((len(x) for x in self.lexicon.words), default=0)
         self.exact: dict[Words, set[int]] = {}
         for i, w in entries:
             self.exact.setdefault(tuple(sorted(w)), set()).add(i)
@@ -199,6 +200,8 @@ class Matcher:
 
     def nearest(self, tokens: list[str]) -> tuple[int, int] | None:
         """(distance, ref_id) of the entry meant; None if there is none or if two are equally near."""
+        if any(len(t) > self.longest + RADIUS + 1 for t in tokens):  # too far from every word
+            return None
         options = [self.lexicon.readings(t) for t in tokens]
         best: dict[int, int] = {}
         for words in product(*options) if len(tokens) <= 12 else [tuple(o[0] for o in options)]:
@@ -229,7 +232,7 @@ class FlowMatcher:
 
     def find(self, value: str | None) -> tuple[int, int] | None:
         lex = self.matcher.lexicon
-        tokens = [t for t in _tokens(value or "") if not lex.is_decoration(t) and (t in lex.known or not any(edits(t, w) <= 1 for w in LEADING))]
+        tokens = [t for t in _tokens(value or "") if not lex.is_decoration(t) and (t in lex.known or not any(abs(len(t) - len(w)) <= 1 and edits(t, w) <= 1 for w in LEADING))]
         return self.matcher.nearest(tokens) if tokens else None
 
 
@@ -280,6 +283,8 @@ class ContextMatcher:
             return self.forms[plain]
         near: dict[str, int] = {}
         for form, top in self.forms.items():
+            if abs(len(plain) - len(form)) > 2:
+                continue
             d = edits(plain, form)
             if d <= (1 if len(form) <= 5 else 2):
                 near[top] = min(near.get(top, d), d)
