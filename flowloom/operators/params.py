@@ -76,8 +76,9 @@ def environment(inputs: dict[str, float], calculated: list[tuple[str, str]]) ->
     return env
 
 
-def names_in(formula: str) -> set[str]:
-    return set(re.findall(r"[A-Za-z_]\w*", formula or ""))
+@lru_cache(maxsize=50_000)
+def names_in(formula: str) -> frozenset[str]:
+    return frozenset(re.findall(r"[A-Za-z_]\w*", formula or ""))
 
 
 def referenced(formula: Column) -> Column:
@@ -146,7 +147,8 @@ def reevaluate(parameters: DataFrame, exchanges: DataFrame, plan: DataFrame, rat
                 inputs = {x["name"]: float(x["amount"] or 0.0) for x in params if x["kind"] == "input"}
                 calc = [(x["name"], x["formula"]) for x in params if x["kind"] == "calculated"]
                 try:
-                    base, new = environment(inputs, calc), environment(inputs | {x["name"]: x["value"] for x in plan_}, calc)
+                    base = environment(inputs, calc) if ratio else {}
+                    new = environment(inputs | {x["name"]: x["value"] for x in plan_}, calc)
                 except FormulaError as error:
                     out += [(code, x["exchange_index"], x["amount"], x["amount"], str(error)[:200]) for x in ex]
                     continue

@@ -13,12 +13,26 @@ def inventory(s: DataFrame, b: DataFrame) -> DataFrame:
     return s.join(b, "col_id").groupBy("demand_id", "row_id").agg(F.sum(F.col("supply") * F.col("value")).alias("amount"))
 
 
+def per_activity(b: DataFrame, q: DataFrame, corrections: DataFrame | None = None) -> DataFrame:
+    """method, col_id, x: what one unit of an activity scores, Q B + C. A few rows for each activity, however many flows it has."""
+    x = b.join(q, "row_id").groupBy("method", "col_id").agg(F.sum(F.col("value") * F.col("cf")).alias("x"))
+    if corrections is None:
+        return x
+    return x.unionByName(corrections.select("method", "col_id", F.col("value").alias("x"))).groupBy("method", "col_id").agg(F.sum("x").alias("x"))
+
+
 def scores(s: DataFrame, b: DataFrame, q: DataFrame, corrections: DataFrame | None = None) -> DataFrame:
-    """demand_id, method, score = Q B s + C s; supply and inventory are formed once for all methods."""
-    plain = inventory(s, b).join(q, "row_id").select("demand_id", "method", (F.col("amount") * F.col("cf")).alias("x"))
-    if corrections is not None:
-        plain = plain.unionByName(s.join(corrections, "col_id").select("demand_id", "method", (F.col("supply") * F.col("value")).alias("x")))
-    return plain.groupBy("demand_id", "method").agg(F.sum("x").alias("score"))
+    """demand_id, method, score = (Q B + C) s.
+
+    The factors meet the emissions of the activities first, so the supply of all demands is joined with one row
+    for each activity and method instead of every emission.
+    """
+    return s.join(per_activity(b, q, corrections), "col_id").groupBy("demand_id", "method").agg(F.sum(F.col("supply") * F.col("x")).alias("score"))
+
+
+def scores_by_inventory(s: DataFrame, b: DataFrame, q: DataFrame) -> DataFrame:
+    """The same by way of the inventory, Q (B s): for checks, and where the inventory is wanted anyway."""
+    return inventory(s, b).join(q, "row_id").groupBy("demand_id", "method").agg(F.sum(F.col("amount") * F.col("cf")).alias("score"))
 
 
 def top_inventory(s: DataFrame, b: DataFrame, n: int) -> DataFrame:
@@ -35,9 +49,7 @@ def flow_contributions(s: DataFrame, b: DataFrame, q: DataFrame) -> DataFrame:
 
 def activity_contributions(s: DataFrame, b: DataFrame, q: DataFrame, corrections: DataFrame | None = None) -> DataFrame:
     """demand_id, method, col_id, contribution = ((Q B) + C) s, share of the corrected score."""
-    per = b.join(q, "row_id").groupBy("method", "col_id").agg(F.sum(F.col("value") * F.col("cf")).alias("x"))
-    if corrections is not None:
-        per = per.unionByName(corrections.select("method", "col_id", F.col("value").alias("x"))).groupBy("method", "col_id").agg(F.sum("x").alias("x"))
+    per = per_activity(b, q, corrections)
     c = s.join(per, "col_id").select("demand_id", "method", "col_id", (F.col("supply") * F.col("x")).alias("contribution")).where("contribution <> 0")
     t = c.groupBy("demand_id", "method").agg(F.sum("contribution").alias("_t"))
     return c.join(t, ["demand_id", "method"]).select("demand_id", "method", "col_id", "contribution", F.try_divide("contribution", "_t").alias("share"))

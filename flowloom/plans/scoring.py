@@ -281,8 +281,7 @@ def parity_check(spark: SparkSession, root: str) -> DataFrame:
     """Scores by way of the inventory against scores by way of the activities."""
     _, b, q = _abq(spark, root)
     s = _supply(spark, root)
-    other = score.activity_contributions(s, b, q).groupBy("demand_id", "method").agg(F.sum("contribution").alias("score"))
-    p = score.parity(score.scores(s, b, q), other)
+    p = score.parity(score.scores(s, b, q), score.scores_by_inventory(s, b, q))
     return p.select("method", "n", *r6("max_error"), "ok")
 
 
