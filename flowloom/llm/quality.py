@@ -33,10 +33,13 @@ _WORD = re.compile(r"[^\W\d_]+")
 _BULLET = re.compile(r"^\s*(?:[-*•·–—+◦▪‣>»]|\d{1,3}[.)]|\(?[a-zA-Z0-9]{1,3}\)|[a-zA-Z][.)]|\[[ xX✓]?\])\s+\S")
 _RULE_LINE = re.compile(r"^[\s|+:=_-]{3,}$")
 _GAPS = re.compile(r"\S\s{2,}(?=\S)")
-_ODD = re.compile(r"[�¤]|Ã|â€|ï¿½|Â(?=\S)")
-_TAG = re.compile(r"</?[a-zA-Z][^<>]{0,80}>|&#?\w{2,8};")
-_HEX = re.compile(r"^(?:0x)?[0-9a-fA-F]{2,}(?::\d+)?$")
-_VOWEL = re.compile(r"[aeiouyàâäéèêëîïôöùûüœæAEIOUYÀÂÉÈÊÎÔÙÛ]")
+_ODD = re.compile(r"[�¤]|ã|â€|ï¿½")
+_TAG = re.compile(r"</?[a-z][^<>]{0,80}>|&#?\w{2,8};")
+_HEX = re.compile(r"(?<!\S)(?:0x)?[0-9a-f]{2,}(?::\d+)?(?!\S)")
+_NO_VOWEL = re.compile(r"(?<!\S)[bcdfghjklmnpqrstvwxzç]{3,}(?!\S)")
+_SINGLE = re.compile(r"(?<!\S)\S(?!\S)")
+_DIGITS = re.compile(r"\d+")
+_SENTENCE = re.compile(r"(?<=[.!?])\s+|[\r\n]+")
 _END = (".", "!", "?", ";", ":", "…", ".\"", ".»", ".)")
 
 
@@ -76,64 +79,61 @@ def statistics_of(text: str | None) -> tuple:
     text = text or ""
     if not text.strip():
         return (0, 0.0, 0.0, 0.0, 0.0, 0) + (0.0,) * 13 + (0, 0.0)
+    text = text.lower()
     lines = [x for x in _LINE.split(text) if x and not x.isspace()]
     tokens = text.split()
-    words = [w.lower() for w in _WORD.findall(text)]
-    n = len(words)
-    n1 = max(1, n)
     solid = sum(map(len, tokens))
-    common = sum(w in COMMON for w in words)
-    alnum = sum(map(str.isalnum, text))
-    digits = sum(map(str.isdigit, text))
     # lines: rows of a table share delimiter and number of cells; bullets; sentences; plain entries
     rows: Counter = Counter()
-    bullets = entries = ended = 0
-    sentence = total = 0
+    words: list[str] = []
+    bullets = entries = ended = sentence = total = common = 0
+    is_common = COMMON.__contains__
     for x in lines:
         ws = _WORD.findall(x)
-        size = max(1, len(ws))
+        words += ws
+        n_ws = len(ws)
+        known = sum(map(is_common, ws))
+        common += known
+        size = max(1, n_ws)
         total += size
         ended += x.rstrip().endswith(_END)
-        near = sum(w.lower() in COMMON for w in ws) / size
+        near = known / size
         if _RULE_LINE.match(x):
             rows["rule"] += 1
             continue
         d, cells = _delimited(x)
         if d:
             rows[(d, cells)] += 1
-        if near >= 0.22 and len(ws) >= 6 and (cells < 3 or d in ";, "):
+        if near >= 0.22 and n_ws >= 6 and (cells < 3 or d in ";, "):
             sentence += size
         if _BULLET.match(x):
             bullets += 1
-        elif len(ws) <= 12 and near < 0.2 and len(x) <= 120:
+        elif n_ws <= 12 and near < 0.2 and len(x) <= 120:
             entries += 1
+    n1, n_lines, n_tokens = max(1, len(words)), len(lines), len(tokens)
     same = sum(c for k, c in rows.items() if k == "rule" or c >= 2)
-    counted = Counter(tokens)
-    letters = [t for t in tokens if t.isalpha() and len(t) >= 3]
-    odd = sum(map(len, _ODD.findall(text)))
-    tags = sum(map(len, _TAG.findall(text)))
-    hexes = sum(1 for t in tokens if _HEX.match(t) and (any(c.isdigit() for c in t) or len(t) == 2))
-    sentences = [s for s in re.split(r"(?<=[.!?])\s+|[\r\n]+", text) if len(s) > 20]
+    letters, digits = sum(map(len, words)), sum(map(len, _DIGITS.findall(text)))
+    sentences = [s for s in _SENTENCE.split(text) if len(s) > 20]
     return (
-        n,
-        sum(map(len, words)) / n1,
-        (solid - alnum) / max(1, len(text)),
-        ended / len(lines),
+        len(words),
+        letters / n1,
+        (solid - letters - digits) / len(text),
+        ended / n_lines,
         common / n1,
-        len(lines),
-        n / len(lines),
-        bullets / len(lines),
-        same / len(lines) if same >= 2 else 0.0,
-        entries / len(lines),
+        n_lines,
+        len(words) / n_lines,
+        bullets / n_lines,
+        same / n_lines if same >= 2 else 0.0,
+        entries / n_lines,
         sentence / total,
-        digits / max(1, solid),
-        odd / max(1, solid),
-        tags / max(1, solid),
-        hexes / len(tokens),
-        sum(1 for t in letters if not _VOWEL.search(t)) / max(1, len(letters)),
+        digits / solid,
+        sum(map(len, _ODD.findall(text))) / solid,
+        sum(map(len, _TAG.findall(text))) / solid,
+        sum(1 for t in _HEX.findall(text) if len(t) == 2 or not t.isalpha()) / n_tokens,
+        len(_NO_VOWEL.findall(text)) / n1,
         len(set(words)) / n1,
-        counted.most_common(1)[0][1] / len(tokens),
-        sum(len(t) == 1 for t in tokens) / len(tokens),
+        max(Counter(tokens).values()) / n_tokens,
+        len(_SINGLE.findall(text)) / n_tokens,
         max(map(len, tokens)),
         1 - len(set(sentences)) / len(sentences) if sentences else 0.0,
     )
