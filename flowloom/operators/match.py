@@ -76,23 +76,25 @@ def resolved_targets(registry: DataFrame, catalog: DataFrame, preferred: list[st
     return direct.unionByName(best)
 
 
-def tiered_match(exchanges: DataFrame, registry: DataFrame, catalog: DataFrame, conversions: DataFrame, preferred: list[str], reviewed: bool = True) -> DataFrame:
-    """exc_id, tier, provenance, t_db, t_code, multiplier of each exchange that the registry links.
+_SIGNATURE = ["s_name", "s_bucket", "s_sub", "s_unit", "s_cas", "s_linked"]
 
-    exchanges: exc_id, name, categories, unit, cas, linked. registry: the mapping columns. Candidates have the
-    exchange's name and compartment (or none), or name and registry number; only if there is no candidate of its
-    own compartment or of none, those of other compartments count. In the order of tier, provenance,
-    sub-compartment, code and name the first valid one wins, unless an unmatchable row comes before it. A
-    candidate is valid if its target is known and its unit converts, if it isn't switched off, and if a tier
-    that only fills gaps meets an exchange that isn't linked.
 
+def _signed(exchanges: DataFrame) -> DataFrame:
+    """exc_id and the signature: all that a match depends on."""
+    return exchanges.select(
+        "exc_id", F.lower(F.trim("name")).alias("s_name"), bucket_of(F.col("categories")).alias("s_bucket"), F.lower(F.trim(sub_compartment(F.col("categories")))).alias("s_sub"),
+        F.trim("unit").alias("s_unit"), F.coalesce(F.trim("cas"), F.lit("")).alias("s_cas"), F.coalesce("linked", F.lit(False)).alias("s_linked"),
+    )
+
+
+def tiered_candidates(exchanges: DataFrame, registry: DataFrame, catalog: DataFrame, conversions: DataFrame, preferred: list[str], reviewed: bool = True) -> DataFrame:
+    """The signature, order (tier, provenance, sub, o_code, o_name), t_db, multiplier and outcome of each candidate of each signature.
+
+    outcome: 'halt_unmatchable', 'switched_off', 'already_linked', 'target_unresolved', 'unit_mismatch' or 'valid'.
     Exchanges are reduced to signatures and the registry to distinct rows before they meet, so that a name which
     a third of all exchanges share is matched once for each way of writing it.
     """
-    sig = [F.lower(F.trim("name")).alias("s_name"), bucket_of(F.col("categories")).alias("s_bucket"), F.lower(F.trim(sub_compartment(F.col("categories")))).alias("s_sub"), F.trim("unit").alias("s_unit"), F.coalesce(F.trim("cas"), F.lit("")).alias("s_cas"), F.coalesce("linked", F.lit(False)).alias("s_linked")]
-    names = ["s_name", "s_bucket", "s_sub", "s_unit", "s_cas", "s_linked"]
-    e = exchanges.select("exc_id", *sig)
-    s = e.select(*names).where("s_name is not null").distinct()
+    s = _signed(exchanges).select(*_SIGNATURE).where("s_name is not null").distinct()
     reg = registry.select(
         F.lower(F.trim("source_name")).alias("r_name"), F.coalesce(blank_to_null("source_top_bucket"), F.lit("unspecified")).alias("r_bucket"), F.coalesce(F.trim("source_cas"), F.lit("")).alias("r_cas"),
         "target_db", "target_code", "target_name", "target_unit", F.coalesce(F.when(F.col("unit_conversion") != 0, F.col("unit_conversion")), F.lit(1.0)).alias("r_factor"),
@@ -103,24 +105,76 @@ def tiered_match(exchanges: DataFrame, registry: DataFrame, catalog: DataFrame,
     c = s.join(reg, F.col("s_name") == F.col("r_name"))
     own = (F.col("r_bucket") == F.col("s_bucket")) | (F.col("r_bucket") == "unspecified")
     by_cas = (F.col("s_cas") != "") & (F.col("s_cas") == F.col("r_cas"))
-    c = c.withColumn("_own", own).withColumn("_any", F.max(own).over(Window.partitionBy(*names)))
+    c = c.withColumn("_own", own).withColumn("_any", F.max(own).over(Window.partitionBy(*_SIGNATURE)))
     c = c.where(F.col("_own") | by_cas | (~F.col("_any") & (F.col("s_bucket") != "unspecified")))
     c = c.join(targets.withColumnsRenamed({"bucket": "s_bucket"}), ["rid", "s_bucket"], "left")
     c = multiplier(c, "s_unit", "t_unit", conversions, row_factor="r_factor")
-    order = [F.col("tier"), F.col("provenance"), sub_rank(F.col("s_sub"), F.col("t_categories")).alias("sub"), F.coalesce("t_code", F.lit("")).alias("o_code"), F.coalesce("target_name", F.lit("")).alias("o_name")]
-    valid = ~F.col("halt") & F.col("t_code").isNotNull() & F.col("multiplier").isNotNull() & ~(F.col("tier").isin(*FILL_ONLY) & F.col("s_linked"))
-    if not reviewed:
-        valid = valid & ~F.col("tier").isin(*SWITCHED)
-    picked = c.groupBy(*names).agg(
-        F.min(F.when(valid, F.struct(*order, F.coalesce("t_db", F.lit("")).alias("t_db"), "multiplier"))).alias("best"),
-        F.min(F.when(F.col("halt"), F.struct(*order))).alias("stop"),
-    )
-    before = F.struct(*[F.col(f"best.{n}") for n in ("tier", "provenance", "sub", "o_code", "o_name")])
-    picked = picked.where(F.col("best").isNotNull() & (F.col("stop").isNull() | (before < F.col("stop"))))
-    out = e.join(picked.select(*names, "best.*"), names)
+    off = F.lit(False) if reviewed else F.col("tier").isin(*SWITCHED)
+    outcome = (
+        F.when(F.col("halt"), "halt_unmatchable").when(off, "switched_off").when(F.col("tier").isin(*FILL_ONLY) & F.col("s_linked"), "already_linked")
+        .when(F.col("t_code").isNull(), "target_unresolved").when(F.col("multiplier").isNull(), "unit_mismatch").otherwise("valid")
+    )
+    return c.select(
+        *_SIGNATURE, "tier", "provenance", sub_rank(F.col("s_sub"), F.col("t_categories")).alias("sub"), F.coalesce("t_code", F.lit("")).alias("o_code"), F.coalesce("target_name", F.lit("")).alias("o_name"),
+        F.coalesce("t_db", F.lit("")).alias("t_db"), "multiplier", outcome.alias("outcome"),
+    )
+
+
+_ORDER = ["tier", "provenance", "sub", "o_code", "o_name"]
+
+
+def _picked(candidates: DataFrame) -> DataFrame:
+    """For each signature its best candidate (null if an unmatchable one comes first) and counts of the outcomes."""
+    valid, halt = F.col("outcome") == "valid", F.col("outcome") == "halt_unmatchable"
+    g = candidates.groupBy(*_SIGNATURE).agg(
+        F.min(F.when(valid, F.struct(*_ORDER, "t_db", "multiplier"))).alias("best"), F.min(F.when(halt, F.struct(*_ORDER))).alias("stop"), F.count(F.lit(1)).alias("n"),
+        F.count_if(halt).alias("n_halt"), F.count_if(F.col("outcome") == "unit_mismatch").alias("n_unit"), F.count_if(F.col("outcome") == "target_unresolved").alias("n_open"),
+    )
+    before = F.struct(*[F.col(f"best.{n}") for n in _ORDER])
+    return g.withColumn("best", F.when(F.col("stop").isNull() | (before < F.col("stop")), F.col("best")))
+
+
+def tiered_match(exchanges: DataFrame, registry: DataFrame, catalog: DataFrame, conversions: DataFrame, preferred: list[str], reviewed: bool = True) -> DataFrame:
+    """exc_id, tier, provenance, t_db, t_code, multiplier of each exchange that the registry links.
+
+    exchanges: exc_id, name, categories, unit, cas, linked. registry: the mapping columns. Candidates have the
+    exchange's name and compartment (or none), or name and registry number; only if there is no candidate of its
+    own compartment or of none, those of other compartments count. In the order of tier, provenance,
+    sub-compartment, code and name the first valid one wins, unless an unmatchable row comes before it. A
+    candidate is valid if its target is known and its unit converts, if it isn't switched off, and if a tier
+    that only fills gaps meets an exchange that isn't linked.
+    """
+    p = _picked(tiered_candidates(exchanges, registry, catalog, conversions, preferred, reviewed)).where("best is not null")
+    out = _signed(exchanges).join(p.select(*_SIGNATURE, "best.*"), _SIGNATURE)
     return out.select("exc_id", "tier", "provenance", "t_db", F.col("o_code").alias("t_code"), "multiplier")
 
 
+def match_status(exchanges: DataFrame, registry: DataFrame, catalog: DataFrame, conversions: DataFrame, preferred: list[str], reviewed: bool = True) -> DataFrame:
+    """exc_id, status: matched, recognised_unmatchable, no_registry, unit_mismatch_only, target_unresolved_only or mixed."""
+    p = _picked(tiered_candidates(exchanges, registry, catalog, conversions, preferred, reviewed))
+    status = (
+        F.when(F.col("best").isNotNull(), "matched").when(F.col("n_halt") > 0, "recognised_unmatchable").when(F.col("n").isNull(), "no_registry")
+        .when((F.col("n_unit") > 0) & (F.col("n_open") == 0), "unit_mismatch_only").when((F.col("n_open") > 0) & (F.col("n_unit") == 0), "target_unresolved_only").otherwise("mixed")
+    )
+    # the signature's unit may be null, which is a value of its own here
+    same = [F.col(f"e.{c}").eqNullSafe(F.col(f"p.{c}")) for c in _SIGNATURE]
+    on = same[0]
+    for c in same[1:]:
+        on = on & c
+    return _signed(exchanges).alias("e").join(p.alias("p"), on, "left").select("e.exc_id", status.alias("status"))
+
+
+def match_audit(exchanges: DataFrame, matched: DataFrame) -> DataFrame:
+    """exc_id, kind, prior and new target of each match: 'new_link', or 'override' where another target was linked before.
+
+    exchanges: exc_id, prior_db, prior_code; matched: tiered_match.
+    """
+    m = matched.join(exchanges.select("exc_id", folded("prior_db").alias("prior_db"), folded("prior_code").alias("prior_code")), "exc_id")
+    changed = ~(F.col("prior_code").eqNullSafe(F.col("t_code")) & F.coalesce(F.col("prior_db") == F.col("t_db"), F.lit(True)))
+    kind = F.when(F.col("prior_code").isNull(), "new_link").when(changed, "override")
+    return m.select("exc_id", kind.alias("kind"), "prior_db", "prior_code", F.col("t_db").alias("new_db"), F.col("t_code").alias("new_code"), "tier").where("kind is not null")
+
+
 def first_in_chain(left: DataFrame, right: DataFrame, key: list[str], chain: str, place: str, value: list[str]) -> DataFrame:
     """left with the value of the unique row of right at the first location of left's chain that has one; `chain_rank` from 0."""
     at = left.select(*key, chain).distinct().select("*", F.posexplode(chain).alias("chain_rank", "_at"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowloom.functions import exprs as x
-from flowloom.operators import keep, link, match
+from flowloom.operators import catalog, keep, link, match
 from flowloom.plans.scoring import Query, rnd
 from flowloom.plans.scoring import query as _query
 from flowloom.sources.tables import table
@@ -302,3 +302,121 @@ def activity_locations(spark: SparkSession, root: str) -> DataFrame:
     p = table(spark, root, "part").select(F.col("p_partkey").cast("long").alias("col_id"))
     bg = p.where("col_id % 3 = 0").withColumn("location", F.concat(F.lit("BG"), (F.col("col_id") % 4).cast("string")))
     return link.locations_of(p.withColumn("location", F.lit("PA")), bg, p.where("col_id % 7 = 0").withColumn("location", F.lit("OV")))
+
+
+def _tiered_inputs(spark: SparkSession, root: str) -> tuple:
+    f = table(spark, root, "flow_records")
+    e = f.select(F.col("record_id").alias("exc_id"), "name", "categories", F.get("units", F.lit(0)).alias("unit"), "cas", F.col("target_code").isNotNull().alias("linked"))
+    conv = table(spark, root, "unit_conversion").withColumn("seq", F.col("conv_id"))
+    return e, table(spark, root, "mapping"), table(spark, root, "biosphere_catalog"), conv, PREFERRED
+
+
+_STATUS = _TIERED[: _TIERED.index("best as (select")] + """pick as (select n, b, sub, unit, cas, linked, min(rn) filter (valid) as bn, min(rn) filter (halt) as hn, count(*) filter (halt) as nh,
+  count(*) filter (not halt and not (tier in (5, 8, 9, 10, 11, 12) and linked) and tcode is null) as no_, count(*) filter (not halt and not (tier in (5, 8, 9, 10, 11, 12) and linked) and tcode is not null and multiplier is null) as nu from o group by all),
+st as (select *, case when bn is not null and (hn is null or bn < hn) then 'matched' when nh > 0 then 'recognised_unmatchable' when nu > 0 and no_ = 0 then 'unit_mismatch_only' when no_ > 0 and nu = 0 then 'target_unresolved_only' else 'mixed' end as status from pick)
+select coalesce(st.status, 'no_registry') as status, count(*) as n from exc e left join st on st.n = e.n and st.b = e.b and st.sub = e.sub and st.cas = e.cas and st.linked = e.linked and st.unit is not distinct from e.unit group by 1"""
+
+
+@query(_STATUS)
+def match_status(spark: SparkSession, root: str) -> DataFrame:
+    return match.match_status(*_tiered_inputs(spark, root)).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"with m as ({_TIERED}) select case when {_fold('r.target_code')} is null then 'new_link' else 'override' end as kind, m.tier, count(*) as n from m join flow_records r on r.record_id = m.exc_id where {_fold('r.target_code')} is null or not ({_fold('r.target_code')} = m.t_code and coalesce({_fold('r.target_db')} = m.t_db, true)) group by 1, 2".replace("with m as (\nwith", "with m as (with"))
+def match_audit(spark: SparkSession, root: str) -> DataFrame:
+    f = table(spark, root, "flow_records").select(F.col("record_id").alias("exc_id"), F.col("target_db").alias("prior_db"), F.col("target_code").alias("prior_code"))
+    a = match.match_audit(f, match.tiered_match(*_tiered_inputs(spark, root)))
+    return a.groupBy("kind", "tier").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "select p_partkey::bigint as activity_id, case when p_partkey % 4 = 0 then 'fg' when p_partkey % 4 = 1 then 'bg' when p_partkey % 4 = 2 then 'fg' else '' end as database, case when p_partkey % 4 = 2 then 4 when p_partkey % 4 = 3 then p_partkey else p_partkey end::varchar as code, case when p_partkey % 4 = 2 then p_partkey + 7 when p_partkey % 4 = 3 then p_partkey else p_partkey + 1 end::bigint as product_id from part"
+)
+def column_catalog(spark: SparkSession, root: str) -> DataFrame:
+    p = table(spark, root, "part").select(F.col("p_partkey").cast("long").alias("activity_id"), F.col("p_name").alias("name"))
+    blank = [F.lit("").alias(c) for c in ("type", "unit", "location", "reference_product")]
+    side = lambda db, m: p.where(f"activity_id % 4 = {m}").select("activity_id", F.lit(db).alias("database"), F.col("activity_id").cast("string").alias("code"), "name", *blank, (F.col("activity_id") + 1).alias("product_id"))
+    split = p.where("activity_id % 4 = 2").select(F.col("activity_id").alias("synthetic_id"), F.lit(4).cast("long").alias("activity_id"), (F.col("activity_id") + 7).alias("product_id"))
+    return catalog.column_catalog(p, side("fg", 0), side("bg", 1), split).select("activity_id", "database", "code", "product_id")
+
+
+@query("select o_orderkey as id, case when o_orderkey % 2 = 0 then 'a' || (o_orderkey % 10) when o_orderkey % 3 = 0 then 'b' || (o_orderkey % 10) end as label, case when o_orderkey % 2 = 0 then 0 when o_orderkey % 3 = 0 then 1 end as source from orders")
+def id_labels(spark: SparkSession, root: str) -> DataFrame:
+    o = table(spark, root, "orders").select(F.col("o_orderkey").alias("id"))
+    side = lambda c, m: o.where(f"id % {m} = 0").withColumn("label", F.concat(F.lit(c), (F.col("id") % 10).cast("string")))
+    return catalog.labels_of(o, [side("a", 2), side("b", 3)])
+
+
+_FORM_NAMES = "(select p_partkey as id, p_name || ' {' || case p_partkey % 3 when 0 then 'FR' when 1 then 'GLO' else 'XX' end || '}| ' || case p_partkey % 4 when 0 then 'production' when 1 then 'market for' when 2 then p_name || ' making' else 'nothing known' end || ' | U' as name, p_name as display, case p_partkey % 3 when 0 then 'FR' when 1 then 'GLO' else 'XX' end as loc, case p_partkey % 4 when 0 then 'production' when 1 then 'market for' when 2 then p_name || ' making' else 'nothing known' end as activity from part)"
+
+
+@query(
+    f"""with n as {_FORM_NAMES}, c0 as (select distinct p_name from part), c as (
+  select p_name || ' production' as name, 'GLO' as loc, p_name as product, 'c1-' || p_name as code from c0 union all select 'market for ' || p_name, 'FR', p_name, 'c2-' || p_name from c0 union all select 'market for ' || p_name, 'RoW', p_name, 'c3-' || p_name from c0
+  union all select p_name || ' making', 'FR', p_name, 'c4-' || p_name from c0 union all select p_name || ' making', 'FR', 'x', 'c5-' || p_name from c0),
+t as (select id, display, loc, unnest([activity, activity || ' ' || display, display || ' ' || activity]) as nm, unnest([0, 1, 2]) as t from n),
+l as (select id, display, nm, t, unnest([loc, 'GLO', 'RoW', 'RER']) as at, unnest([0, 1, 2, 3]) as l from t),
+h as (select l.id, l.t, l.l, count(distinct c.code) as k, min(c.code) as code, count(distinct c.code) filter (c.product = l.display) as m, min(c.code) filter (c.product = l.display) as own from l join c on c.name = l.nm and c.loc = l.at group by 1, 2, 3),
+f as (select id, t, arg_min(case when k = 1 then code when m = 1 then own else '' end, l) as code from h group by 1, 2),
+g as (select id, arg_min(code, t) as code from f where code <> '' group by 1),
+mk as (select n.id, count(*) filter (len(list_filter(regexp_extract_all(n.activity, '[a-z0-9]+'), lambda w: not list_contains(regexp_extract_all(c.name, '[a-z0-9]+'), w))) = 0) as k, min(c.code) filter (len(list_filter(regexp_extract_all(n.activity, '[a-z0-9]+'), lambda w: not list_contains(regexp_extract_all(c.name, '[a-z0-9]+'), w))) = 0) as hit, count(*) as m, min(c.code) as one_, bool_or(contains(n.activity, 'market')) as wants
+  from n join c on c.product = n.display and c.loc = n.loc where n.id not in (select id from g) and (contains(n.activity, 'market') or not starts_with(c.name, 'market ')) group by 1)
+select n.id, coalesce(g.code, case when mk.k = 1 then mk.hit when mk.k = 0 and not wants and mk.m = 1 then one_ end) as code from n left join g using (id) left join mk using (id)"""
+)
+def written_names(spark: SparkSession, root: str) -> DataFrame:
+    p = table(spark, root, "part")
+    k, n = F.col("p_partkey"), F.col("p_name")
+    place = F.when(k % 3 == 0, "FR").when(k % 3 == 1, "GLO").otherwise("XX")
+    act = F.when(k % 4 == 0, "production").when(k % 4 == 1, "market for").when(k % 4 == 2, F.concat(n, F.lit(" making"))).otherwise("nothing known")
+    names = p.select(k.alias("id"), F.concat(n, F.lit(" {"), place, F.lit("}| "), act, F.lit(" | U")).alias("name"))
+    c0 = p.select("p_name").distinct()
+    row = lambda name, loc, product, code: F.struct(name.alias("name"), F.lit(loc).alias("location"), product.alias("product"), F.concat(F.lit(code), n).alias("code"))
+    market, making = F.concat(F.lit("market for "), n), F.concat(n, F.lit(" making"))
+    rows = F.array(row(F.concat(n, F.lit(" production")), "GLO", n, "c1-"), row(market, "FR", n, "c2-"), row(market, "RoW", n, "c3-"), row(making, "FR", n, "c4-"), row(making, "FR", F.lit("x"), "c5-"))
+    return catalog.resolve_names(names, c0.select(F.explode(rows).alias("r")).select("r.*"))
+
+
+@query(
+    "with s as (select distinct p_name, p_partkey % 5 as k, min(p_partkey) over (partition by p_name, p_partkey % 5) as code from part where p_partkey % 5 < 3), o as (select p_partkey as id, p_name, p_partkey % 2 as alt from part where p_partkey % 7 = 0),"
+    " h as (select o.id, s.code, case when o.alt = 0 and s.k = 0 then 0 when s.k = 1 then 1 when s.k = 2 then 3 else 9 end as r from o join s using (p_name)) select o.id::varchar as code, arg_min(h.code, (h.r, h.code))::varchar as target_code, case when min(h.id) is not null then 'inventory' end as source from o left join h using (id) group by 1"
+)
+def orphan_relinks(spark: SparkSession, root: str) -> DataFrame:
+    p = table(spark, root, "part")
+    k = F.col("p_partkey")
+    label = lambda loc: F.concat("p_name", F.lit(" {"), loc, F.lit("}| making | U"))
+    at = F.when(k % 5 == 0, "FR").when(k % 5 == 1, "RER").otherwise("GLO")
+    s = p.where("p_partkey % 5 < 3").groupBy("p_name", (k % 5).alias("m")).agg(F.min(k).alias("p_partkey")).select(k.cast("string").alias("code"), label(at).alias("name"), k.alias("seq"))
+    o = p.where("p_partkey % 7 = 0").select(k.cast("string").alias("code"), label(F.when(k % 2 == 0, "FR").otherwise("CN")).alias("name"))
+    bg = spark.createDataFrame([], "code string, name string, location string, seq long")
+    return catalog.relink_orphans(o, s, bg)
+
+
+@query(
+    "with u as (select lower(trim(name, ' ')) as name, target_db, target_code, count(*) as n from flow_records where target_code is not null group by 1, 2, 3) select u.name, u.target_db, u.target_code, u.n, c.name as target_name, c.unit as target_unit from u left join biosphere_catalog c on c.db = u.target_db and c.code = u.target_code where u.name not in (select lower(trim(source_name, ' ')) from mapping where source_name is not null)"
+)
+def review_rows(spark: SparkSession, root: str) -> DataFrame:
+    u = table(spark, root, "flow_records").where("target_code is not null").groupBy(F.lower(F.trim("name")).alias("name"), "target_db", "target_code").agg(F.count(F.lit(1)).alias("n"))
+    return catalog.review_table(u, table(spark, root, "mapping").select(F.col("source_name").alias("name")), table(spark, root, "biosphere_catalog"))
+
+
+@query(
+    "with u as (select lower(trim(name, ' ')) as name, count(*) as n from flow_records group by 1), m as (select distinct lower(trim(source_name, ' ')) as name from mapping where source_name is not null), c as (select distinct lower(trim(name, ' ')) as name from biosphere_catalog where name is not null) select u.name, n, m.name is not null as in_mapping, c.name is not null as in_catalog, (m.name is not null)::int + (c.name is not null)::int as n_sheets from u left join m using (name) left join c using (name)"
+)
+def sheet_presence(spark: SparkSession, root: str) -> DataFrame:
+    u = table(spark, root, "flow_records").groupBy(F.lower(F.trim("name")).alias("name")).agg(F.count(F.lit(1)).alias("n"))
+    return catalog.presence(u, {"mapping": table(spark, root, "mapping").select(F.col("source_name").alias("name")), "catalog": table(spark, root, "biosphere_catalog").select("name")})
+
+
+@query("with s as (select o_orderkey, row_number() over (order by o_orderkey) - 1 as n, count(*) over () as total from (select distinct o_orderkey from orders)) select o_orderkey from s where n % (total // 100) = 0 and n < (total // 100) * 100")
+def product_sample(spark: SparkSession, root: str) -> DataFrame:
+    """A systematic sample of 100 ids: the sample is the operator."""
+    return catalog.systematic_sample(table(spark, root, "orders"), "o_orderkey", 100)
+
+
+@query("select c_custkey, case when c_nationkey % 3 = 0 then 's' || c_nationkey when c_nationkey % 2 = 0 then 'n' || c_nationkey end as target, case when c_nationkey % 3 = 0 then 'adapted' when c_nationkey % 2 = 0 then 'rebuilt' end as how from customer")
+def target_cascade(spark: SparkSession, root: str) -> DataFrame:
+    n = table(spark, root, "nation").select(F.col("n_nationkey").alias("key"))
+    side = lambda c, m: n.where(f"key % {m} = 0").select("key", F.concat(F.lit(c), F.col("key").cast("string")).alias("target"), F.lit(1.0).alias("multiplier"))
+    ambiguous = n.where("key % 5 = 0").select("key", F.explode(F.array(F.lit("x"), F.lit("y"))).alias("target"), F.lit(1.0).alias("multiplier"))
+    c = table(spark, root, "customer").select("c_custkey", F.col("c_nationkey").alias("key"))
+    return catalog.first_target(c, [("several", ambiguous), ("adapted", side("s", 3)), ("rebuilt", side("n", 2))]).select("c_custkey", "target", "how")

@@ -189,3 +189,40 @@ def test_overrides(spark, rows):
     assert rows(params.unknown_overrides(p, o(("nope", "*", 1.0, 1), ("input", "*", 1.0, 2), ("f1", "C", 1.0, 3), ("f1", "P", 1.0, 4)))) == [("f1", "C", "not defined by this process"), ("input", "*", "calculated parameter"), ("nope", "*", "unknown parameter")]
     assert rows(params.influenced(p, plan)) == [("C", "ratio"), ("P", "input_"), ("P", "ratio")]
     assert params.close_names(spark.createDataFrame([("ratoi",)], "wanted string"), p.select("name")).first().suggestion == "ratio"
+
+
+def test_catalogue_operators(spark, rows):
+    from flowloom.operators import catalog
+
+    cat = spark.createDataFrame([("c1", "barley seed production, for sowing", "GLO", "Barley seed"), ("c2", "market for barley seed", "GLO", "Barley seed"), ("c3", "milk production", "RER", "milk"), ("c4", "milk production", "RER", "cream")], "code string, name string, location string, product string")
+    n = spark.createDataFrame([(1, "Barley seed {GLO}| production"), (2, "Milk {FR}| production | U"), (3, "Milk {FR}| market for"), (4, "no form"), (5, None)], "id int, name string")
+    assert rows(catalog.resolve_names(n, cat)) == [(1, "c1"), (2, "c3"), (3, None), (4, None), (5, None)]
+    a = spark.createDataFrame([("a", "milk production, cold", "milk", "FR"), ("own", "milk production", "milk", "FR")], "code string, name string, product string, location string")
+    b = spark.createDataFrame([("milk production", "Milk", "FR", "own"), ("", "milk", "FR", "x")], "label string, product string, location string, code string")
+    assert rows(catalog.stand_ins(a, b)) == [("a", "own")]
+    o = spark.createDataFrame([("o1", "Milk {FR}| making"), ("o2", "Rye {FR}| milling"), ("o3", "x")], "code string, name string")
+    s = spark.createDataFrame([("s1", "Milk {CN}| making", 1), ("s2", "Milk {GLO}| making", 2)], "code string, name string, seq int")
+    g = spark.createDataFrame([("b1", "milling rye", "GLO", 1), ("b2", "rye milling", "RER", 2)], "code string, name string, location string, seq int")
+    relinked = catalog.relink_orphans(o, s, g)
+    assert rows(relinked, "code", "target_code", "source") == [("o1", "s2", "inventory"), ("o2", "b1", "background"), ("o3", None, None)]
+    e = spark.createDataFrame([(1, "o1"), (2, "o3"), (3, "z"), (4, None)], "i int, target_code string")
+    assert rows(catalog.rewrite_targets(e, relinked)) == [(1, "s2"), (2, None), (3, "z"), (4, None)]
+    assert rows(catalog.systematic_sample(spark.range(100), "id", 4)) == [(0,), (25,), (50,), (75,)]
+    assert catalog.systematic_sample(spark.range(3), "id", 4).count() == 3
+
+
+def test_statuses_and_audit(spark, rows):
+    cat = spark.createDataFrame([("d", "c1", "Zinc", ["air"], "kg")], "db string, code string, name string, categories array<string>, unit string")
+    ddl = "source_name string, source_top_bucket string, source_cas string, target_db string, target_code string, target_name string, target_unit string, unit_conversion double, priority_tier int, provenance string, is_unmatchable boolean"
+    row = lambda name, code, halt=False: (name, "air", None, "" if name == "lost" else "d", code, None, None, 1.0, 1, "p", halt)
+    reg = spark.createDataFrame([row("zinc", "c1"), row("stop", None, True), row("lost", "zz")], ddl)
+    e = spark.createDataFrame([(i, n, ["air"], u, None, False) for i, (n, u) in enumerate([("zinc", "kg"), ("zinc", "m3"), ("stop", "kg"), ("lost", "kg"), ("new", "kg"), ("zinc", None)])], "exc_id int, name string, categories array<string>, unit string, cas string, linked boolean")
+    conv = spark.createDataFrame([], "source_unit string, target_unit string, multiplier double, seq int")
+    got = rows(match.match_status(e, reg, cat, conv, ["d"]))
+    assert got == [(0, "matched"), (1, "unit_mismatch_only"), (2, "recognised_unmatchable"), (3, "target_unresolved_only"), (4, "no_registry"), (5, "unit_mismatch_only")]
+    prior = spark.createDataFrame([(0, "D", "C9")], "exc_id int, prior_db string, prior_code string")
+    m = match.tiered_match(e, reg, cat, conv, ["d"])
+    assert rows(match.match_audit(prior, m), "kind", "prior_code", "new_code") == [("override", "c9", "c1")]
+    same = spark.createDataFrame([(0, None, "c1")], "exc_id int, prior_db string, prior_code string")
+    assert rows(match.match_audit(same, m)) == []
+    assert rows(match.match_audit(same.withColumn("prior_code", F.lit(None).cast("string")), m), "kind") == [("new_link",)]
