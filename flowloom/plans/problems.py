@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from flowloom.operators import units
 from flowloom.operators.copydiff import factor_copy_differences
 from flowloom.operators.orphans import catalogue_orphans, orphans_by_month
 from flowloom.operators.units import common_factors, contradicting_factors
@@ -75,7 +76,45 @@ found as (
   union all select table_name, row_id, 'later', recorded_at from hit where added > recorded_at)
 select distinct table_name, row_id, cause, strftime(recorded_at, '%Y-%m') as ref_period from found"""
 
+
+
+def _p1_sql() -> str:
+    """The statement of the problem read plainly: every pair of a group is compared."""
+    plain = lambda p: p.replace("(?iuU)", "(?i)").replace("(?U)", "").replace("'", "''")
+    to = units.compose(units.EDGES, units.CANONICAL)
+    exact = {s: u for u, ws in units.SPELLINGS.items() for s in ws}
+    lower: dict[str, set] = {}
+    for s, u in exact.items():
+        lower.setdefault(s.lower(), set()).add(u)
+    rows = exact | {s: next(iter(us)) for s, us in lower.items() if len(us) == 1 and s not in exact}
+    values = ", ".join(f"('{s}', '{u}', '{to[u][0]}', {to[u][1].scale!r}::double)" for s, u in rows.items())
+    doubtful = ", ".join(f"'{s}'" for s, us in lower.items() if len(us) > 1)
+    holders = ", ".join(f"'{p}'" for p in units.PLACEHOLDERS)
+    group = lambda c, p, g: f"nullif(regexp_extract({c}, '{plain(p)}', {g}), '')"
+
+    def side(c: str, single: str, first: int, second: int) -> str:
+        empty = f"lower(trim(regexp_replace(coalesce({c}, ''), '^\\s*\\[|\\]\\s*$', '', 'g'))) in ({holders})"
+        return f"case when {empty} then coalesce({group('note', single, 1)}, {group('note', units.NOTE_SOURCE_FIRST, second)}, {group('note', units.NOTE_RESULT_FIRST, first)}) else {c} end"
+
+    part = lambda c, g: f"regexp_extract({c}, '{plain(units._CELL_FORM)}', {g})"
+    times = lambda x: f"case when {x} = '' then 1.0 else try_cast(replace(replace({x}, '10^', '1e'), ',', '.') as double) end"
+    unit = lambda c: f"regexp_replace({part(c, 2)}, '\\s+', ' ', 'g') as {c}_base, {times(part(c, 1))} * {times(part(c, 3) + ' || ' + part(c, 4))} as {c}_times"
+    key = lambda c: f"case when {c}_base in (select s from exact) then {c}_base when lower({c}_base) not in ({doubtful}) then lower({c}_base) end"
+    return f"""
+with sp(s, unit, kind, scale) as (values {values}), exact as (select s from (values {', '.join(f"('{s}')" for s in exact)}) v(s)),
+cells as (
+  select 'flowmap' as table_name, entry_id as id, provenance, conversion_factor as f, [package_id, trim(source_name), trim(target_name)] as names, {side('source_unit', units.NOTE_SOURCE, 2, 1)} as a, {side('target_unit', units.NOTE_TARGET, 1, 2)} as b from flowmap
+  union all select 'unit_conversion', conv_id, provenance, multiplier, [], source_unit, target_unit from unit_conversion),
+parsed as (select *, {unit('a')}, {unit('b')} from cells),
+known as (
+  select distinct p.table_name, p.id, p.provenance, p.names, case when p.table_name = 'flowmap' then x.kind else x.unit end as ka, case when p.table_name = 'flowmap' then y.kind else y.unit end as kb, f * (b_times * y.scale) / (a_times * x.scale) as v
+  from parsed p join sp x on x.s = {key('p.a')} join sp y on y.s = {key('p.b')} where f is not null and not isnan(f))
+select distinct m.table_name, m.id as id_a, n.id as id_b from known m join known n on m.table_name = n.table_name and m.names = n.names and m.ka = n.ka and m.kb = n.kb and m.id < n.id
+where m.provenance is distinct from n.provenance and abs(m.v - n.v) > 0.01 * greatest(abs(m.v), abs(n.v))"""
+
+
 ORACLE: dict[str, str] = {
+    "p1_found": _p1_sql(),
     "p2_found": _p2_sql(),
     "p6_found": _P6_SQL,
     "p6_by_month": f"select table_name, ref_period, cause, count(*) as n from ({_P6_SQL}) group by 1, 2, 3",
