@@ -184,5 +184,6 @@ def test_names_are_split():
     assert s.split("Teidol - iom *") == ("", "teidol", "ion")
     assert s.split("in spray, Dauxal") == ("", "dauxal", "in spray")
     assert s.split("Kluxal resiidue, at plant {GLX}") == ("", "kluxal", "residue")
+    assert s.split("Kluxal resid.") == ("", "kluxal", "residue") and s.split("Kluxal - un.")[2] == "unrefined ore" and s.split("Kluxal i")[2] == "i"
     assert s.split(None) == ("", "", "")
     assert linkage.cas_digits("CAS 0012-3 4") == "1234" and linkage.unit_kind(" M³ ") == "m3"
