@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowloom.functions.text import folded, month
-from flowloom.session import parallelism
+from flowloom.session import parallelism, placement_keys
 
 #: A range is split so that no part holds more than so many times the mean number of references.
 SPLIT_ABOVE = 1.5
@@ -128,11 +128,12 @@ def orphan_references(references: list[tuple[str, DataFrame]], catalog: DataFram
     limit = max(1.0, SPLIT_ABOVE * sum(counts.values()) / ranges)
     splits = [max(1, int(np.ceil(counts.get(r, 0) / limit))) for r in range(ranges)]
     first = np.concatenate([[0], np.cumsum(splits)]).tolist()
-    plan = F.broadcast(spark.createDataFrame([(r, splits[r], first[r]) for r in range(ranges)], "r int, n int, first int"))
+    places = placement_keys(spark, first[-1])  # each part gets a partition of its own
+    plan = F.broadcast(spark.createDataFrame([(r, splits[r], first[r], places[first[r] : first[r + 1]]) for r in range(ranges)], "r int, n int, first int, places array<long>"))
     parents = rows.unionByName(gone).withColumn("r", _range_of(F.col("k1"), ranges)).join(plan, "r").withColumn("s", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
     refs = refs.withColumn("r", _range_of(F.col("k1"), ranges)).join(plan, "r").withColumn("s", F.pmod(F.xxhash64("row_id"), F.col("n")).cast("int"))
-    columns = [(F.col("first") + F.col("s")).alias("part"), "k1", "k2", "db", "kind", "at", "row_id", "tab"]
-    parts = parents.select(*columns).unionByName(refs.select(*columns)).repartition(first[-1], "part").sortWithinPartitions("part", F.col("kind") == 2, "k1")
+    columns = [(F.col("first") + F.col("s")).alias("part"), F.col("places")[F.col("s")].alias("place"), "k1", "k2", "db", "kind", "at", "row_id", "tab"]
+    parts = parents.select(*columns).unionByName(refs.select(*columns)).repartition(first[-1], "place").sortWithinPartitions("part", F.col("kind") == 2, "k1").drop("place")
     misses = parts.mapInArrow(_stream, "tab byte, row_id long, cause string, at long")
     table_name = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("tab").cast("int") + 1)
     return misses.select(table_name.alias("table_name"), "row_id", "cause", month(F.timestamp_micros("at")).alias("ref_period")).distinct()

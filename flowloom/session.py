@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores: str | int = "*", shuffle: int = 8, memory: str = "8g") -> SparkSession:
@@ -35,3 +37,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
 def parallelism(spark: SparkSession) -> int:
     """Shuffle partitions of the session, never under 1."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+
+
+def placement_keys(spark: SparkSession, n: int) -> list[int]:
+    """Numbers of which the i-th falls into partition i when rows are hash-partitioned by it into n partitions.
+
+    Parts of planned size are placed one to a partition with them; hashing the parts' own numbers would put
+    several into one partition and none into others. One small job over about n * ln(n) numbers.
+    """
+    tries = spark.range(0, max(64, int(n * (math.log(n + 1) + 8) * 1.5)), 1, 1)
+    found = {r.p: r.k for r in tries.groupBy(F.pmod(F.hash("id"), F.lit(n)).alias("p")).agg(F.min("id").alias("k")).collect()}  # n rows
+    return [found.get(i, i) for i in range(n)]
