@@ -59,7 +59,7 @@ def regional_cf_rows(spark: SparkSession, root: str) -> DataFrame:
     return cf.regional_rows(g, cf.location_means(loc, ["method"]), ["method"], 1000.0).select("method", "flow", "location", *r6("local_cf"))
 
 
-@query("select s_suppkey as code, 'N' || n_nationkey as location, sign(s_acctbal) * (n_nationkey + 1) * 10 as cf from supplier, nation where s_acctbal <> 0 and abs(sign(s_acctbal) * (n_nationkey + 1) * 10 - s_acctbal) > 1e-12")
+@query("select s_suppkey as code, 'N' || n_nationkey as location, sign(s_acctbal) * (n_nationkey + 1) * 10.0::double as cf from supplier, nation where s_acctbal <> 0 and abs(sign(s_acctbal) * (n_nationkey + 1) * 10 - s_acctbal) > 1e-12")
 def location_spread(spark: SparkSession, root: str) -> DataFrame:
     s = table(spark, root, "supplier").where("s_acctbal <> 0").select(F.col("s_suppkey").alias("code"), F.col("s_acctbal").alias("cf"))
     n = table(spark, root, "nation").select(F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("location"), ((F.col("n_nationkey") + 1) * 10.0).alias("cf"))
