@@ -109,19 +109,34 @@ def table_context(categories: Column, long_forms: dict[tuple[str, ...], tuple[st
     return F.struct(comp.alias("comp"), sub.alias("sub"))
 
 
+def _hashed(*columns: Column) -> list[Column]:
+    """128 bits of a lookup key: what is shuffled instead of its texts."""
+    text = F.concat_ws("\u0001", *[F.coalesce(c, F.lit("\u0003")) for c in columns])
+    return [F.xxhash64(text).alias("k1"), F.xxhash64(F.lit("\u0002"), text).alias("k2")]
+
+
 def _index(table: DataFrame) -> DataFrame:
-    """method, kind, key, comp, sub -> the record that counts. table: method, name, compartment, sub_compartment, cas, cf, seq."""
+    """k1, k2 of (method, kind, key, comp, sub) -> the record that counts.
+
+    table: method, name, compartment, sub_compartment, cas, cf, seq (anything with an order). By name and short
+    name the last record counts, by registry number the shortest name (then the first), any sub-compartment
+    giving way to the unspecified one.
+    """
     t = table.select("method", F.lower(F.trim("name")).alias("name"), F.col("name").alias("raw"), F.trim("compartment").alias("comp"), F.coalesce(F.trim("sub_compartment"), F.lit("")).alias("sub"), F.trim("cas").alias("cas"), "cf", "seq", short_name(F.col("name")).alias("short"))
     rec = F.struct("cf", F.col("raw").alias("name"), "comp", F.col("sub").alias("rsub")).alias("rec")
-    size = F.length("raw")
-    by_name = t.select("method", F.lit("name").alias("kind"), F.col("name").alias("key"), "comp", "sub", rec, F.struct((-F.col("seq")).alias("a"), F.lit(0).cast("long").alias("b"), F.lit(0).cast("long").alias("c")).alias("o"))
+    m, size = F.col("method"), F.length("raw")
+    by_name = t.select(*_hashed(m, F.lit("name"), F.col("name"), F.col("comp"), F.col("sub")), rec, "seq").groupBy("k1", "k2").agg(F.max_by("rec", "seq").alias("rec"))
+    by_short = t.where("short <> ''").select(*_hashed(m, F.lit("short"), F.col("short"), F.col("comp"), F.col("sub")), rec, "seq").groupBy("k1", "k2").agg(F.max_by("rec", "seq").alias("rec"))
     has = t.where("cas is not null and cas <> ''")
-    o = lambda a, b, c: F.struct(a.cast("long").alias("a"), b.cast("long").alias("b"), c.cast("long").alias("c")).alias("o")
-    by_cas = has.select("method", F.lit("cas").alias("kind"), F.col("cas").alias("key"), "comp", "sub", rec, o(size, F.col("seq"), F.lit(0)))
-    by_cas_any = has.select("method", F.lit("cas_any").alias("kind"), F.col("cas").alias("key"), "comp", F.lit("").alias("sub"), rec, o((F.col("sub") != UNSPECIFIED).cast("int"), size, F.col("seq")))
-    by_short = t.where("short <> ''").select("method", F.lit("short").alias("kind"), F.col("short").alias("key"), "comp", "sub", rec, o(-F.col("seq"), F.lit(0), F.lit(0)))
-    every = by_name.unionByName(by_cas).unionByName(by_cas_any).unionByName(by_short)
-    return every.groupBy("method", "kind", "key", "comp", "sub").agg(F.min_by("rec", "o").alias("rec"))
+    one, any_ = _hashed(m, F.lit("cas"), F.col("cas"), F.col("comp"), F.col("sub")), _hashed(m, F.lit("cas_any"), F.col("cas"), F.col("comp"), F.lit(""))
+    order = lambda first: F.struct(first.alias("a"), size.alias("b"), F.col("seq").alias("c")).alias("o")
+    both = has.select(*one, rec, order(F.lit(0))).unionByName(has.select(*any_, rec, order((F.col("sub") != UNSPECIFIED).cast("int"))))
+    by_cas = both.groupBy("k1", "k2").agg(F.min_by("rec", "o").alias("rec"))
+    return by_name.unionByName(by_short).unionByName(by_cas)
+
+
+#: Places in the order of lookups, and the compartment that is tried last.
+_CAS, _SHORT_NAME, _BRIDGED = 100_000, 100_002, 1_000_000
 
 
 def flow_join(flows: DataFrame, table: DataFrame, bridged: dict[str, str] | None = None) -> DataFrame:
@@ -129,29 +144,31 @@ def flow_join(flows: DataFrame, table: DataFrame, bridged: dict[str, str] | None
 
     flows: flow_key, method, name, comp, sub, synonyms, cas. Tried in order, each with the flow's own
     sub-compartment and then the unspecified one: name, synonyms, registry number, short name. All keys that a
-    flow may be found by are looked up in one join, and the first in this order wins. bridged: methods whose
-    flows are looked up in another compartment last.
+    flow may be found by are looked up in one join of hashes, and the first in this order wins. bridged: methods
+    whose flows are looked up in another compartment last.
     """
+    flow_id_ = F.to_json(F.struct("flow_key"))
+    f = flows.withColumn("_f1", F.xxhash64(flow_id_)).withColumn("_f2", F.xxhash64(F.lit("\u0002"), flow_id_))
     name = F.lower(F.trim("name"))
     syns = F.filter(F.transform(F.coalesce("synonyms", F.array().cast("array<string>")), lambda s: F.lower(F.trim(s))), lambda s: (s != "") & (s != F.lower(F.trim("name"))))
-    key = lambda p, kind, k, sub, prov: F.struct(F.lit(p).alias("p"), F.lit(kind).alias("kind"), k.alias("key"), sub.alias("sub"), F.lit(prov).alias("prov"))
-    un = F.lit(UNSPECIFIED)
-    fixed = [key(0, "name", name, F.col("sub"), "exact_name"), key(1, "name", name, un, "exact_name")]
-    tail = [
-        key(100_000, "cas", F.trim("cas"), F.col("sub"), "cas"), key(100_001, "cas_any", F.trim("cas"), F.lit(""), "cas"),
-        key(100_002, "short", short_name(F.col("name")), F.col("sub"), "short_name"), key(100_003, "short", short_name(F.col("name")), un, "short_name"),
-    ]
-    by_syn = F.flatten(F.transform(syns, lambda s, i: F.array(
-        F.struct((2 + 2 * i).alias("p"), F.lit("name").alias("kind"), s.alias("key"), F.col("sub").alias("sub"), F.lit("synonym").alias("prov")),
-        F.struct((3 + 2 * i).alias("p"), F.lit("name").alias("kind"), s.alias("key"), un.alias("sub"), F.lit("synonym").alias("prov")),
-    )))
-    asked = flows.select("flow_key", "method", "comp", F.explode(F.concat(F.array(*fixed), by_syn, F.array(*tail))).alias("k")).select("flow_key", "method", "comp", "k.*").where("key is not null and key <> ''")
+    un, sub, cas, short = F.lit(UNSPECIFIED), F.col("sub"), F.trim("cas"), short_name(F.col("name"))
+
+    def key(p: Column | int, kind: str, k: Column, s: Column) -> Column:
+        return F.struct((F.lit(p) if isinstance(p, int) else p).cast("int").alias("p"), F.lit(kind).alias("kind"), k.alias("key"), s.alias("sub"))
+
+    fixed = F.array(key(0, "name", name, sub), key(1, "name", name, un), key(_CAS, "cas", cas, sub), key(_CAS + 1, "cas_any", cas, F.lit("")), key(_SHORT_NAME, "short", short, sub), key(_SHORT_NAME + 1, "short", short, un))
+    by_syn = F.flatten(F.transform(syns, lambda s, i: F.array(key(2 + 2 * i, "name", s, sub), key(3 + 2 * i, "name", s, un))))
+    asked = f.select("_f1", "_f2", "method", "comp", F.explode(F.concat(fixed, by_syn)).alias("k")).select("_f1", "_f2", "method", "comp", "k.*").where("key is not null and key <> ''")
     if bridged:
         other = F.element_at(F.create_map(*[F.lit(v) for kv in bridged.items() for v in kv]), F.col("method"))
-        asked = asked.unionByName(asked.where(other.isNotNull() & (other != F.col("comp"))).withColumn("comp", other).withColumn("p", F.col("p") + 1_000_000))
-    hits = asked.join(_index(table), ["method", "kind", "key", "comp", "sub"])
-    best = hits.groupBy("flow_key").agg(F.min_by(F.struct("rec", "prov"), "p").alias("b")).select("flow_key", F.col("b.rec.cf").alias("sp_cf"), F.col("b.prov").alias("sp_match_provenance"), F.col("b.rec.name").alias("sp_name"), F.col("b.rec.comp").alias("sp_compartment"), F.col("b.rec.rsub").alias("sp_sub_compartment"))
-    return flows.join(best, "flow_key", "left").withColumn("sp_match_provenance", F.coalesce("sp_match_provenance", F.lit("unmatched")))
+        asked = asked.unionByName(asked.where(other.isNotNull() & (other != F.col("comp"))).withColumn("comp", other).withColumn("p", F.col("p") + _BRIDGED))
+    asked = asked.select("_f1", "_f2", "p", *_hashed(F.col("method"), F.col("kind"), F.col("key"), F.col("comp"), F.col("sub")))
+    hits = asked.join(_index(table), ["k1", "k2"])
+    best = hits.groupBy("_f1", "_f2").agg(F.min_by(F.struct("rec", "p"), "p").alias("b"))
+    place = F.col("b.p") % _BRIDGED
+    how = F.when(place < 2, "exact_name").when(place < _CAS, "synonym").when(place < _SHORT_NAME, "cas").otherwise("short_name")
+    best = best.select("_f1", "_f2", F.col("b.rec.cf").alias("sp_cf"), how.alias("sp_match_provenance"), F.col("b.rec.name").alias("sp_name"), F.col("b.rec.comp").alias("sp_compartment"), F.col("b.rec.rsub").alias("sp_sub_compartment"))
+    return f.join(best, ["_f1", "_f2"], "left").drop("_f1", "_f2").withColumn("sp_match_provenance", F.coalesce("sp_match_provenance", F.lit("unmatched")))
 
 
 def comparison(joined: DataFrame) -> DataFrame:

@@ -129,13 +129,9 @@ select f.m as method, f.code, hit.sp_cf, coalesce(prov, 'unmatched') as sp_match
 )
 def cf_flow_join(spark: SparkSession, root: str) -> DataFrame:
     """Every (method, code) of one system looked up in the factor table of the other."""
-    from pyspark.sql import Window
-
     c = table(spark, root, "cf_flow_join_copy").where("sp_name is not null and sp_cf is not null and not isnan(sp_cf)")
-    t = c.select(F.col("method_slug").alias("method"), F.col("sp_name").alias("name"), F.trim("sp_compartment").alias("compartment"), F.coalesce(F.trim("sp_sub_compartment"), F.lit("")).alias("sub_compartment"), F.trim("cas").alias("cas"), F.col("sp_cf").alias("cf"), "run_id", F.lower(F.trim("code")).alias("lc"), "code").distinct()
-    # the order of the table's rows within a method; ids of different methods never meet
-    order = [F.col(n).asc_nulls_last() for n in ("lc", "run_id", "name", "compartment", "sub_compartment", "cas", "cf")]
-    t = t.withColumn("seq", F.dense_rank().over(Window.partitionBy("method").orderBy(*order)).cast("long"))
+    seq = F.struct(F.lower(F.trim("code")).alias("code"), "run_id")  # the order of the table's rows
+    t = c.select(F.col("method_slug").alias("method"), F.col("sp_name").alias("name"), F.trim("sp_compartment").alias("compartment"), F.coalesce(F.trim("sp_sub_compartment"), F.lit("")).alias("sub_compartment"), F.trim("cas").alias("cas"), F.col("sp_cf").alias("cf"), seq.alias("seq"))
     f = _joined(spark, root).where("name is not null and code is not null").groupBy(F.col("method_slug").alias("method"), "code").agg(F.min("name").alias("name"), F.min("categories").alias("categories"), F.min("cas").alias("cas"))
     syn = table(spark, root, "biosphere_catalog").groupBy(F.lower(F.trim("code")).alias("lc")).agg(F.min("synonyms").alias("synonyms"))
     f = f.withColumn("lc", F.lower(F.trim("code"))).join(syn, "lc", "left").withColumn("ctx", cf.table_context(F.col("categories")))
