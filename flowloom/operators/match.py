@@ -76,48 +76,58 @@ def resolved_targets(registry: DataFrame, catalog: DataFrame, preferred: list[st
     return direct.unionByName(best)
 
 
-_SIGNATURE = ["s_name", "s_bucket", "s_sub", "s_unit", "s_cas", "s_linked"]
-
-
 def _signed(exchanges: DataFrame) -> DataFrame:
-    """exc_id and the signature: all that a match depends on."""
-    return exchanges.select(
-        "exc_id", F.lower(F.trim("name")).alias("s_name"), bucket_of(F.col("categories")).alias("s_bucket"), F.lower(F.trim(sub_compartment(F.col("categories")))).alias("s_sub"),
-        F.trim("unit").alias("s_unit"), F.coalesce(F.trim("cas"), F.lit("")).alias("s_cas"), F.coalesce("linked", F.lit(False)).alias("s_linked"),
-    )
+    """exc_id, what a match depends on, and 128 bits of it (h1, h2)."""
+    parts = {
+        "s_name": F.lower(F.trim("name")), "s_bucket": bucket_of(F.col("categories")), "s_sub": F.lower(F.trim(sub_compartment(F.col("categories")))), "s_unit": F.trim("unit"),
+        "s_cas": F.coalesce(F.trim("cas"), F.lit("")), "s_linked": F.coalesce("linked", F.lit(False)),
+    }
+    text = F.concat_ws("\u0001", *[F.coalesce(c.cast("string"), F.lit("\u0003")) for c in parts.values()])
+    return exchanges.select("exc_id", *[c.alias(n) for n, c in parts.items()], F.xxhash64(text).alias("h1"), F.xxhash64(F.lit("\u0002"), text).alias("h2"))
 
 
-def tiered_candidates(exchanges: DataFrame, registry: DataFrame, catalog: DataFrame, conversions: DataFrame, preferred: list[str], reviewed: bool = True) -> DataFrame:
-    """The signature, order (tier, provenance, sub, o_code, o_name), t_db, multiplier and outcome of each candidate of each signature.
+def _offers(registry: DataFrame, catalog: DataFrame, preferred: list[str]) -> DataFrame:
+    """Registry rows by name and compartment of the exchange, with their targets there: what an exchange may be offered.
 
-    outcome: 'halt_unmatchable', 'switched_off', 'already_linked', 'target_unresolved', 'unit_mismatch' or 'valid'.
-    Exchanges are reduced to signatures and the registry to distinct rows before they meet, so that a name which
-    a third of all exchanges share is matched once for each way of writing it.
+    only_cas: the row is of another compartment while the name has rows of this one (or of none), so that it
+    counts for exchanges with its registry number only.
     """
-    s = _signed(exchanges).select(*_SIGNATURE).where("s_name is not null").distinct()
     reg = registry.select(
         F.lower(F.trim("source_name")).alias("r_name"), F.coalesce(blank_to_null("source_top_bucket"), F.lit("unspecified")).alias("r_bucket"), F.coalesce(F.trim("source_cas"), F.lit("")).alias("r_cas"),
         "target_db", "target_code", "target_name", "target_unit", F.coalesce(F.when(F.col("unit_conversion") != 0, F.col("unit_conversion")), F.lit(1.0)).alias("r_factor"),
         F.col("priority_tier").alias("tier"), "provenance", F.coalesce("is_unmatchable", F.lit(False)).alias("halt"),
     ).where("r_name is not null").distinct()
     reg = reg.withColumn("rid", F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\u0002")) for c in reg.columns]))
-    targets = resolved_targets(reg, catalog, preferred)
-    c = s.join(reg, F.col("s_name") == F.col("r_name"))
-    own = (F.col("r_bucket") == F.col("s_bucket")) | (F.col("r_bucket") == "unspecified")
-    by_cas = (F.col("s_cas") != "") & (F.col("s_cas") == F.col("r_cas"))
-    c = c.withColumn("_own", own).withColumn("_any", F.max(own).over(Window.partitionBy(*_SIGNATURE)))
-    c = c.where(F.col("_own") | by_cas | (~F.col("_any") & (F.col("s_bucket") != "unspecified")))
-    c = c.join(targets.withColumnsRenamed({"bucket": "s_bucket"}), ["rid", "s_bucket"], "left")
+    targets = resolved_targets(reg, catalog, preferred).select("rid", "bucket", "t_db", "t_code", "t_unit", "t_categories")
+    named = reg.groupBy("r_name").agg(F.collect_set("r_bucket").alias("_buckets"))  # at most a handful of compartments
+    buckets = F.array(*[F.lit(b) for b in ("air", "water", "soil", "resource", "unspecified")])
+    o = reg.join(named, "r_name").withColumn("bucket", F.explode(buckets))
+    own = (F.col("r_bucket") == F.col("bucket")) | (F.col("r_bucket") == "unspecified")
+    some = F.array_contains("_buckets", F.col("bucket")) | F.array_contains("_buckets", "unspecified")
+    o = o.withColumn("only_cas", ~own & (some | (F.col("bucket") == "unspecified"))).where(~F.col("only_cas") | (F.col("r_cas") != ""))
+    o = o.join(targets, ["rid", "bucket"], "left")
+    return o.select("r_name", "bucket", "r_cas", "only_cas", "r_factor", "tier", "provenance", "halt", F.coalesce("target_name", F.lit("")).alias("o_name"), "t_db", "t_code", "t_unit", "t_categories")
+
+
+def tiered_candidates(exchanges: DataFrame, registry: DataFrame, catalog: DataFrame, conversions: DataFrame, preferred: list[str], reviewed: bool = True) -> DataFrame:
+    """Signature (h1, h2), order (tier, provenance, sub, o_code, o_name), t_db, multiplier and outcome of each candidate.
+
+    outcome: 'halt_unmatchable', 'switched_off', 'already_linked', 'target_unresolved', 'unit_mismatch' or 'valid'.
+    Exchanges are reduced to signatures and the registry to distinct rows before they meet, so that a name which
+    a third of all exchanges share is matched once for each way of writing it. Targets are resolved on the side
+    of the registry, once for each compartment.
+    """
+    s = _signed(exchanges).drop("exc_id").where("s_name is not null").distinct()
+    c = s.join(_offers(registry, catalog, preferred), (F.col("s_name") == F.col("r_name")) & (F.col("s_bucket") == F.col("bucket")))
+    c = c.where(~F.col("only_cas") | ((F.col("s_cas") != "") & (F.col("s_cas") == F.col("r_cas"))))
+    c = c.select("h1", "h2", "s_unit", "s_linked", "r_factor", "tier", "provenance", sub_rank(F.col("s_sub"), F.col("t_categories")).alias("sub"), "halt", "o_name", "t_db", "t_code", "t_unit")
     c = multiplier(c, "s_unit", "t_unit", conversions, row_factor="r_factor")
     off = F.lit(False) if reviewed else F.col("tier").isin(*SWITCHED)
     outcome = (
         F.when(F.col("halt"), "halt_unmatchable").when(off, "switched_off").when(F.col("tier").isin(*FILL_ONLY) & F.col("s_linked"), "already_linked")
         .when(F.col("t_code").isNull(), "target_unresolved").when(F.col("multiplier").isNull(), "unit_mismatch").otherwise("valid")
     )
-    return c.select(
-        *_SIGNATURE, "tier", "provenance", sub_rank(F.col("s_sub"), F.col("t_categories")).alias("sub"), F.coalesce("t_code", F.lit("")).alias("o_code"), F.coalesce("target_name", F.lit("")).alias("o_name"),
-        F.coalesce("t_db", F.lit("")).alias("t_db"), "multiplier", outcome.alias("outcome"),
-    )
+    return c.select("h1", "h2", "tier", "provenance", "sub", F.coalesce("t_code", F.lit("")).alias("o_code"), "o_name", F.coalesce("t_db", F.lit("")).alias("t_db"), "multiplier", outcome.alias("outcome"))
 
 
 _ORDER = ["tier", "provenance", "sub", "o_code", "o_name"]
@@ -126,7 +136,7 @@ _ORDER = ["tier", "provenance", "sub", "o_code", "o_name"]
 def _picked(candidates: DataFrame) -> DataFrame:
     """For each signature its best candidate (null if an unmatchable one comes first) and counts of the outcomes."""
     valid, halt = F.col("outcome") == "valid", F.col("outcome") == "halt_unmatchable"
-    g = candidates.groupBy(*_SIGNATURE).agg(
+    g = candidates.groupBy("h1", "h2").agg(
         F.min(F.when(valid, F.struct(*_ORDER, "t_db", "multiplier"))).alias("best"), F.min(F.when(halt, F.struct(*_ORDER))).alias("stop"), F.count(F.lit(1)).alias("n"),
         F.count_if(halt).alias("n_halt"), F.count_if(F.col("outcome") == "unit_mismatch").alias("n_unit"), F.count_if(F.col("outcome") == "target_unresolved").alias("n_open"),
     )
@@ -145,7 +155,7 @@ def tiered_match(exchanges: DataFrame, registry: DataFrame, catalog: DataFrame,
     that only fills gaps meets an exchange that isn't linked.
     """
     p = _picked(tiered_candidates(exchanges, registry, catalog, conversions, preferred, reviewed)).where("best is not null")
-    out = _signed(exchanges).join(p.select(*_SIGNATURE, "best.*"), _SIGNATURE)
+    out = _signed(exchanges).select("exc_id", "h1", "h2").join(p.select("h1", "h2", "best.*"), ["h1", "h2"])
     return out.select("exc_id", "tier", "provenance", "t_db", F.col("o_code").alias("t_code"), "multiplier")
 
 
@@ -156,12 +166,7 @@ def match_status(exchanges: DataFrame, registry: DataFrame, catalog: DataFrame,
         F.when(F.col("best").isNotNull(), "matched").when(F.col("n_halt") > 0, "recognised_unmatchable").when(F.col("n").isNull(), "no_registry")
         .when((F.col("n_unit") > 0) & (F.col("n_open") == 0), "unit_mismatch_only").when((F.col("n_open") > 0) & (F.col("n_unit") == 0), "target_unresolved_only").otherwise("mixed")
     )
-    # the signature's unit may be null, which is a value of its own here
-    same = [F.col(f"e.{c}").eqNullSafe(F.col(f"p.{c}")) for c in _SIGNATURE]
-    on = same[0]
-    for c in same[1:]:
-        on = on & c
-    return _signed(exchanges).alias("e").join(p.alias("p"), on, "left").select("e.exc_id", status.alias("status"))
+    return _signed(exchanges).select("exc_id", "h1", "h2").join(p, ["h1", "h2"], "left").select("exc_id", status.alias("status"))
 
 
 def match_audit(exchanges: DataFrame, matched: DataFrame) -> DataFrame:
