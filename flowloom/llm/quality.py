@@ -104,9 +104,10 @@ def statistics_of(text: str | None) -> tuple:
         d, cells = _delimited(x)
         if d:
             rows[(d, cells)] += 1
-        if near >= 0.22 and n_ws >= 6 and (cells < 3 or d in ";, "):
+        bullet = _BULLET.match(x) is not None
+        if near >= 0.22 and n_ws >= (10 if bullet else 6) and (cells < 3 or d in ";, "):
             sentence += size
-        if _BULLET.match(x):
+        if bullet:
             bullets += 1
         elif n_ws <= 12 and near < 0.2 and len(x) <= 120:
             entries += 1
