@@ -1,10 +1,11 @@
 """Passages of held-out items inside documents, found with a generalised suffix automaton.
 
 The items (a fixed, size-checked set) form one suffix automaton over their words. Each document's words
-stream through it once; wherever the longest match reaches SEED words, the occurrences in the items are read
-off the automaton. A passage of 20 or more words with at most one error in ten words always holds an exact
-run of 6 (20 words with 2 errors leave 18 in 3 runs; longer ones leave more), so no case is missed. Each seed
-is extended in both directions by furthest-reaching alignments, exact in the number of errors.
+stream through it once; at every word where the match has SEED words or more, all occurrences of its last SEED
+words in the items are read off the automaton, also those of items whose match is shorter than the longest. A passage of 20 or more words with at most one error in ten words always holds an exact
+run of 6 (20 words with 2 errors leave 18 in 3 runs; longer ones leave more), so no case is missed. Each run
+of seeds on a diagonal of an item is extended once in both directions by furthest-reaching alignments, exact in
+the number of errors.
 """
 
 from __future__ import annotations
@@ -91,6 +92,7 @@ class Automaton:
         for v in range(1, len(nxt)):
             children[link[v]].append(v)
         first, stop, ends = [0] * len(nxt), [0] * len(nxt), []
+        seed = list(range(len(nxt)))  # of each state, the ancestor that stands for the last SEED words
         stack = [(0, False)]
         while stack:
             v, done = stack.pop()
@@ -98,29 +100,29 @@ class Automaton:
                 stop[v] = len(ends)
                 continue
             first[v] = len(ends)
+            if v and length[link[v]] >= SEED:  # parents come first
+                seed[v] = seed[link[v]]
             if end[v] >= 0:
                 ends.append(end[v])
             stack.append((v, True))
             stack += [(c, False) for c in children[v]]
-        self.first, self.stop, self.ends = first, stop, ends
+        self.first, self.stop, self.ends, self.seed = first, stop, ends, seed
 
-    def matches(self, ids: list[int], lo: int, hi: int) -> Iterator[tuple[int, int, int]]:
-        """(end, length, state) of the maximal matches of SEED or more words in ids[lo:hi]."""
-        nxt, link, length = self.next, self.link, self.length
+    def matches(self, ids: list[int], lo: int, hi: int) -> Iterator[tuple[int, int]]:
+        """(end, state) of every SEED words in ids[lo:hi] that the items have; their occurrences stand below the state."""
+        nxt, link, length, seed = self.next, self.link, self.length, self.seed
         v = n = 0
         for at in range(lo, hi):
             c = ids[at]
             if c not in nxt[v]:
-                if n >= SEED:
-                    yield at, n, v
                 while v and c not in nxt[v]:
                     v = link[v]
                 n = length[v]
             if c in nxt[v]:
                 v = nxt[v][c]
                 n += 1
-        if n >= SEED:
-            yield hi, n, v
+                if n >= SEED:
+                    yield at + 1, seed[v]
 
 
 def _reach(a: list[int], b: list[int], i: int, j: int, step: int, stop: int, most: int) -> list[tuple[int, int]]:
@@ -163,16 +165,15 @@ def _reach(a: list[int], b: list[int], i: int, j: int, step: int, stop: int, mos
 def passages(automaton: Automaton, ids: list[int], runs: list[tuple[int, int]]) -> dict[int, tuple[int, int]]:
     """item number -> (first word, end) in the document of its longest passage found."""
     found: dict[int, tuple[int, int]] = {}
-    tried: set[tuple[int, int]] = set()
+    tried: dict[tuple[int, int], int] = {}  # item and diagonal -> end of the run of words in common that was extended last
     text, owner = automaton.list, automaton.owner
     for lo, hi in runs:
-        for end, n, state in automaton.matches(ids, lo, hi):
+        for end, state in automaton.matches(ids, lo, hi):
             for at in automaton.ends[automaton.first[state] : automaton.stop[state]]:
                 item = owner[at]
-                a0, d0 = at - n + 1, end - n  # first word of the seed in the items' text and in the document
-                if (a0 - d0, at) in tried:
+                if tried.get((item, at - end), 0) >= end:
                     continue
-                tried.add((a0 - d0, at))
+                a0, d0 = at - SEED + 1, end - SEED  # first word of the seed in the items' text and in the document
                 start, stop = at, at
                 while start > 0 and text[start - 1] >= 0:
                     start -= 1
@@ -180,11 +181,12 @@ def passages(automaton: Automaton, ids: list[int], runs: list[tuple[int, int]])
                     stop += 1
                 most = max(2, (stop - start) // PER_ERROR)
                 right = _reach(text, ids, at + 1, end, 1, stop, most)
+                tried[item, at - end] = end + right[0][1]
                 left = _reach(text, ids, a0 - 1, d0 - 1, -1, start - 1, most)
                 best = None
                 for e1, (x1, y1) in enumerate(left):
                     for e2, (x2, y2) in enumerate(right):
-                        size = n + x1 + x2
+                        size = SEED + x1 + x2
                         if size >= PASSAGE and size >= PER_ERROR * (e1 + e2) and (best is None or size > best[0]):
                             best = (size, d0 - y1, end + y2)
                 if best:

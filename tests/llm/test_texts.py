@@ -108,6 +108,31 @@ def test_leaks_against_brute_force():
     assert agree == 120 and 20 < leaked < 110
 
 
+def test_leaks_of_items_that_share_text():
+    """A longer match with one item hides none of the others, whichever part of it they have."""
+    rng = random.Random(9)
+    a = [f"a{i}" for i in range(40)]
+    whole = leaks.Automaton([(1, " ".join(a)), (2, " ".join(a[10:] + [f"b{i}" for i in range(10)]))])
+    assert {i for i, *_ in leaks.document_passages(whole, " ".join(a))} == {1, 2}
+    agree = both = 0
+    for _ in range(40):
+        shared = [rng.choice(WORDS) for _ in range(30)]
+        alone = lambda n: [rng.choice(WORDS) for _ in range(n)]
+        at, other = rng.randrange(11), rng.randrange(11)
+        first, second = alone(at) + shared + alone(10 - at), alone(other) + shared + alone(10 - other)
+        piece = list(rng.choice([first, second, first[:25], second[-25:], shared]))
+        for _ in range(rng.choice([0, 0, 1, 2, 3])):
+            p = rng.randrange(len(piece))
+            piece = rng.choice([piece[:p] + piece[p + 1 :], piece[:p] + ["odd"] + piece[p:], piece[:p] + ["odd"] + piece[p + 1 :]])
+        doc = ["x"] * 3 + piece + ["y"] * 3
+        automaton = leaks.Automaton([(1, " ".join(first)), (2, " ".join(second))])
+        want = {i for i, t in ((1, first), (2, second)) if _leaks(t, doc)}
+        assert {i for i, *_ in leaks.document_passages(automaton, " ".join(doc))} == want
+        agree += 1
+        both += len(want) == 2
+    assert agree == 40 and both > 20
+
+
 def test_leaked_rows(spark, rows):
     rng = random.Random(1)
     text = " ".join(f"word{rng.randrange(1000)}" for _ in range(40)) + " 2.64 end"
