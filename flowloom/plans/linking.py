@@ -94,7 +94,7 @@ def insert_if_absent(spark: SparkSession, root: str) -> DataFrame:
 @query("select event_id, (select max(e2.event_id) from events e2 where e2.event_id <= e1.event_id and e2.event_id % 97 = 0) as header from events e1 where event_id % 5 = 1")
 def forward_fill(spark: SparkSession, root: str) -> DataFrame:
     e = table(spark, root, "events").select("event_id")
-    return keep.forward_fill(e, F.when(F.col("event_id") % 97 == 0, F.col("event_id")), "event_id", "header").where("event_id % 5 = 1")
+    return keep.forward_fill(e, F.when(F.col("event_id") % 97 == 0, F.col("event_id")), "event_id", "header")
 
 
 def _records(spark: SparkSession, root: str) -> DataFrame:

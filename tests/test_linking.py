@@ -85,6 +85,15 @@ def test_keep(spark, rows):
     assert keep.forward_fill(f.limit(0), F.col("v"), "o", "w").count() == 0
 
 
+def test_forward_fill_query_gives_every_event(spark, rows, tmp_path):
+    from flowloom.plans import linking
+
+    ids = [i for i in range(50, 400) if i % 7]
+    spark.createDataFrame([(i,) for i in ids], "event_id long").write.parquet(str(tmp_path / "events.parquet"))
+    got = rows(linking.forward_fill(spark, str(tmp_path)), "event_id", "header")
+    assert sorted(got) == [(i, max((h for h in ids if h % 97 == 0 and h <= i), default=None)) for i in ids]
+
+
 def test_cascade_and_chain(spark, rows):
     left = spark.createDataFrame([(1, "a", "x"), (2, "a", "z"), (3, "b", None), (4, None, None)], "i int, n string, u string")
     right = spark.createDataFrame([("a", "x", "c1"), ("a", "y", "c2"), ("b", "q", "c3"), ("b", "q", "c3")], "n string, u string, code string")
