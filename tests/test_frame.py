@@ -67,6 +67,14 @@ def test_cycle_converges_and_matches_dense(spark, rows):
         solve.supply(a, made, want, most=2)
 
 
+def test_reachability_query_starts_from_every_part(spark, rows, tmp_path):
+    from flowloom.plans import scoring
+
+    spark.createDataFrame([(p, 1) for p in range(1, 31)], "p_partkey int, p_size int").write.parquet(str(tmp_path / "part.parquet"))
+    spark.createDataFrame([(1, 1, 1.0)], "l_partkey int, l_suppkey int, l_quantity double").write.parquet(str(tmp_path / "lineitem.parquet"))
+    assert sorted(rows(scoring.reachability(spark, str(tmp_path)), "start", "node")) == sorted((p, p >> k) for p in range(1, 31) for k in range(p.bit_length()))
+
+
 def test_zero_production_gives_a_reason(spark, rows):
     f = spark.createDataFrame([(1, 10, 1.0, "production", False), (1, 10, 1.0, "technosphere", False)], FRAME)
     made = spark.createDataFrame([(10, 1)], "product_id long, activity_id long")
