@@ -13,6 +13,7 @@ import re
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 from itertools import combinations, product
+from math import prod
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -22,6 +23,8 @@ from pyspark.sql import functions as F
 RADIUS = 3
 #: Entries in one shard of the reference list, and values whose result a worker remembers.
 SHARD_ENTRIES, REMEMBERED = 20_000, 200_000
+#: Ways of reading a value's words that are tried one by one; more are searched entry by entry.
+PRODUCT = 64
 #: Words that say nothing, words of a compartment left unspecified, words that go before a flow.
 DECORATIONS = ("generic", "adapted", "unspecified", "unspec", "sheet", "specified", "not", "ns")
 LEADING = ("land", "resource")
@@ -164,10 +167,10 @@ class Lexicon:
             near = range(len(bare) - 1, len(bare) + 2)
             hits = hits or [w for w in self.words if len(bare) >= 3 and len(bare) < len(w) and min(edits(bare, w[:n]) for n in near) <= 1]
             if hits:
-                return tuple(hits[:6])
+                return tuple(hits)
         elif len(bare) >= 3:  # without its point: what is left of the word, first and last letter among it
             hits = [w for w in self.words if w[0] == bare[0] and w[-1] == bare[-1] and len(w) <= 2 * len(bare) and len(bare) + 2 <= len(w) and _is_subsequence(bare, w)]
-            return (bare, *hits[:5])
+            return (bare, *hits)
         return (bare,)
 
     @lru_cache(maxsize=100_000)  # noqa: B019
@@ -186,6 +189,24 @@ def _tokens(text: str) -> list[str]:
     return _TOKEN.findall(text)
 
 
+def _fits(options: list[set[str]], entry: Words) -> bool:
+    """Whether each of the options can be read as another word of the entry (augmenting paths)."""
+    if any(o.isdisjoint(entry) for o in options):
+        return False
+    reader: dict[int, int] = {}
+
+    def place(i: int, seen: set[int]) -> bool:
+        for j, w in enumerate(entry):
+            if w in options[i] and j not in seen:
+                seen.add(j)
+                if j not in reader or place(reader[j], seen):
+                    reader[j] = i
+                    return True
+        return False
+
+    return all(place(i, set()) for i in range(len(options)))
+
+
 class Matcher:
     """Entries given as (ref_id, words); alias sets may stand beside the full words."""
 
@@ -197,6 +218,45 @@ class Matcher:
         for i, w in entries:
             self.exact.setdefault(tuple(sorted(w)), set()).add(i)
         self.tree = BKTree((w, i) for i, w in entries)
+        self.by_size: dict[int, list[Words]] = {}
+        for w in self.exact:
+            self.by_size.setdefault(len(w), []).append(w)
+
+    def _readable(self, options: list[tuple[str, ...]]) -> list[Words]:
+        """The readings that are worth a search: all that lie within RADIUS of an entry, without listing the others.
+
+        Each word stands for one, so an entry of another size is never accepted. Where the words can be read as
+        entries just as they are, one reading of each such entry is given, as nothing is nearer.
+        """
+        sets = [set(o) for o in options]
+        same = self.by_size.get(len(options), [])
+        if whole := [w for w in same if _fits(sets, w)]:
+            return whole
+        found: dict[Words, Words] = {}
+        for entry in same:
+            held = set(entry)
+            if sum(not s.isdisjoint(held) for s in sets) < len(sets) - RADIUS:  # each word that it hasn't costs 1 at least
+                continue
+            states: dict[Words, tuple[Words, dict[int, int]]] = {(): ((), {0: 0})}  # words read -> in order, words of the entry taken -> cost
+            for o in options:
+                new: dict[Words, tuple[Words, dict[int, int]]] = {}
+                for x in o:
+                    cost = {j: edits(x, y) for j, y in enumerate(entry) if abs(len(x) - len(y)) <= RADIUS}
+                    cost = {j: c for j, c in cost.items() if c <= RADIUS}
+                    for words, takings in states.values() if cost else ():
+                        key = tuple(sorted((*words, x)))
+                        if key in new:
+                            continue
+                        took: dict[int, int] = {}
+                        for taken, c in takings.items():
+                            for j, more in cost.items():
+                                if not taken >> j & 1 and c + more <= RADIUS:
+                                    took[taken | 1 << j] = min(took.get(taken | 1 << j, RADIUS), c + more)
+                        if took:
+                            new[key] = ((*words, x), took)
+                states = new
+            found |= {k: words for k, (words, _) in states.items() if k not in found}
+        return list(found.values())
 
     def nearest(self, tokens: list[str]) -> tuple[int, int] | None:
         """(distance, ref_id) of the entry meant; None if there is none or if two are equally near."""
@@ -204,7 +264,7 @@ class Matcher:
             return None
         options = [self.lexicon.readings(t) for t in tokens]
         best: dict[int, int] = {}
-        for words in product(*options) if len(tokens) <= 12 else [tuple(o[0] for o in options)]:
+        for words in product(*options) if prod(map(len, options)) <= PRODUCT else self._readable(options):
             hit = self.exact.get(tuple(sorted(words)))
             if hit:
                 for i in hit:

@@ -109,6 +109,33 @@ def test_flows(value, want):
     assert (hit[1] if hit else 0) == want
 
 
+def test_every_reading_counts():
+    """Abbreviations with many readings and values of many words, against trying all readings."""
+    many = [f"st{c}rm" for c in "abcdefghij"]
+    m = valuemap.Matcher([(i, (w, "field")) for i, w in enumerate(many)] + [(50, ("st" + "z" + "rm", "meadow"))])
+    assert m.nearest(["st.", "meadow"]) == (0, 50)
+    assert m.nearest(["st.", "medow"]) == (1, 50)
+    assert m.nearest(["st.", "field"]) is None
+    long = tuple(f"word{c}{c}" for c in "abcdefghijklm")
+    assert valuemap.Matcher([(1, (*long, "stone")), (2, ("sand", "soil"))]).nearest([*long, "st."]) == (0, 1)
+    assert valuemap.Matcher([(1, (*long, "stone")), (2, (*long, "sand"))]).nearest([*long, "stn."]) == (0, 1)
+    m = valuemap.Matcher([(1, (*long, "stain")), (2, ("sain", "soil"))])
+    assert m.nearest([*long, "sn."]) == (0, 1)  # 'sain' is the first reading
+    rng = random.Random(4)
+    stems = ["sand", "soil", "silt", "salt", "sedge", "swamp", "shore", "slope", "stone", "spring"]
+    m = valuemap.Matcher([(i, tuple(rng.choices(stems, k=3))) for i in range(60)])
+    for _ in range(60):
+        tokens = [rng.choice(["s.", "sl.", "sd.", "sp.", "sil", "sandd", "stone"]) for _ in range(3)]
+        options = [m.lexicon.readings(t) for t in tokens]
+        best: dict[int, int] = {}
+        for words in itertools.product(*options):
+            for d, entry, ids in m.tree.within(words, valuemap.RADIUS):
+                if valuemap.accepted(valuemap.assignment(words, entry)[1], len(valuemap.assignment(words, entry)[1]) < len(entry)):
+                    best |= {i: min(best.get(i, d), d) for i in ids}
+        near = [i for i, d in best.items() if d == min(best.values())]
+        assert m.nearest(tokens) == ((min(best.values()), near[0]) if len(near) == 1 else None)
+
+
 def test_typed_values_and_shards(spark, rows, monkeypatch):
     c = spark.createDataFrame([(1, ["Air", "tall chimn."]), (1, ["Air", "tall chimn."]), (2, None), (3, ["air", "x"])], "rule_id long, source_context array<string>").withColumn("value", F.lit(1)).withColumn("d", F.lit(2))
     f = spark.createDataFrame([(1, "occ., walled heath"), (2, None), (None, "x")], "synonym_id long, simapro string")
