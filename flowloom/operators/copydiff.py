@@ -71,23 +71,28 @@ def _differ(a: np.ndarray, b: np.ndarray, tolerance: float) -> np.ndarray:
 
 
 def _compare(table: pa.Table, n_key: int, fields: list[str], numbers: int, sides: tuple[str, str], tolerance: float) -> pa.Table:
-    """table: key columns, side, hash, then lo and hi per field; sorted by key and side, one row per key and side."""
+    """table: key columns, side, hash, then lo and hi per field and, of numbers, whether one is null; sorted by key and side, one row per key and side."""
     h = table["_h"].to_numpy().view(np.uint64)
     side = table["_side"].to_numpy()
-    lo, hi = [], []
+    lo, hi, void = [], [], {}
+    several = np.zeros(len(h), bool)  # keys with more than one value of a field: compared in any case
     for i in range(len(fields)):
         as_float = i >= len(fields) - numbers
         x, y = table[f"_lo{i}"], table[f"_hi{i}"]
         fill = (lambda c: c.to_numpy(zero_copy_only=False).astype(float)) if as_float else (lambda c: c.fill_null(0).to_numpy())
         lo.append(np.ascontiguousarray(fill(x)))
         hi.append(np.where(y.is_null().to_numpy(), lo[-1], fill(y)))
+        several |= y.is_valid().to_numpy()
+        if as_float:
+            void[i] = table[f"_nu{i}"].to_numpy(zero_copy_only=False).astype(bool)
+            several |= void[i] & ~np.isnan(lo[-1])
     rows = np.zeros(len(h), np.uint64)
     for i, c in enumerate([*lo, *hi]):
         v = _coarse(np.where(np.isnan(c), np.nan, c)) if c.dtype.kind == "f" else c.view(np.uint64)
         rows += _mix(v + _mix(np.full(1, i + 1, np.uint64)))
     at = [np.flatnonzero(side == s) for s in (0, 1)]
     flagged = _unmatched([h[i] for i in at], [rows[i] for i in at])
-    left, right = at[0][flagged[0]], at[1][flagged[1]]
+    left, right = [i[f | several[i]] for i, f in zip(at, flagged, strict=True)]
     found: list[tuple[np.ndarray, str]] = []
     in_right, in_left = np.isin(h[left], h[at[1]]), np.isin(h[right], h[at[0]])
     found.append((left[~in_right], f"missing_in_{sides[1]}"))
@@ -96,7 +101,9 @@ def _compare(table: pa.Table, n_key: int, fields: list[str], numbers: int, sides
     wanted = np.union1d(h[left[in_right]], h[right[in_left]])
     a, b = at[0][np.isin(h[at[0]], wanted)], at[1][np.isin(h[at[1]], wanted)]
     for i, name in enumerate(fields):
-        off = _differ(lo[i][a], lo[i][b], tolerance) | _differ(hi[i][a], hi[i][b], tolerance)
+        off = _differ(lo[i][a], hi[i][b], tolerance) | _differ(hi[i][a], lo[i][b], tolerance)  # the pairs that lie furthest apart
+        if i in void:
+            off |= void[i][a] & ~np.isnan(lo[i][b]) | void[i][b] & ~np.isnan(lo[i][a])
         found.append((a[off], name))
     index = np.concatenate([i for i, _ in found])
     names = np.repeat([n for _, n in found], [len(i) for i, _ in found])
@@ -120,8 +127,8 @@ def copy_differences(
     Keys in `folded_key` are compared and returned trimmed and in lower case, the others as they stand; null
     is a key value of its own. Null, NaN and blank text are one value; text is compared trimmed, lists in
     order of their trimmed elements (an empty list is null), numbers by `tolerance` of the larger magnitude.
-    Repeated rows are no difference. Of a key with several contents in one copy, the smallest and the largest
-    value (of fingerprints) of each field are compared. An empty copy gives missing rows only. Other columns
+    Repeated rows are no difference. Of a key with several contents in a copy, a field differs if any of its
+    values in one copy differs from any in the other. An empty copy gives missing rows only. Other columns
     are not read.
     """
     fields = [*texts, *lists, *numbers]
@@ -135,7 +142,8 @@ def copy_differences(
         return df.select(*keys, F.lit(n).cast("byte").alias("_side"), *[v.alias(f"_v{i}") for i, v in enumerate(values)])
 
     def agg(i: int) -> list[Column]:
-        return [F.min(f"_v{i}").alias(f"_lo{i}"), F.nullif(F.max(f"_v{i}"), F.min(f"_v{i}")).alias(f"_hi{i}")]
+        void = [F.max(F.isnull(f"_v{i}")).alias(f"_nu{i}")] if i >= len(fields) - len(numbers) else []
+        return [F.min(f"_v{i}").alias(f"_lo{i}"), F.nullif(F.max(f"_v{i}"), F.min(f"_v{i}")).alias(f"_hi{i}"), *void]
 
     both = side(left, 0).unionByName(side(right, 1)).groupBy(*key, "_side").agg(*[a for i in range(len(fields)) for a in agg(i)])
     n = parallelism(left.sparkSession)

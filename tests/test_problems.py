@@ -132,6 +132,29 @@ def test_copy_differences_against_brute_force(spark, rows):
     assert set(got) == want
 
 
+def test_copy_differences_of_keys_with_several_contents(spark, rows):
+    """Every content of one copy against every content of the other, as a join of the distinct rows does it."""
+    rng = random.Random(3)
+    near = lambda x, y: x == y or (isinstance(x, float) and isinstance(y, float) and abs(x - y) <= 1e-6 * max(abs(x), abs(y)))
+    numbers = [({None, 5.0}, {5.0}), ({1.0, 2.0, 3.0}, {1.0, 3.0}), ({1.0, 2.0}, {1.0, 2.0}), ({None, 5.0}, {None, 5.0}), ({None}, {None}), ({1.0, 1.0 + 1e-8}, {1.0}), ({-1.0, 4.0}, {4.0})]
+    texts = [({"a", "b"}, {"a", "b"}), ({"a", None}, {"a"}), ({"a", "b", "c"}, {"a", "c"}), ({"a "}, {"a"})]
+    pick = lambda some: set(rng.sample(some, rng.randrange(1, 4)))
+    numbers += [(pick([None, 0.0, 1.0, 1.0 + 1e-8, -1.0]), pick([None, 0.0, 1.0, 1.0 + 1e-8, -1.0])) for _ in range(40)]
+    texts += [(pick([None, "a", "b"]), pick([None, "a", "b"])) for _ in range(40)]
+    sides, want = ([], []), set()
+    for field, at, cases in (("sp_cf", 7, numbers), ("ef_cf", 8, numbers), ("cas", 6, texts)):
+        for i, case in enumerate(cases):
+            for side, values in zip(sides, case, strict=True):
+                for v in values:
+                    r = ["r", field, f"{i:03d}", *[None] * 10]
+                    r[at] = v
+                    side.append(tuple(r))
+            if any(not near(_norm(field, x), _norm(field, y)) for x in case[0] for y in case[1]):
+                want.add(("r", field, f"{i:03d}", field))
+    got = rows(copydiff.factor_copy_differences(spark.createDataFrame(sides[0], COPY), spark.createDataFrame(sides[1][::-1], COPY)))
+    assert len(got) == len(set(got)) and set(got) == want and 40 < len(want) < len(numbers) * 2 + len(texts)
+
+
 def test_copy_differences_of_empty_and_null_keys(spark, rows):
     one = spark.createDataFrame([(None, "m", None, *[None] * 10), (None, "m", None, *[None] * 10)], COPY)
     none = spark.createDataFrame([], COPY)
