@@ -33,7 +33,11 @@ def location_means(table: DataFrame, key: list[str]) -> DataFrame:
     return table.where("location is not null").groupBy(*key, "location").agg(F.avg(F.abs("cf")).alias("cf")).where("cf > 0")
 
 
-def regional_rows(cfs: DataFrame, means: DataFrame, key: list[str], least: float = 1e-12) -> DataFrame:
+#: Fixed value: difference of a regional factor from the global one that makes a row of its own.
+REGIONAL_GAP = 0.01
+
+
+def regional_rows(cfs: DataFrame, means: DataFrame, key: list[str], least: float = REGIONAL_GAP) -> DataFrame:
     """Rows of cfs for each location whose mean differs from the global factor by `least` or more."""
     j = cfs.join(means.withColumnRenamed("cf", "local_cf"), key)
     return j.where(F.abs(F.col("local_cf") - F.abs("cf")) >= least)

@@ -52,11 +52,11 @@ def regional_mean(spark: SparkSession, root: str) -> DataFrame:
     return cf.location_means(_located(spark, root), ["method"]).select("method", "location", *r6("cf"))
 
 
-@query(f"with {_LOCATED}, g as (select method, flow, avg(cf) as cf from loc group by 1, 2), m as (select method, location, avg(abs(cf)) as local_cf from loc where location is not null group by 1, 2) select method, flow, location, round(local_cf, 6) as local_cf from g join m using (method) where abs(local_cf - abs(cf)) >= 1000")
+@query(f"with {_LOCATED}, g as (select method, flow, avg(cf) as cf from loc group by 1, 2), m as (select method, location, avg(abs(cf)) as local_cf from loc where location is not null group by 1, 2) select method, flow, location, round(local_cf, 6) as local_cf from g join m using (method) where abs(local_cf - abs(cf)) >= 0.01")
 def regional_cf_rows(spark: SparkSession, root: str) -> DataFrame:
     loc = _located(spark, root)
     g = loc.groupBy("method", "flow").agg(F.avg("cf").alias("cf"))
-    return cf.regional_rows(g, cf.location_means(loc, ["method"]), ["method"], 1000.0).select("method", "flow", "location", *r6("local_cf"))
+    return cf.regional_rows(g, cf.location_means(loc, ["method"]), ["method"]).select("method", "flow", "location", *r6("local_cf"))
 
 
 @query("select s_suppkey as code, 'N' || n_nationkey as location, sign(s_acctbal) * (n_nationkey + 1) * 10.0::double as cf from supplier, nation where s_acctbal <> 0 and abs(sign(s_acctbal) * (n_nationkey + 1) * 10 - s_acctbal) > 1e-12")

@@ -85,13 +85,14 @@ def label_preference(spark: SparkSession, root: str) -> DataFrame:
     return keep.keep_first(table(spark, root, "orders"), ["o_custkey"], [rank, F.col("o_orderdate"), F.col("o_orderkey")]).select("o_custkey", "o_orderkey", "o_orderstatus")
 
 
-@query("select o.o_orderkey as k, 'old' as side from orders o where o.o_orderkey % 3 = 0 union all select o_orderkey, 'new' from orders where o_orderkey % 2 = 0 and o_orderkey % 3 <> 0")
+@query("select p_partkey::bigint as k, 'old' as side from part union all select o_orderkey, 'new' from orders where o_orderkey not in (select p_partkey from part)")
 def insert_if_absent(spark: SparkSession, root: str) -> DataFrame:
-    o = table(spark, root, "orders").select(F.col("o_orderkey").alias("k"))
-    return keep.insert_if_absent(o.where("k % 3 = 0").withColumn("side", F.lit("old")), o.where("k % 2 = 0").withColumn("side", F.lit("new")), ["k"])
+    """Every part, and every order whose number no part has."""
+    old = table(spark, root, "part").select(F.col("p_partkey").cast("long").alias("k"), F.lit("old").alias("side"))
+    return keep.insert_if_absent(old, table(spark, root, "orders").select(F.col("o_orderkey").cast("long").alias("k"), F.lit("new").alias("side")), ["k"])
 
 
-@query("select event_id, (select max(e2.event_id) from events e2 where e2.event_id <= e1.event_id and e2.event_id % 97 = 0) as header from events e1 where event_id % 5 = 1")
+@query("select event_id, max(case when event_id % 97 = 0 then event_id end) over (order by event_id) as header from events")
 def forward_fill(spark: SparkSession, root: str) -> DataFrame:
     e = table(spark, root, "events").select("event_id")
     return keep.forward_fill(e, F.when(F.col("event_id") % 97 == 0, F.col("event_id")), "event_id", "header")

@@ -255,7 +255,7 @@ def edge_contrib_topn(spark: SparkSession, root: str) -> DataFrame:
     return top.select("demand_id", "method", "row_id", "col_id", *r6("contribution"), F.col("rank").cast("long").alias("rank"))
 
 
-@query(sql("exc") + ", e as (select distinct output_id as src, input_id as dst from exc where edge_type = 'technosphere'), st as (select p_partkey::bigint as start from part where p_partkey % 10 = 7), w as (with recursive r(start, node) as (select start, start from st union select r.start, e.dst from r join e on e.src = r.node) select * from r) select start, node from w")
+@query(sql("exc") + ", e as (select distinct output_id as src, input_id as dst from exc where edge_type = 'technosphere'), st as (select p_partkey::bigint as start from part), w as (with recursive r(start, node) as (select start, start from st union select r.start, e.dst from r join e on e.src = r.node) select * from r) select start, node from w")
 def reachability(spark: SparkSession, root: str) -> DataFrame:
     e = views.exchanges(spark, root).where("edge_type = 'technosphere'").select(F.col("output_id").alias("src"), F.col("input_id").alias("dst"))
     starts = table(spark, root, "part").select(F.col("p_partkey").cast("long").alias("start"), F.col("p_partkey").cast("long").alias("node"))
