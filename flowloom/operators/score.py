@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowloom.operators.keep import top_per_group
+from flowloom.operators.solve import unit_scores
 
 
 def inventory(s: DataFrame, b: DataFrame) -> DataFrame:
@@ -21,6 +22,15 @@ def per_activity(b: DataFrame, q: DataFrame, corrections: DataFrame | None = Non
     return x.unionByName(corrections.select("method", "col_id", F.col("value").alias("x"))).groupBy("method", "col_id").agg(F.sum("x").alias("x"))
 
 
+def product_scores(a: DataFrame, producers: DataFrame, demands: DataFrame, b: DataFrame, q: DataFrame, corrections: DataFrame | None = None) -> DataFrame:
+    """demand_id, method, score of each demand (demand_id, product_id, amount), without the supply of any.
+
+    The transposed system gives what one unit of every product scores; demands only look it up.
+    """
+    y = unit_scores(a, producers, per_activity(b, q, corrections))
+    return demands.join(y, "product_id").groupBy("demand_id", "method").agg(F.sum(F.col("amount") * F.col("score")).alias("score"))
+
+
 def scores(s: DataFrame, b: DataFrame, q: DataFrame, corrections: DataFrame | None = None) -> DataFrame:
     """demand_id, method, score = (Q B + C) s.
 
@@ -43,8 +53,9 @@ def top_inventory(s: DataFrame, b: DataFrame, n: int) -> DataFrame:
 def flow_contributions(s: DataFrame, b: DataFrame, q: DataFrame) -> DataFrame:
     """demand_id, method, row_id, contribution, share of the score, and share of the sum of magnitudes."""
     c = inventory(s, b).join(q, "row_id").select("demand_id", "method", "row_id", (F.col("amount") * F.col("cf")).alias("contribution")).where("contribution <> 0")
-    t = c.groupBy("demand_id", "method").agg(F.sum("contribution").alias("_t"), F.sum(F.abs("contribution")).alias("_a"))
-    return c.join(t, ["demand_id", "method"]).select("demand_id", "method", "row_id", "contribution", F.try_divide("contribution", "_t").alias("share"), F.try_divide(F.abs("contribution"), F.col("_a")).alias("abs_share"))
+    w = Window.partitionBy("demand_id", "method")  # at most the flows of one inventory
+    x, total, size = F.col("contribution"), F.sum("contribution").over(w), F.sum(F.abs("contribution")).over(w)
+    return c.select("demand_id", "method", "row_id", "contribution", F.try_divide(x, total).alias("share"), F.try_divide(F.abs(x), size).alias("abs_share"))
 
 
 def activity_contributions(s: DataFrame, b: DataFrame, q: DataFrame, corrections: DataFrame | None = None) -> DataFrame:
@@ -56,9 +67,16 @@ def activity_contributions(s: DataFrame, b: DataFrame, q: DataFrame, corrections
 
 
 def edge_contributions(s: DataFrame, b: DataFrame, q: DataFrame, n: int | None = None) -> DataFrame:
-    """demand_id, method, row_id, col_id, contribution; the n largest of each demand and method if n is given."""
-    e = s.join(b, "col_id").join(q, "row_id").select("demand_id", "method", "row_id", "col_id", (F.col("supply") * F.col("value") * F.col("cf")).alias("contribution")).where("contribution <> 0")
-    return e if n is None else top_per_group(e, ["demand_id", "method"], [F.abs("contribution").desc(), F.col("row_id"), F.col("col_id")], n)
+    """demand_id, method, row_id, col_id, contribution; the n largest of each demand and method (with `rank`) if n is given.
+
+    With n, each activity's n largest edges for a method are picked before the supplies are met: supply scales all
+    edges of an activity alike, so no other edge of it can be among the n of any demand. Ties by flow, then activity.
+    """
+    e = b.join(q, "row_id").select("method", "row_id", "col_id", "value", "cf").where("value * cf <> 0")
+    if n is not None:
+        e = top_per_group(e, ["method", "col_id"], [F.abs(F.col("value") * F.col("cf")).desc(), F.col("row_id")], n).drop("rank")
+    x = s.join(e, "col_id").select("demand_id", "method", "row_id", "col_id", (F.col("supply") * F.col("value") * F.col("cf")).alias("contribution")).where("contribution <> 0")
+    return x if n is None else top_per_group(x, ["demand_id", "method"], [F.abs("contribution").desc(), F.col("row_id"), F.col("col_id")], n)
 
 
 def parity(a: DataFrame, b: DataFrame, tolerance: float = 1e-9) -> DataFrame:

@@ -1,99 +1,345 @@
-"""Supply of the demanded products: the solution of A s = d for many demands at once."""
+"""The system A s = d, solved for many demands at once, or transposed for the scores of all products at once.
+
+Both are one linear recurrence x = b + M x over the graph of consumption. Strong components (activities that need
+one another) are condensed first and inverted exactly, so that the rest has no cycle and is done level by level,
+without any cutoff. A graph of known, bounded size goes to each worker, where groups (demands or methods) are solved
+side by side; a larger one is done in rounds of joins. Components too large to invert are solved by a Krylov method
+whose vectors are DataFrames.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from uuid import uuid4
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from flowloom.operators.graph import components_of, strong_components
 from flowloom.session import checkpointed
 
+#: Nodes of the largest component that one task inverts; larger ones are solved by the Krylov method.
+DENSE = 3_000
+#: Edges of the largest graph that workers hold (24 bytes each); larger ones are done in rounds.
+HELD_EDGES = 2_000_000
+#: Cells of the largest matrix of nodes by groups that a worker fills at once.
+_CELLS = 4_000_000
+#: Rounds that one job takes: their exchanges are shared, and lineage is cut once for all.
+ROUNDS = 3
+
 
 class NotConverged(RuntimeError):
-    """The fixed point was not reached."""
+    """The Krylov method did not reach its tolerance."""
+
 
+class SingularSystem(ValueError):
+    """A cycle that nets to nothing: no supply, or any supply, would do."""
 
-def _parts(a: DataFrame, producers: DataFrame, eps: float) -> tuple[DataFrame, DataFrame]:
-    """Diagonal (product_id, activity_id, made) and consumption (product_id of the consumer, input, amount per unit made)."""
+
+def _parts(a: DataFrame, producers: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Diagonal (product_id, activity_id, made) and consumption (maker, input, amount, made, input_made).
+
+    Products whose production nets to 0 have no diagonal. maker is the product of the consuming activity.
+    """
     diagonal = a.join(producers, (a.row_id == producers.product_id) & (a.col_id == producers.activity_id)).select("product_id", "activity_id", F.col("value").alias("made"))
-    diagonal = diagonal.where(F.abs("made") > eps)
-    by_activity = diagonal.select(F.col("activity_id").alias("col_id"), F.col("product_id").alias("maker"))
-    off = a.join(by_activity, "col_id").where("row_id <> maker").select(F.col("maker"), F.col("row_id").alias("input"), (-F.col("value")).alias("amount"))
+    diagonal = diagonal.where("made <> 0")
+    by_activity = diagonal.select(F.col("activity_id").alias("col_id"), F.col("product_id").alias("maker"), "made")
+    off = a.join(by_activity, "col_id").where("row_id <> maker").select("maker", F.col("row_id").alias("input"), (-F.col("value")).alias("amount"), "made")
     made = diagonal.select(F.col("product_id").alias("input"), F.col("made").alias("input_made"))
-    # one unit of supply of `maker`'s activity asks for amount / made(input) units of supply of the input's activity
-    return diagonal, off.join(made, "input").select("maker", "input", (F.col("amount") / F.col("input_made")).alias("w"))
+    return diagonal, off.join(made, "input")
 
 
-def supply(a: DataFrame, producers: DataFrame, demands: DataFrame, tolerance: float = 1e-12, most: int = 500, eps: float = 1e-12) -> DataFrame:
-    """demand_id, col_id, supply for each demand.
+def _inverted(m: np.ndarray, name: object) -> np.ndarray:
+    try:
+        k = np.linalg.inv(m)
+    except np.linalg.LinAlgError as e:
+        raise SingularSystem(f"the component of {name} nets to nothing") from e
+    if not np.isfinite(k).all() or np.linalg.norm(m, 1) * np.linalg.norm(k, 1) > 1e15:
+        raise SingularSystem(f"the component of {name} nets to nothing")
+    return k
 
-    a: row_id (product), col_id (activity), value. producers: product_id, activity_id. demands: demand_id,
-    product_id, amount. Each round moves only what the last one added (a frontier), all demands together, and
-    adds up at the end; an acyclic system ends exactly after as many rounds as it is deep. Lineage is cut into
-    the shared checkpoint folder. Demands for products without a producer, or whose production nets to 0, give
-    no rows. Raises NotConverged after `most` rounds.
+
+def _inverse(pdf: pd.DataFrame) -> pd.DataFrame:
+    """node, into, k of one component: (I - M)^-1, given its edges (src, dst, w)."""
+    nodes = np.unique(np.r_[pdf.src.to_numpy(), pdf.dst.to_numpy()])
+    m = np.eye(len(nodes))
+    np.subtract.at(m, (np.searchsorted(nodes, pdf.dst), np.searchsorted(nodes, pdf.src)), pdf.w.to_numpy())
+    k = _inverted(m, nodes[0])
+    i, j = np.nonzero(k)
+    return pd.DataFrame({"node": nodes[j], "into": nodes[i], "k": k[i, j]})
+
+
+class Graph:
+    """Edges (src, dst, w) in the order in which a recurrence over them is solved."""
+
+    def __init__(self, src: np.ndarray, dst: np.ndarray, w: np.ndarray, on: np.ndarray, comp: np.ndarray):
+        self.nodes = np.unique(np.r_[src, dst])
+        s, d = np.searchsorted(self.nodes, src), np.searchsorted(self.nodes, dst)
+        n = len(self.nodes)
+        unit = np.arange(n)  # what a node is settled with: itself, or its component
+        unit[np.searchsorted(self.nodes, on)] = np.searchsorted(self.nodes, comp)
+        inner = unit[s] == unit[d]
+        self.blocks: dict[int, list] = {}
+        level = self._depths(unit[s[~inner]], unit[d[~inner]], n)
+        order = np.argsort(unit[s[inner]], kind="stable")
+        bs, bd, bw, bu = s[inner][order], d[inner][order], w[inner][order], unit[s[inner]][order]
+        for lo, hi in zip(*_slices(bu), strict=True):
+            at = np.unique(np.r_[bs[lo:hi], bd[lo:hi]])
+            m = np.eye(len(at))
+            np.subtract.at(m, (np.searchsorted(at, bd[lo:hi]), np.searchsorted(at, bs[lo:hi])), bw[lo:hi])
+            self.blocks.setdefault(int(level[bu[lo]]), []).append((at, _inverted(m, self.nodes[at[0]])))
+        s, d, w = s[~inner], d[~inner], w[~inner]
+        order = np.lexsort((d, level[unit[s]]))
+        s, d, w, l = s[order], d[order], w[order], level[unit[s]][order]  # noqa: E741
+        self.steps = []
+        for lo, hi in zip(*_slices(l), strict=True):
+            first, _ = _slices(d[lo:hi])
+            self.steps.append((int(l[lo]), s[lo:hi], w[lo:hi, None], first, d[lo:hi][first]))
+        self.depth = max([*self.blocks, *(x[0] for x in self.steps)], default=-1) + 1
+
+    @staticmethod
+    def _depths(s: np.ndarray, d: np.ndarray, n: int) -> np.ndarray:
+        """Length of the longest path into each unit."""
+        level, degree = np.zeros(n, np.int64), np.bincount(d, minlength=n)
+        order = np.argsort(s, kind="stable")
+        into, first = d[order], np.searchsorted(s[order], np.arange(n + 1))
+        front = np.flatnonzero(degree == 0)
+        while len(front):
+            size = first[front + 1] - first[front]
+            at = np.repeat(first[front] - np.r_[0, np.cumsum(size)[:-1]], size) + np.arange(size.sum())
+            reached = into[at]
+            np.maximum.at(level, reached, np.repeat(level[front], size) + 1)
+            np.subtract.at(degree, reached, 1)
+            reached = np.unique(reached)
+            front = reached[degree[reached] == 0]
+        return level
+
+    def solve(self, x: np.ndarray, met: np.ndarray) -> None:
+        """x (nodes by groups) becomes the solution in place; met marks the cells that something reaches."""
+        steps = iter(self.steps)
+        step = next(steps, None)
+        for level in range(self.depth):
+            for at, k in self.blocks.get(level, ()):
+                x[at] = k @ x[at]
+                met[at] = met[at].any(0)
+            if step is not None and step[0] == level:
+                _, s, w, first, d = step
+                x[d] += np.add.reduceat(x[s] * w, first)
+                met[d] |= np.logical_or.reduceat(met[s], first)
+                step = next(steps, None)
+
+
+def _slices(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bounds of the runs of equal values."""
+    if not len(v):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    cut = np.flatnonzero(v[1:] != v[:-1]) + 1
+    return np.r_[0, cut], np.r_[cut, len(v)]
+
+
+_graphs: dict[int, Graph] = {}
+
+
+def _held(shared) -> Graph:
+    """The worker's graph, ordered and inverted once."""
+    if shared.id not in _graphs:
+        _graphs.clear()
+        _graphs[shared.id] = Graph(*shared.value)
+    return _graphs[shared.id]
+
+
+class _Shared:
+    """A broadcast with the number by which workers remember what they made of it."""
+
+    def __init__(self, broadcast):
+        self.id, self._b = uuid4().int, broadcast
+
+    @property
+    def value(self):
+        return self._b.value
+
+
+def _side_by_side(start: DataFrame, shared: _Shared) -> DataFrame:
+    """The recurrence with the whole graph in each worker: groups are solved some at a time, each by one task."""
+    kind = start.schema["grp"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        graph = _held(shared)
+        n = len(graph.nodes)
+        most = int(np.clip(_CELLS // max(1, n), 1, 256))
+
+        def solved(g: np.ndarray, node: np.ndarray, v: np.ndarray) -> Iterator[pa.RecordBatch]:
+            first, _ = _slices(g)
+            names = g[first]
+            for lo in range(0, len(names), most):
+                a, b = first[lo], first[lo + most] if lo + most < len(names) else len(g)
+                col = np.searchsorted(first, np.arange(a, b), "right") - 1 - lo
+                at = np.searchsorted(graph.nodes, node[a:b])
+                known = (at < n) & (graph.nodes[np.minimum(at, n - 1)] == node[a:b]) if n else np.zeros(b - a, bool)
+                width = min(most, len(names) - lo)
+                x, met = np.zeros((n, width)), np.zeros((n, width), bool)
+                np.add.at(x, (at[known], col[known]), v[a:b][known])
+                met[at[known], col[known]] = True
+                graph.solve(x, met)
+                i, j = np.nonzero(met)
+                alone = ~known  # nodes without any edge keep what they have
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.r_[names[lo + j], names[lo + col[alone]]]), pa.array(np.r_[graph.nodes[i], node[a:b][alone]]), pa.array(np.r_[x[i, j], v[a:b][alone]])], ["grp", "node", "x"]
+                )
+
+        held: list[tuple] = []
+        for b in batches:
+            if not b.num_rows:
+                continue
+            part = (b["grp"].to_numpy(zero_copy_only=False), b["node"].to_numpy(), b["x"].to_numpy())
+            held.append(part)
+            g = np.concatenate([p[0] for p in held])
+            first, _ = _slices(g)
+            if len(first) > most:  # all groups but the last are complete
+                node, v = (np.concatenate([p[i] for p in held]) for i in (1, 2))
+                cut = first[-1]
+                yield from solved(g[:cut], node[:cut], v[:cut])
+                held = [(g[cut:], node[cut:], v[cut:])]
+        if held:
+            yield from solved(*(np.concatenate([p[i] for p in held]) for i in range(3)))
+
+    rows = start.groupBy("grp", "node").agg(F.sum("x").alias("x")).select("grp", F.col("node").cast("long").alias("node"), "x").repartition("grp").sortWithinPartitions("grp")
+    return rows.mapInArrow(run, f"grp {kind}, node long, x double")
+
+
+def recurrence(start: DataFrame, edges: DataFrame, dense: int = DENSE, held: int = HELD_EDGES, tolerance: float = 1e-13, most: int = 400) -> DataFrame:
+    """grp, node, x with x = start + the sum over edges (src, dst, w) of w * x(src), for each grp.
+
+    start: grp, node, x; no row of it may be null. Exact up to rounding where no component has more than `dense` nodes; beyond, each group's
+    residual falls under `tolerance` of its start (NotConverged after `most` steps). A component that nets to nothing
+    raises SingularSystem. Lineage is cut into the shared checkpoint folder. An empty start gives no rows.
     """
-    diagonal, edges = _parts(a, producers, eps)
+    edges = edges.groupBy("src", "dst").agg(F.sum("w").alias("w"))
+    table = edges.limit(held + 1).toArrow()
+    if table.num_rows <= held:  # a graph of known size
+        src, dst, w = (np.asarray(table[c].to_numpy(), t) for c, t in (("src", np.int64), ("dst", np.int64), ("w", float)))
+        on, comp = components_of(src, dst)
+        if not len(comp) or np.unique(comp, return_counts=True)[1].max() <= dense:
+            return _side_by_side(start, _Shared(start.sparkSession.sparkContext.broadcast((src, dst, w, on, comp))))
     edges = checkpointed(edges)
-    start = demands.join(diagonal, "product_id").select("demand_id", "product_id", (F.col("amount") / F.col("made")).alias("x"))
-    frontier = checkpointed(start.groupBy("demand_id", "product_id").agg(F.sum("x").alias("x")))
-    levels = [frontier]
+    comps = strong_components(edges)
+    if comps is None:
+        return _levels(start, edges, None)
+    sizes = comps.groupBy("comp").agg(F.count(F.lit(1)).alias("n"))
+    largest = sizes.agg(F.max("n")).first()[0] or 0
+    if largest > dense:
+        return _krylov(start, edges, tolerance, most)
+    s, d = comps.select(F.col("node").alias("src"), F.col("comp").alias("cs")), comps.select(F.col("node").alias("dst"), F.col("comp").alias("cd"))
+    marked = checkpointed(edges.join(s, "src", "left").join(d, "dst", "left").withColumn("inner", F.coalesce(F.col("cs") == F.col("cd"), F.lit(False))))
+    inverse = checkpointed(marked.where("inner").groupBy("cs").applyInPandas(_inverse, "node long, into long, k double"))  # at most `dense` nodes a component
+    return _levels(start, marked.where("not inner").select("src", "dst", "w"), inverse)
+
 
-    def step(f: DataFrame) -> DataFrame:
-        moved = f.join(edges, f.product_id == edges.maker).groupBy("demand_id", F.col("input").alias("product_id")).agg(F.sum(F.col("x") * F.col("w")).alias("x"))
-        return moved.where(F.abs("x") > tolerance)
+def _levels(start: DataFrame, edges: DataFrame, inverse: DataFrame | None) -> DataFrame:
+    """The recurrence over edges without cycles; `inverse` settles what arrives at the nodes of a component."""
 
-    for _ in range(0, most, 2):  # two rounds in one job: their exchange is shared, and lineage is cut half as often
-        once = step(frontier)
-        both = once.withColumn("k", F.lit(1)).unionByName(step(once).withColumn("k", F.lit(2)))
+    def settled(b: DataFrame) -> DataFrame:
+        if inverse is None:
+            return b
+        hit = b.join(inverse, "node", "left").select("grp", F.coalesce("into", "node").alias("node"), (F.col("x") * F.coalesce("k", F.lit(1.0))).alias("x"))
+        return hit.groupBy("grp", "node").agg(F.sum("x").alias("x"))
+
+    def step(x: DataFrame) -> DataFrame:
+        moved = x.join(edges, x.node == edges.src).groupBy("grp", F.col("dst").alias("node")).agg(F.sum(F.col("x") * F.col("w")).alias("x"))
+        return settled(moved)
+
+    levels = [checkpointed(settled(start.groupBy("grp", "node").agg(F.sum("x").alias("x"))))]
+    frontier = levels[0]
+    while True:
+        job, at = None, frontier
+        for k in range(1, ROUNDS + 1):
+            at = step(at)
+            one = at.withColumn("k", F.lit(k))
+            job = one if job is None else job.unionByName(one)
         seen = Observation()
-        both = checkpointed(both.observe(seen, F.count_if(F.col("k") == 2).alias("n")))
-        levels.append(both.drop("k"))
-        frontier = both.where("k = 2").drop("k")
+        job = checkpointed(job.observe(seen, F.count_if(F.col("k") == ROUNDS).alias("n")))
+        levels.append(job.drop("k"))
         if not seen.get.get("n"):
-            total = levels[0]
-            for level in levels[1:]:
-                total = total.unionByName(level)
-            summed = total.groupBy("demand_id", "product_id").agg(F.sum("x").alias("supply"))
-            return summed.join(diagonal.select("product_id", "activity_id"), "product_id").select("demand_id", F.col("activity_id").alias("col_id"), "supply")
-    raise NotConverged(f"something still moves after {most} rounds")
+            break
+        frontier = job.where(F.col("k") == ROUNDS).drop("k")
+    total = levels[0]
+    for level in levels[1:]:
+        total = total.unionByName(level)
+    return total.groupBy("grp", "node").agg(F.sum("x").alias("x"))
+
 
+def _krylov(start: DataFrame, edges: DataFrame, tolerance: float, most: int) -> DataFrame:
+    """The recurrence by stabilised bi-conjugate gradients, all groups together; each group has its own step lengths."""
 
-def supply_dense(a: DataFrame, producers: DataFrame, demands: DataFrame, reach: DataFrame, most: int = 5000) -> DataFrame:
-    """The same for systems that the fixed point can't solve: each demand's own sub-system, solved densely.
+    def through(df: DataFrame, v: str, into: str) -> DataFrame:
+        """df with `into` = v less M v."""
+        moved = df.where(F.col(v) != 0).join(edges, df.node == edges.src).select("grp", F.col("dst").alias("node"), (F.col(v) * F.col("w")).alias("_m"))
+        moved = moved.groupBy("grp", "node").agg(F.sum("_m").alias("_m"))
+        names = [c for c in df.columns if c not in ("grp", "node")]
+        out = df.join(moved, ["grp", "node"], "full_outer").select("grp", "node", *[F.coalesce(c, F.lit(0.0)).alias(c) for c in names], F.coalesce("_m", F.lit(0.0)).alias("_m"))
+        return out.withColumn(into, F.col(v) - F.col("_m")).drop("_m")
 
-    reach: demand_id, product_id of what a demand needs, directly or not (graph.reachable). A sub-system of more
-    than `most` products raises. Singular sub-systems give no rows.
+    def with_dots(df: DataFrame, **dots: tuple[str, str]) -> DataFrame:
+        g = df.groupBy("grp").agg(*[F.sum(F.col(a) * F.col(b)).alias(n) for n, (a, b) in dots.items()])
+        return df.join(g, "grp")
+
+    ratio = lambda a, b: F.coalesce(F.try_divide(a, b), F.lit(0.0))
+    b = start.groupBy("grp", "node").agg(F.sum("x").alias("b"))
+    # several restarts: each takes the residual as its new right side
+    state = checkpointed(b.select("grp", "node", F.lit(0.0).alias("x"), F.col("b").alias("r"), F.col("b").alias("h"), F.col("b").alias("p")))
+    norms = checkpointed(b.groupBy("grp").agg(F.sqrt(F.sum(F.col("b") * F.col("b"))).alias("nb")))
+    for _ in range(most):
+        t = with_dots(through(state, "p", "v"), rho=("h", "r"), hv=("h", "v"))
+        t = t.withColumn("al", ratio(F.col("rho"), F.col("hv"))).withColumn("s", F.col("r") - F.col("al") * F.col("v"))
+        t = checkpointed(t)
+        t = with_dots(through(t.select("grp", "node", "x", "h", "p", "v", "s", "al", "rho"), "s", "t"), ts=("t", "s"), tt=("t", "t"))
+        scalars = t.groupBy("grp").agg(F.max_by("al", F.abs("al")).alias("al"), F.max_by("rho", F.abs("rho")).alias("rho"))  # rows new to the group have none
+        t = t.drop("al", "rho").join(scalars, "grp").withColumn("om", ratio(F.col("ts"), F.col("tt")))
+        t = t.withColumn("x", F.col("x") + F.col("al") * F.col("p") + F.col("om") * F.col("s")).withColumn("r", F.col("s") - F.col("om") * F.col("t"))
+        t = checkpointed(with_dots(t, new=("h", "r"), rr=("r", "r")).join(norms, "grp"))
+        worst = t.agg(F.max(ratio(F.sqrt("rr"), F.col("nb")))).first()[0] or 0.0
+        if worst <= tolerance:
+            return t.select("grp", "node", "x")
+        beta = ratio(F.col("new"), F.col("rho")) * ratio(F.col("al"), F.col("om"))
+        fresh = beta == 0  # a breakdown: begin again from the residual
+        state = t.withColumn("p", F.col("r") + beta * (F.col("p") - F.col("om") * F.col("v"))).withColumn("h", F.when(fresh, F.col("r")).otherwise(F.col("h")))
+        state = checkpointed(state.select("grp", "node", "x", "r", "h", "p"))
+    raise NotConverged(f"the residual is {worst} after {most} steps")
+
+
+def supply(a: DataFrame, producers: DataFrame, demands: DataFrame, dense: int = DENSE) -> DataFrame:
+    """demand_id, col_id, supply for each demand.
+
+    a: row_id (product), col_id (activity), value. producers: product_id, activity_id. demands: demand_id,
+    product_id, amount. No amount is cut off, however small. Demands for products without a producer, or whose
+    production nets to 0, give no rows (`unsolvable` names them).
     """
-    nodes = reach.join(producers, "product_id")
-    cells = nodes.join(a, nodes.activity_id == a.col_id).select("demand_id", "row_id", "col_id", "value", F.lit(0.0).alias("amount"))
-    wants = demands.join(producers, "product_id").select("demand_id", F.col("product_id").alias("row_id"), F.col("activity_id").alias("col_id"), F.lit(0.0).alias("value"), "amount")
-
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        cols = sorted(pdf.col_id.unique())
-        rows = sorted(pdf.row_id.unique())
-        if len(cols) > most:
-            raise ValueError(f"a sub-system of {len(cols)} products")
-        m = np.zeros((len(rows), len(cols)))
-        d = np.zeros(len(rows))
-        at_r, at_c = {r: i for i, r in enumerate(rows)}, {c: i for i, c in enumerate(cols)}
-        for r, c, v, w in zip(pdf.row_id, pdf.col_id, pdf.value, pdf.amount, strict=True):
-            m[at_r[r], at_c[c]] += v
-            d[at_r[r]] += w
-        if m.shape[0] != m.shape[1]:
-            return pd.DataFrame({"demand_id": [], "col_id": [], "supply": []})
-        try:
-            s = np.linalg.solve(m, d)
-        except np.linalg.LinAlgError:
-            return pd.DataFrame({"demand_id": [], "col_id": [], "supply": []})
-        return pd.DataFrame({"demand_id": int(pdf.demand_id.iloc[0]), "col_id": cols, "supply": s})
-
-    return cells.unionByName(wants).groupBy("demand_id").applyInPandas(solve, "demand_id long, col_id long, supply double")
-
-
-def unsolvable(a: DataFrame, producers: DataFrame, demands: DataFrame, eps: float = 1e-12) -> DataFrame:
+    diagonal, used = _parts(a, producers)
+    # one unit of supply of the maker's activity asks for amount / made(input) units of supply of the input's
+    edges = used.select(F.col("maker").alias("src"), F.col("input").alias("dst"), (F.col("amount") / F.col("input_made")).alias("w"))
+    start = demands.join(diagonal, "product_id").select(F.col("demand_id").alias("grp"), F.col("product_id").alias("node"), (F.col("amount") / F.col("made")).alias("x"))
+    x = recurrence(start, edges, dense)
+    return x.join(diagonal.select(F.col("product_id").alias("node"), "activity_id"), "node").select(F.col("grp").alias("demand_id"), F.col("activity_id").alias("col_id"), F.col("x").alias("supply"))
+
+
+def unit_scores(a: DataFrame, producers: DataFrame, per_activity: DataFrame, dense: int = DENSE) -> DataFrame:
+    """method, product_id, score of one unit of every product: the transposed system, solved once for each method.
+
+    per_activity: method, col_id, x (what one unit of an activity scores). The work grows with edges times methods,
+    not with products times their ancestors.
+    """
+    diagonal, used = _parts(a, producers)
+    edges = used.select(F.col("input").alias("src"), F.col("maker").alias("dst"), (F.col("amount") / F.col("made")).alias("w"))
+    start = per_activity.join(diagonal.withColumnRenamed("activity_id", "col_id"), "col_id").select(F.col("method").alias("grp"), F.col("product_id").alias("node"), (F.col("x") / F.col("made")).alias("x"))
+    y = recurrence(start, edges, dense)
+    return y.select(F.col("grp").alias("method"), F.col("node").alias("product_id"), F.col("x").alias("score"))
+
+
+def unsolvable(a: DataFrame, producers: DataFrame, demands: DataFrame) -> DataFrame:
     """demand_id, reason of the demands that get no supply: unknown products, or production that nets to 0."""
-    diagonal, _ = _parts(a, producers, eps)
+    diagonal, _ = _parts(a, producers)
     gone = demands.join(diagonal, "product_id", "left_anti").join(producers.select("product_id", "activity_id"), "product_id", "left")
     return gone.select("demand_id", F.when(F.col("activity_id").isNull(), "unknown product").otherwise("nothing is made").alias("reason"))

@@ -119,6 +119,40 @@ def dedup_producers(spark: SparkSession, root: str) -> DataFrame:
     return fr.one_producer(prod).groupBy("output_id").agg(F.count(F.lit(1)).alias("n_products"))
 
 
+def _loops(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """A, producers and demands of parts that need one another in pairs (some 0.97 of each other), and 5e-13 of a plant."""
+    p = table(spark, root, "part").select(F.col("p_partkey").cast("long").alias("p"), F.col("p_size").alias("z"))
+    mate = F.when(F.col("p") % 2 == 0, F.col("p") + 1).otherwise(F.col("p") - 1)
+    share = F.when(F.col("p") % 4 < 2, 0.97).otherwise(F.col("z") / 60.0)
+    cells = F.array(F.struct(F.col("p").alias("row_id"), F.lit(1.0).alias("value")), F.struct(mate.alias("row_id"), (-share).alias("value")), F.struct((F.col("p") % 50 + views.FLOW_BASE).alias("row_id"), F.lit(-5e-13).alias("value")))
+    a = p.select(F.col("p").alias("col_id"), F.explode(cells).alias("c")).select("c.row_id", "col_id", "c.value")
+    plants = spark.range(50).select((F.col("id") + views.FLOW_BASE).alias("row_id"))
+    a = a.unionByName(plants.select("row_id", F.col("row_id").alias("col_id"), F.lit(2.0).alias("value")))
+    made = p.select("p").unionByName(plants.select(F.col("row_id").alias("p"))).select(F.col("p").alias("product_id"), F.col("p").alias("activity_id"))
+    return a, made, p.select(F.col("p").alias("demand_id"), F.col("p").alias("product_id"), F.lit(1.0).alias("amount"))
+
+
+_LOOPS = f"""with w as (select p_partkey::bigint as p, (case when p_partkey % 2 = 0 then p_partkey + 1 else p_partkey - 1 end)::bigint as m, case when p_partkey % 4 < 2 then 0.97 else p_size / 60.0 end as u from part),
+l as (select a.p, a.m, 1 / (1 - a.u * b.u) as own, a.u / (1 - a.u * b.u) as other from w a join w b on b.p = a.m),
+s as (select p as demand_id, p as col_id, own as supply from l union all select p, m, other from l union all select p, {views.FLOW_BASE} + c % 50, sum(x) * 5e-13 / 2 from (select p, p as c, own as x from l union all select p, m, other from l) group by 1, 2) """
+
+
+@query(_LOOPS + "select demand_id, col_id, round(supply * case when col_id >= 1000000000 then 1e12 else 1 end, 6) as supply from s")
+def supply_of_loops(spark: SparkSession, root: str) -> DataFrame:
+    """Parts that need one another: exact, small amounts included (plants are given in units of 1e-12)."""
+    s = solve.supply(*_loops(spark, root))
+    return s.select("demand_id", "col_id", rnd(F.col("supply") * F.when(F.col("col_id") >= views.FLOW_BASE, 1e12).otherwise(1.0)).alias("supply"))
+
+
+@query(_LOOPS + "select demand_id, 'm' as method, round(sum(supply * case when col_id >= 1000000000 then 1e15 else 3.0 end), 4) as score from s group by 1")
+def score_loops(spark: SparkSession, root: str) -> DataFrame:
+    """The same by the transposed system: a plant scores 1e15, so its 5e-13 decide."""
+    a, made, want = _loops(spark, root)
+    b = made.select(F.lit(1).cast("long").alias("row_id"), F.col("activity_id").alias("col_id"), F.when(F.col("activity_id") >= views.FLOW_BASE, 1e15).otherwise(3.0).alias("value"))
+    q = spark.createDataFrame([("m", 1, 1.0)], "method string, row_id long, cf double")
+    return score.product_scores(a, made, want, b, q).select("demand_id", "method", F.round("score", 4).alias("score"))
+
+
 def _hanging(spark: SparkSession, root: str) -> DataFrame:
     """The frame with self-loops, zero production and missing producers."""
     f = views.exchanges(spark, root)
@@ -212,19 +246,19 @@ def aware_gate(spark: SparkSession, root: str) -> DataFrame:
 
 @query(sql("s", "b", "q") + "select demand_id, method, round(sum(supply * value * cf), 6) as score from s join b using (col_id) join q using (row_id) group by 1, 2")
 def score_products(spark: SparkSession, root: str) -> DataFrame:
-    _, b, q = _abq(spark, root)
-    return score.scores(_supply(spark, root), b, q).select("demand_id", "method", *r6("score"))
+    a, b, q = _abq(spark, root)
+    return score.product_scores(a, views.producers(spark, root), views.demands(spark, root), b, q).select("demand_id", "method", *r6("score"))
 
 
 @query(_C.replace("with ", "with " + views.SQL["s"] + ", ", 1) + "select demand_id, method, round(sum(x), 6) as score from (select demand_id, method, supply * value * cf as x from s join b using (col_id) join q using (row_id) union all select demand_id, method, supply * value from s join c using (col_id)) group by 1, 2")
 def score_corrected(spark: SparkSession, root: str) -> DataFrame:
-    _, b, q = _abq(spark, root)
-    return score.scores(_supply(spark, root), b, q, _correction(spark, root)).select("demand_id", "method", *r6("score"))
+    a, b, q = _abq(spark, root)
+    return score.product_scores(a, views.producers(spark, root), views.demands(spark, root), b, q, _correction(spark, root)).select("demand_id", "method", *r6("score"))
 
 
-@query(sql("s") + "select demand_id, col_id, round(supply, 6) as supply from s where abs(supply) > 1e-9")
+@query(sql("s") + "select demand_id, col_id, round(supply, 6) as supply from s")
 def supply_of_products(spark: SparkSession, root: str) -> DataFrame:
-    return _supply(spark, root).where("abs(supply) > 1e-9").select("demand_id", "col_id", *r6("supply"))
+    return _supply(spark, root).select("demand_id", "col_id", *r6("supply"))
 
 
 @query(sql("s", "b") + ", i as (select demand_id, row_id, sum(supply * value) as amount from s join b using (col_id) group by 1, 2), t as (select *, row_number() over (partition by demand_id order by round(abs(amount), 9) desc, row_id) as rank from i where amount <> 0) select demand_id, row_id, round(amount, 6) as amount, rank from t where rank <= 5")
@@ -235,23 +269,22 @@ def inventory_topn(spark: SparkSession, root: str) -> DataFrame:
     return top.select("demand_id", "row_id", *r6("amount"), F.col("rank").cast("long").alias("rank"))
 
 
-@query(sql("s", "b", "q") + ", c as (select demand_id, method, row_id, sum(supply * value) * cf as x from s join b using (col_id) join q using (row_id) group by demand_id, method, row_id, cf) select demand_id, method, row_id, contribution, abs_share from (select demand_id, method, row_id, round(x, 6) as contribution, round(abs(x) / sum(abs(x)) over (partition by demand_id, method), 6) as abs_share, x from c) where abs(x) > 1e-6")
+@query(sql("s", "b", "q") + ", c as (select demand_id, method, row_id, sum(supply * value) * cf as x from s join b using (col_id) join q using (row_id) group by demand_id, method, row_id, cf having sum(supply * value) * cf <> 0) select demand_id, method, row_id, contribution, abs_share from (select demand_id, method, row_id, round(x, 6) as contribution, round(abs(x) / sum(abs(x)) over (partition by demand_id, method), 6) as abs_share, x from c)")
 def flow_contrib(spark: SparkSession, root: str) -> DataFrame:
     _, b, q = _abq(spark, root)
-    return score.flow_contributions(_supply(spark, root), b, q).where("abs(contribution) > 1e-6").select("demand_id", "method", "row_id", *r6("contribution", "abs_share"))
+    return score.flow_contributions(_supply(spark, root), b, q).select("demand_id", "method", "row_id", *r6("contribution", "abs_share"))
 
 
-@query(sql("s", "b", "q") + "select demand_id, method, col_id, round(supply * x, 6) as contribution from s join (select method, col_id, sum(value * cf) as x from b join q using (row_id) group by 1, 2) using (col_id) where abs(supply * x) > 1e-7")
+@query(sql("s", "b", "q") + "select demand_id, method, col_id, round(supply * x, 6) as contribution from s join (select method, col_id, sum(value * cf) as x from b join q using (row_id) group by 1, 2) using (col_id) where supply * x <> 0")
 def activity_contrib(spark: SparkSession, root: str) -> DataFrame:
     _, b, q = _abq(spark, root)
-    return score.activity_contributions(_supply(spark, root), b, q).where("abs(contribution) > 1e-7").select("demand_id", "method", "col_id", *r6("contribution"))
+    return score.activity_contributions(_supply(spark, root), b, q).select("demand_id", "method", "col_id", *r6("contribution"))
 
 
-@query(sql("s", "b", "q") + ", e as (select demand_id, method, row_id, col_id, supply * value * cf as x from s join b using (col_id) join q using (row_id)), t as (select *, row_number() over (partition by demand_id, method order by round(abs(x), 9) desc, row_id, col_id) as rank from e where x <> 0) select demand_id, method, row_id, col_id, round(x, 6) as contribution, rank from t where rank <= 3")
+@query(sql("s", "b", "q") + ", e as (select demand_id, method, row_id, col_id, supply * value * cf as x from s join b using (col_id) join q using (row_id)), t as (select *, row_number() over (partition by demand_id, method order by abs(x) desc, row_id, col_id) as rank from e where x <> 0) select demand_id, method, row_id, col_id, round(x, 6) as contribution, rank from t where rank <= 3")
 def edge_contrib_topn(spark: SparkSession, root: str) -> DataFrame:
     _, b, q = _abq(spark, root)
-    e = score.edge_contributions(_supply(spark, root), b, q)
-    top = score.top_per_group(e, ["demand_id", "method"], [F.round(F.abs("contribution"), 9).desc(), F.col("row_id"), F.col("col_id")], 3)
+    top = score.edge_contributions(_supply(spark, root), b, q, 3)
     return top.select("demand_id", "method", "row_id", "col_id", *r6("contribution"), F.col("rank").cast("long").alias("rank"))
 
 

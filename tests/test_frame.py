@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from flowloom.operators import frame as fr
@@ -50,21 +53,64 @@ def test_two_by_two(spark, rows):
     assert rows(score.scores(s, b, q, c).where("demand_id = 101")) == [(101, "m", 20.5)]
 
 
-def test_cycle_converges_and_matches_dense(spark, rows):
-    data = [(1, 10, 1.0, "production", False), (2, 20, 2.0, "production", False), (1, 20, 0.5, "technosphere", False), (2, 10, 0.4, "technosphere", False), (2, 20, 0.1, "technosphere", False)]
-    f = spark.createDataFrame(data, FRAME)
-    a = matrix.technosphere_matrix(f)
-    made = spark.createDataFrame([(10, 1), (20, 2)], "product_id long, activity_id long")
-    want = spark.createDataFrame([(10, 10, 1.0)], "demand_id long, product_id long, amount double")
-    s = {r.col_id: r.supply for r in solve.supply(a, made, want, tolerance=1e-14).collect()}
-    # x1 - 0.4 x2 = 1; -0.5 x1 + 1.9 x2 = 0
-    assert s[1] == pytest.approx(1.9 / 1.7, rel=1e-9)
-    assert s[2] == pytest.approx(0.5 / 1.7, rel=1e-9)
-    reach = graph.reachable(spark.createDataFrame([(10, 20), (20, 10)], "src long, dst long"), spark.createDataFrame([(10, 10)], "start long, node long")).select(F.col("start").alias("demand_id"), F.col("node").alias("product_id"))
-    d = {r.col_id: r.supply for r in solve.supply_dense(a, made, want, reach).collect()}
-    assert d[1] == pytest.approx(s[1]) and d[2] == pytest.approx(s[2])
-    with pytest.raises(solve.NotConverged):
-        solve.supply(a, made, want, most=2)
+def _system(spark, cells):
+    a = spark.createDataFrame(cells, "row_id long, col_id long, value double")
+    ids = sorted({c for _, c, _ in cells})
+    return a, spark.createDataFrame([(i, i) for i in ids], "product_id long, activity_id long"), spark.createDataFrame([(i, i, 1.0) for i in ids], "demand_id long, product_id long, amount double")
+
+
+def _dense(cells):
+    ids = sorted({c for _, c, _ in cells})
+    m = np.zeros((len(ids), len(ids)))
+    for r, c, v in cells:
+        m[ids.index(r), ids.index(c)] += v
+    return ids, np.linalg.inv(m)
+
+
+LOOPS = {
+    "pair": [(10, 10, 1.0), (20, 20, 1.9), (20, 10, -0.5), (10, 20, -0.4)],
+    "strong": [(1, 1, 1.0), (2, 2, 1.0), (2, 1, -0.97), (1, 2, -0.97)],
+    "small": [(1, 1, 1.0), (2, 2, 1.0), (2, 1, -5e-13)],
+    "several": [(i, i, 1.0 + i % 3) for i in range(12)] + [((i + 1) % 4, i, -0.6) for i in range(4)] + [(4 + (i + 2) % 3, 4 + i, -0.3) for i in range(3)] + [(2, 5, -1e-7), (11, 3, -2.0), (9, 8, -0.1), (5, 9, -3.0), (8, 11, 0.5)],
+}
+
+
+@pytest.mark.parametrize(("name", "way"), [*((n, "held") for n in LOOPS), ("several", "rounds"), ("strong", "krylov")])
+def test_systems_with_cycles(spark, name, way, monkeypatch):
+    cells = LOOPS[name]
+    if way != "held":
+        default = solve.recurrence
+        monkeypatch.setattr(solve, "recurrence", lambda start, edges, dense: default(start, edges, 1 if way == "krylov" else dense, held=-1))
+    a, made, want = _system(spark, cells)
+    ids, inverse = _dense(cells)
+    got = {(r.demand_id, r.col_id): r.supply for r in solve.supply(a, made, want).collect()}
+    for j, d in enumerate(ids):
+        for i, c in enumerate(ids):
+            assert got.get((d, c), 0.0) == pytest.approx(inverse[i, j], rel=1e-8, abs=0 if name == "small" and way != "krylov" else 1e-13)
+    x = spark.createDataFrame([("m", c, 1e15 if c == ids[-1] else 0.0) for c in ids], "method string, col_id long, x double")
+    y = {r.product_id: r.score for r in solve.unit_scores(a, made, x).collect()}
+    for j, d in enumerate(ids):
+        assert y.get(d, 0.0) == pytest.approx(1e15 * inverse[-1, j], rel=1e-8, abs=0 if name == "small" and way != "krylov" else 100)
+
+
+def test_a_cycle_that_nets_to_nothing_raises(spark):
+    a, made, want = _system(spark, [(1, 1, 1.0), (2, 2, 1.0), (2, 1, -1.0), (1, 2, -1.0)])
+    with pytest.raises(Exception, match="nets to nothing"):
+        solve.supply(a, made, want).collect()
+
+
+@given(st.lists(st.tuples(st.integers(0, 9), st.integers(0, 9)), max_size=40))
+@settings(max_examples=60, deadline=None)
+def test_components_are_mutually_reachable(pairs):
+    reach = np.eye(10, dtype=bool)
+    for s, d in pairs:
+        reach[s, d] = True
+    for k in range(10):
+        reach |= reach[:, [k]] & reach[[k], :]
+    pairs = [p for p in pairs if p[0] != p[1]]
+    n, c = graph.components_of(np.array([p[0] for p in pairs], np.int64), np.array([p[1] for p in pairs], np.int64))
+    want = {i: min(j for j in range(10) if reach[i, j] and reach[j, i]) for i in range(10) if any(j != i and reach[i, j] and reach[j, i] for j in range(10))}
+    assert dict(zip(n.tolist(), c.tolist(), strict=True)) == want
 
 
 def test_reachability_query_starts_from_every_part(spark, rows, tmp_path):
