@@ -1,10 +1,10 @@
 """Differences between two copies of one dataset, key by key and field by field.
 
-Every field is reduced to a 64-bit fingerprint of its normalised value (numbers stay numbers), repeated rows
-collapse in a partial aggregation, and both copies are cut into the same key ranges. Inside a range each
-copy's key-sorted rows are cut into content-defined chunks: a rolling hash over the last rows' keys decides
-where, so an inserted or lost row moves no cut but its neighbours'. Chunks whose fingerprint the other copy
-has too are done with; only the rows of the others are compared field by field, vectorised.
+Each copy is first reduced to hashes of its keys and rows. In key order these are cut into content-defined chunks: a
+rolling hash over the last keys decides where, so that an inserted or lost row moves no cut but its neighbours'. Chunks
+whose fingerprint the other copy has too are done with (an anti-join of fingerprints). The keys of the others mark a
+bitmap of fixed size, which goes to the scans: only rows that may lie in an unmatched chunk are read with all their
+fields, shuffled and compared.
 """
 
 from __future__ import annotations
@@ -17,10 +17,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowloom.functions.text import folded, number, strip
-from flowloom.session import parallelism
+from flowloom.session import parallelism, placement_keys
 
-#: A cut after every 2**CUT_BITS rows on average, decided by the keys of the last WINDOW rows.
+#: A cut after every 2**CUT_BITS keys on average, decided by the last WINDOW keys.
 CUT_BITS, WINDOW = 3, 4
+#: Bits of the bitmap of keys in unmatched chunks (32 MB); keys that share a bit are compared for nothing, never missed.
+FILTER_BITS = 28
+_PAGE = 32_768
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -30,85 +33,96 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _coarse(x: np.ndarray) -> np.ndarray:
-    """Bits of x rounded to 26 binary digits: equal ones lie within 2e-8 of each other (relative), far inside the tolerance."""
-    c = x * 134217729.0
+def _coarse(x: Column) -> Column:
+    """x rounded to 26 binary digits: equal ones lie within 2e-8 of each other (relative), far inside the tolerance."""
+    c = x * F.lit(134217729.0)
     hi = c - (c - x)
-    return np.where(np.isfinite(hi), hi + 0.0, x).view(np.uint64)
-
-
-def chunk_starts(keys: np.ndarray) -> np.ndarray:
-    """True where a chunk begins in rows with these key hashes."""
-    roll = np.zeros(len(keys), np.uint64)
-    for j in range(min(WINDOW, len(keys))):
-        roll[j:] += _mix(keys[: len(keys) - j] + np.uint64(j))
-    cut = np.ones(len(keys), bool)
+    return F.when(F.isnan(hi) | (F.abs(hi) == F.lit(float("inf"))), x).otherwise(hi + F.lit(0.0))
+
+
+def chunk_starts(keys: np.ndarray, before: np.ndarray | None = None) -> np.ndarray:
+    """True where a chunk begins at one of these distinct, sorted key hashes; `before`: the last keys before them, if any."""
+    before = np.zeros(0, np.uint64) if before is None else before[-WINDOW:]
+    n, m = len(before), len(before) + len(keys)
+    every = np.r_[before, keys]
+    roll = np.zeros(m, np.uint64)
+    for j in range(min(WINDOW, m)):
+        roll[j:] += _mix(every[: m - j] + np.uint64(j))
+    cut = np.ones(m, bool)
     cut[1:] = (_mix(roll[:-1]) & np.uint64((1 << CUT_BITS) - 1)) == 0
-    return cut
-
-
-def _unmatched(keys: list[np.ndarray], rows: list[np.ndarray]) -> list[np.ndarray]:
-    """For each copy, which rows lie in chunks that the other copy lacks. keys, rows: hashes, key-sorted."""
-    prints, ids = [], []
-    for k, r in zip(keys, rows, strict=True):
-        cut = chunk_starts(k)
-        at = np.flatnonzero(cut)
-        ids.append(np.cumsum(cut) - 1)
-        a = np.add.reduceat(_mix(k ^ _mix(r)), at) if len(at) else np.zeros(0, np.uint64)
-        b = np.add.reduceat(_mix(k + _mix(r ^ _M2)), at) if len(at) else np.zeros(0, np.uint64)
-        prints.append(np.rec.fromarrays([a, b]))
-    return [~np.isin(prints[i], prints[1 - i])[ids[i]] if len(ids[i]) else np.zeros(0, bool) for i in (0, 1)]
-
-
-def _differ(a: np.ndarray, b: np.ndarray, tolerance: float) -> np.ndarray:
-    if a.dtype.kind != "f":
-        return a != b
-    na, nb = np.isnan(a), np.isnan(b)
-    with np.errstate(invalid="ignore"):
-        far = np.abs(a - b) > tolerance * np.maximum(np.abs(a), np.abs(b))
-        far |= (a != b) & (np.isinf(a) | np.isinf(b))
-    return (na != nb) | (~na & ~nb & far)
-
-
-def _compare(table: pa.Table, n_key: int, fields: list[str], numbers: int, sides: tuple[str, str], tolerance: float) -> pa.Table:
-    """table: key columns, side, hash, then lo and hi per field and, of numbers, whether one is null; sorted by key and side, one row per key and side."""
-    h = table["_h"].to_numpy().view(np.uint64)
-    side = table["_side"].to_numpy()
-    lo, hi, void = [], [], {}
-    several = np.zeros(len(h), bool)  # keys with more than one value of a field: compared in any case
-    for i in range(len(fields)):
-        as_float = i >= len(fields) - numbers
-        x, y = table[f"_lo{i}"], table[f"_hi{i}"]
-        fill = (lambda c: c.to_numpy(zero_copy_only=False).astype(float)) if as_float else (lambda c: c.fill_null(0).to_numpy())
-        lo.append(np.ascontiguousarray(fill(x)))
-        hi.append(np.where(y.is_null().to_numpy(), lo[-1], fill(y)))
-        several |= y.is_valid().to_numpy()
-        if as_float:
-            void[i] = table[f"_nu{i}"].to_numpy(zero_copy_only=False).astype(bool)
-            several |= void[i] & ~np.isnan(lo[-1])
-    rows = np.zeros(len(h), np.uint64)
-    for i, c in enumerate([*lo, *hi]):
-        v = _coarse(np.where(np.isnan(c), np.nan, c)) if c.dtype.kind == "f" else c.view(np.uint64)
-        rows += _mix(v + _mix(np.full(1, i + 1, np.uint64)))
-    at = [np.flatnonzero(side == s) for s in (0, 1)]
-    flagged = _unmatched([h[i] for i in at], [rows[i] for i in at])
-    left, right = [i[f | several[i]] for i, f in zip(at, flagged, strict=True)]
-    found: list[tuple[np.ndarray, str]] = []
-    in_right, in_left = np.isin(h[left], h[at[1]]), np.isin(h[right], h[at[0]])
-    found.append((left[~in_right], f"missing_in_{sides[1]}"))
-    found.append((right[~in_left], f"missing_in_{sides[0]}"))
-    # a key flagged in one copy only has its partner somewhere in the other: take both from the flagged hashes
-    wanted = np.union1d(h[left[in_right]], h[right[in_left]])
-    a, b = at[0][np.isin(h[at[0]], wanted)], at[1][np.isin(h[at[1]], wanted)]
-    for i, name in enumerate(fields):
-        off = _differ(lo[i][a], hi[i][b], tolerance) | _differ(hi[i][a], lo[i][b], tolerance)  # the pairs that lie furthest apart
-        if i in void:
-            off |= void[i][a] & ~np.isnan(lo[i][b]) | void[i][b] & ~np.isnan(lo[i][a])
-        found.append((a[off], name))
-    index = np.concatenate([i for i, _ in found])
-    names = np.repeat([n for _, n in found], [len(i) for i, _ in found])
-    keys = table.select(range(n_key)).take(pa.array(index))
-    return keys.append_column("field_name", pa.array(names, pa.string()))
+    return cut[n:]
+
+
+class _Chunks:
+    """Chunks of one copy's range, rows coming in batches sorted by key; the open chunk is carried over as two sums and its keys."""
+
+    def __init__(self) -> None:
+        self.last = np.zeros(0, np.uint64)  # keys before the batch
+        self.sums = np.zeros(2, np.uint64)
+        self.keys = np.zeros(0, np.uint64)
+
+    def take(self, k: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Fingerprints (two arrays), sizes and keys of the chunks that are complete. k, a, b: keys, and two hashes of each row."""
+        new = np.ones(len(k), bool)
+        new[1:] = k[1:] != k[:-1]
+        if len(self.last):
+            new[0] = k[0] != self.last[-1]
+        at = np.flatnonzero(new)
+        keys = k[at]
+        cut = at[chunk_starts(keys, self.last)] if len(at) else at
+        starts = cut if len(cut) and cut[0] == 0 else np.r_[0, cut]
+        sums = np.stack([np.add.reduceat(a, starts), np.add.reduceat(b, starts)])
+        ends = np.r_[np.searchsorted(at, starts[1:]), len(keys)]
+        sizes = np.diff(np.r_[0, ends])
+        if not (len(cut) and cut[0] == 0) or not len(self.keys):  # the open chunk goes on (or there is none yet)
+            sums[:, 0] += self.sums
+            sizes[0] += len(self.keys)
+        else:
+            sums, sizes = np.c_[self.sums, sums], np.r_[len(self.keys), sizes]
+        keys = np.r_[self.keys, keys]
+        done = len(keys) - sizes[-1]
+        self.sums, self.keys, self.last = sums[:, -1].copy(), keys[done:], np.r_[self.last, k[at]][-WINDOW:]
+        return sums[0, :-1], sums[1, :-1], sizes[:-1], keys[:done]
+
+    def rest(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        return self.sums[:1], self.sums[1:], np.array([len(self.keys)]), self.keys
+
+
+def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """part, h1, h2, rh, side sorted by part, h1, h2, rh -> f1, f2, side, keys: fingerprint and keys (h1) of each chunk.
+
+    Keys with more than one content are given as a chunk of their own with side 2.
+    """
+    part, side, open_, prev = None, 0, None, None
+
+    def out(f1: np.ndarray, f2: np.ndarray, sizes: np.ndarray, keys: np.ndarray, side: int) -> pa.RecordBatch:
+        offsets = pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32))
+        return pa.RecordBatch.from_arrays([pa.array(f1.view(np.int64)), pa.array(f2.view(np.int64)), pa.array(np.full(len(f1), side, np.int8)), pa.ListArray.from_arrays(offsets, pa.array(keys.view(np.int64)))], ["f1", "f2", "side", "keys"])
+
+    for b in batches:
+        if not b.num_rows:
+            continue
+        parts, sides = b["part"].to_numpy(), b["side"].to_numpy()
+        h1, h2, rh = (b[c].to_numpy().view(np.uint64) for c in ("h1", "h2", "rh"))
+        full = _mix(h1 ^ _mix(h2))
+        x, y = _mix(full ^ _mix(rh)), _mix(full + _mix(rh ^ _M2))
+        cuts = np.r_[0, np.flatnonzero(np.diff(parts)) + 1, len(parts)]
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+            if parts[lo] != part:
+                if open_ is not None:
+                    yield out(*open_.rest(), side)
+                part, side, open_, prev = parts[lo], int(sides[lo]), _Chunks(), None
+            k = h1[lo:hi]
+            several = np.zeros(hi - lo, bool)
+            several[1:] = (k[1:] == k[:-1]) & (h2[lo + 1 : hi] == h2[lo : hi - 1])
+            several[0] = prev == (k[0], h2[lo])
+            prev = (k[-1], h2[hi - 1])
+            if several.any():
+                odd = np.unique(k[several])
+                yield out(odd[:1], odd[-1:], np.array([len(odd)]), odd, 2)
+            yield out(*open_.take(k, x[lo:hi], y[lo:hi]), side)
+    if open_ is not None:
+        yield out(*open_.rest(), side)
 
 
 def copy_differences(
@@ -129,9 +143,11 @@ def copy_differences(
     order of their trimmed elements (an empty list is null), numbers by `tolerance` of the larger magnitude.
     Repeated rows are no difference. Of a key with several contents in a copy, a field differs if any of its
     values in one copy differs from any in the other. An empty copy gives missing rows only. Other columns
-    are not read.
+    are not read. A key that very many rows share is pre-aggregated before each shuffle.
     """
+    spark = left.sparkSession
     fields = [*texts, *lists, *numbers]
+    n_text = len(texts) + len(lists)
 
     def side(df: DataFrame, n: int) -> DataFrame:
         keys = [(folded(c) if c in folded_key else F.col(c).cast("string")).alias(c) for c in key]
@@ -139,24 +155,55 @@ def copy_differences(
         joined = [F.array_join(F.transform(F.col(c), lambda x: F.coalesce(strip(x), F.lit(""))), "\u0001") for c in lists]
         hashes = [F.xxhash64(F.coalesce(c, F.lit(""))) for c in [*text, *joined]]
         values = [*hashes, *[number(c) for c in numbers]]
-        return df.select(*keys, F.lit(n).cast("byte").alias("_side"), *[v.alias(f"_v{i}") for i, v in enumerate(values)])
-
-    def agg(i: int) -> list[Column]:
-        void = [F.max(F.isnull(f"_v{i}")).alias(f"_nu{i}")] if i >= len(fields) - len(numbers) else []
-        return [F.min(f"_v{i}").alias(f"_lo{i}"), F.nullif(F.max(f"_v{i}"), F.min(f"_v{i}")).alias(f"_hi{i}"), *void]
-
-    both = side(left, 0).unionByName(side(right, 1)).groupBy(*key, "_side").agg(*[a for i in range(len(fields)) for a in agg(i)])
-    n = parallelism(left.sparkSession)
-    both = both.withColumn("_h", F.xxhash64(*[F.coalesce(F.col(c), F.lit("\u0002")) for c in key])).repartitionByRange(n, *key).sortWithinPartitions(*key, "_side")
-    schema = ", ".join(f"`{c}` string" for c in key) + ", field_name string"
-    n_key, n_num = len(key), len(numbers)
-
-    def diff(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [b for b in batches if b.num_rows]
-        if held:
-            yield from _compare(pa.Table.from_batches(held).combine_chunks(), n_key, fields, n_num, sides, tolerance).to_batches()
-
-    return both.mapInArrow(diff, schema)
+        out = df.select(*keys, F.lit(n).cast("byte").alias("_side"), *[v.alias(f"_v{i}") for i, v in enumerate(values)])
+        name = F.concat_ws("\u0001", *[F.coalesce(F.col(c), F.lit("\u0002")) for c in key])
+        return out.withColumn("_h1", F.xxhash64(name)).withColumn("_h2", F.xxhash64(F.lit("\u0003"), name))
+
+    rows = side(left, 0).unionByName(side(right, 1))
+    # hashes only: key, row, copy; equal rows collapse before the shuffle
+    v = [F.col(f"_v{i}") for i in range(len(fields))]
+    row_hash = F.xxhash64(*v[:n_text], *[F.isnull(x) for x in v[n_text:]], *[_coarse(x) for x in v[n_text:]])
+    narrow = rows.select(F.col("_h1").alias("h1"), F.col("_h2").alias("h2"), row_hash.alias("rh"), F.col("_side").alias("side")).distinct()
+    ranges = parallelism(spark)
+    at = F.least(F.lit(ranges - 1), F.floor((F.col("h1").cast("double") / F.lit(2.0**64) + 0.5) * ranges)).cast("int")
+    places = F.array(*[F.lit(p) for p in placement_keys(spark, 2 * ranges)])
+    narrow = narrow.withColumn("part", F.col("side").cast("int") * ranges + at).withColumn("place", F.get(places, F.col("part")))
+    narrow = narrow.repartition(2 * ranges, "place").sortWithinPartitions("part", "h1", "h2", "rh").drop("place")
+    chunks = narrow.mapInArrow(_chunked, "f1 long, f2 long, side byte, keys array<long>")
+    # anti-join of fingerprints: what one copy has and the other lacks
+    lone = chunks.groupBy("f1", "f2").agg(F.bit_or(F.expr("shiftleft(1, cast(side as int))")).alias("who"), F.any_value("keys").alias("one"), F.flatten(F.collect_list(F.when(F.col("side") == 2, F.col("keys")))).alias("several"))
+    marked = lone.where("who <> 3").select(F.explode(F.when(F.col("who") < 3, F.col("one")).otherwise(F.col("several"))).alias("h1"))
+    bit = F.pmod(F.col("h1"), F.lit(1 << FILTER_BITS))
+    bits = marked.select(F.floor(bit / _PAGE).cast("int").alias("_page"), (bit % _PAGE).alias("_at")).groupBy("_page").agg(F.bitmap_construct_agg("_at").alias("_bits"))  # at most 2**FILTER_BITS / 8 bytes
+    bit = F.pmod(F.col("_h1"), F.lit(1 << FILTER_BITS))
+    place = bit % _PAGE
+    held = rows.withColumn("_page", F.floor(bit / _PAGE).cast("int")).join(F.broadcast(bits), "_page")
+    byte = F.conv(F.hex(F.substring("_bits", (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    held = held.where(F.getbit(byte, (place % 8).cast("int")) == 1)
+
+    def of(n: int, c: Column) -> Column:
+        return F.when(F.col("_side") == n, c)
+
+    aggs: list[Column] = []
+    for i, x in enumerate(v):
+        for n in (0, 1):
+            aggs += [F.min(of(n, x)).alias(f"_lo{i}{n}"), F.max(of(n, x)).alias(f"_hi{i}{n}")]
+            if i >= n_text:
+                aggs.append(F.max(of(n, F.isnull(x))).alias(f"_nu{i}{n}"))
+    g = held.groupBy(*key).agg(F.max(of(0, F.lit(True))).alias("_a"), F.max(of(1, F.lit(True))).alias("_b"), *aggs)
+    both = F.col("_a") & F.col("_b")
+
+    def differs(i: int) -> Column:
+        lo, hi, nu = ([F.col(f"_{c}{i}{n}") for n in (0, 1)] for c in ("lo", "hi", "nu"))
+        if i < n_text:
+            return (lo[0] != hi[1]) | (hi[0] != lo[1])
+        far = lambda x, y: (F.abs(x - y) > F.lit(tolerance) * F.greatest(F.abs(x), F.abs(y))) | ((x != y) & (F.abs(x - y) == F.lit(float("inf"))))
+        apart = F.coalesce(far(lo[0], hi[1]) | far(hi[0], lo[1]), F.lit(False))  # the pairs that lie furthest apart
+        return apart | (nu[0] & hi[1].isNotNull()) | (nu[1] & hi[0].isNotNull())
+
+    names = [F.when(F.col("_b").isNull(), F.lit(f"missing_in_{sides[1]}")), F.when(F.col("_a").isNull(), F.lit(f"missing_in_{sides[0]}"))]
+    names += [F.when(both & differs(i), F.lit(f)) for i, f in enumerate(fields)]
+    return g.select(*key, F.explode(F.array_compact(F.array(*names))).alias("field_name"))
 
 
 def factor_copy_differences(join: DataFrame, copy: DataFrame) -> DataFrame:

@@ -176,6 +176,32 @@ def test_chunk_cuts_depend_on_nearby_keys_only():
     assert (cut[1000 + copydiff.WINDOW + 1 :] == less[1000 + copydiff.WINDOW :]).all()
 
 
+def test_chunks_are_the_same_however_the_rows_are_batched():
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    for trial in range(30):
+        k = np.sort(rng.integers(0, 300 if trial % 2 else 2**63, rng.integers(1, 400)).astype(np.uint64))
+        a, b = rng.integers(0, 2**63, (2, len(k))).astype(np.uint64)
+
+        def chunks(cuts, k=k, a=a, b=b):
+            c, got = copydiff._Chunks(), []
+            for lo, hi in zip([0, *cuts], [*cuts, len(k)], strict=True):
+                if hi > lo:
+                    got.append(c.take(k[lo:hi], a[lo:hi], b[lo:hi]))
+            got.append(c.rest())
+            out = []
+            for f1, f2, sizes, keys in got:
+                at = np.r_[0, np.cumsum(sizes)]
+                out += [(int(x), int(y), tuple(keys[i:j].tolist())) for x, y, i, j in zip(f1, f2, at[:-1], at[1:], strict=True)]
+            return [x for x in out if x[2]]
+
+        whole = chunks([])
+        assert sum(len(x[2]) for x in whole) == len(np.unique(k))
+        for _ in range(5):
+            assert chunks(sorted(rng.integers(0, len(k), 6).tolist())) == whole
+
+
 REFS = "row_id long, target_code string, target_db string, recorded_at timestamp"
 CAT = "db string, code string, added_at timestamp"
 DEL = "code string, deleted_at timestamp, kind string"
