@@ -21,8 +21,8 @@ from flowloom.session import parallelism, placement_keys
 
 #: A cut after every 2**CUT_BITS keys on average, decided by the last WINDOW keys.
 CUT_BITS, WINDOW = 3, 4
-#: Bits of the bitmap of keys in unmatched chunks (32 MB); keys that share a bit are compared for nothing, never missed.
-FILTER_BITS = 28
+#: Bits of the bitmap of keys in unmatched chunks (16 MB); keys that share a bit are compared for nothing, never missed.
+FILTER_BITS = 27
 _PAGE = 32_768
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
