@@ -1,9 +1,9 @@
 """Duplicates that differ in formatting only, collapsed and counted at any skew.
 
-A record's canonical key is two 64-bit hashes of its canonical text, so only numbers are shuffled. Keys are
-first counted exactly with partial (map-side) counts; the hot ones, of which there can be no more than
-HOT_KEYS by the choice of the threshold, are reduced in two levels over a salt and their representatives
-broadcast. All other keys take one shuffle in which no key holds more than the threshold.
+A record's canonical key is two 64-bit hashes of its canonical text. The records are read once and reduced to key and
+id, written to the shared folder. Keys are counted exactly with partial (map-side) counts; those with more rows than
+one task should hold are hot. Hot keys are reduced in two levels over a salt, and their representatives joined to
+salted rows; all other keys take one shuffle. How many keys are hot doesn't matter.
 """
 
 from __future__ import annotations
@@ -12,9 +12,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowloom.functions.text import alnum_key
+from flowloom.session import checkpointed
 
-#: A key is hot above 1/HOT_KEYS of all rows (and above HOT_LEAST), so at most HOT_KEYS keys are hot.
-HOT_KEYS, HOT_LEAST, SALTS = 512, 2_000, 64
+#: Rows of one key that a task takes without splitting (24 bytes each), and the parts of a hotter one.
+HOT_ROWS, SALTS = 250_000, 64
 
 
 def canonical_parts(name: Column) -> Column:
@@ -37,19 +38,20 @@ def flow_key(scope: str = "inventory", name: str = "name", categories: str = "ca
 
 def with_representative(keyed: DataFrame) -> DataFrame:
     """keyed: k1, k2, id. Adds first_id, the smallest id of the key. Rows without an id must not be in it."""
-    spark = keyed.sparkSession
-    counts = keyed.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n"))
-    threshold = max(HOT_LEAST, keyed.count() // HOT_KEYS)
-    hot = counts.where(F.col("n") > threshold).select("k1", "k2").collect()  # at most HOT_KEYS rows, as the counts sum up to the number of rows
-    if not hot:
-        return keyed.withColumn("first_id", F.min("id").over(Window.partitionBy("k1", "k2")))
-    keys = F.broadcast(spark.createDataFrame([(r.k1, r.k2, True) for r in hot], "k1 long, k2 long, hot boolean"))
-    marked = keyed.join(keys, ["k1", "k2"], "left")
-    salted = marked.where("hot").groupBy("k1", "k2", F.pmod(F.xxhash64("id"), F.lit(SALTS)).alias("salt")).agg(F.min("id").alias("m"))
-    firsts = F.broadcast(salted.groupBy("k1", "k2").agg(F.min("m").alias("first_id")))  # one row for each hot key
-    hot_rows = marked.where("hot").drop("hot").join(firsts, ["k1", "k2"])
-    cold = marked.where("hot is null").drop("hot").withColumn("first_id", F.min("id").over(Window.partitionBy("k1", "k2")))
-    return cold.unionByName(hot_rows.select(*cold.columns))
+    keyed = checkpointed(keyed.select("k1", "k2", "id"))
+    first = F.min("id").over(Window.partitionBy("k1", "k2"))
+    hot = checkpointed(keyed.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT_ROWS).select("k1", "k2", F.lit(True).alias("hot")))
+    if hot.isEmpty():
+        return keyed.withColumn("first_id", first)
+    salt = F.pmod(F.xxhash64("id"), F.lit(SALTS)).alias("salt")
+    each = hot.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"))
+    marked = keyed.select("*", salt).join(each, ["k1", "k2", "salt"], "left")  # a hot key's rows meet it in SALTS parts
+    hot_rows = marked.where("hot")
+    parts = hot_rows.groupBy("k1", "k2", "salt").agg(F.min("id").alias("m"))
+    firsts = parts.groupBy("k1", "k2").agg(F.min("m").alias("first_id")).select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"))
+    found = hot_rows.join(firsts, ["k1", "k2", "salt"])
+    cold = marked.where("hot is null").withColumn("first_id", first)
+    return cold.select("k1", "k2", "id", "first_id").unionByName(found.select("k1", "k2", "id", "first_id"))
 
 
 def _keyed(records: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from flowloom.llm.copies import copy_counts, later_copies
 from flowloom.llm.leaks import leaked_items, leaked_passages
-from flowloom.llm.linkage import linked
+from flowloom.llm.linkage import linked, undecided
 from flowloom.llm.quality import not_prose, text_types
 from flowloom.llm.tokens import encoded
 from flowloom.llm.valuemap import typed_values
@@ -42,6 +42,11 @@ def p5_confidence(spark: SparkSession, root: str) -> DataFrame:
     return _linked(spark, root)
 
 
+def p5_undecided(spark: SparkSession, root: str) -> DataFrame:
+    """Catalogue rows of equally likely substances, between which a record can't be decided."""
+    return undecided(*[table(spark, root, t) for t in ("source_records", "biosphere_catalog", "context_list")])
+
+
 def p7_ids(spark: SparkSession, root: str) -> DataFrame:
     return encoded(table(spark, root, "documents"))
 
@@ -64,7 +69,7 @@ def p9_statistics(spark: SparkSession, root: str) -> DataFrame:
     return text_types(table(spark, root, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p3_found, p4_found, p4_counts, p5_found, p5_confidence, p7_ids, p8_found, p8_passages, p9_found, p9_statistics)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p3_found, p4_found, p4_counts, p5_found, p5_confidence, p5_undecided, p7_ids, p8_found, p8_passages, p9_found, p9_statistics)}
 
 _KEY = "trim(regexp_replace(lower({x}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
 _P4 = f"""

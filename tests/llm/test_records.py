@@ -24,8 +24,7 @@ def _key(r):
 
 @pytest.mark.parametrize("least", [2_000, 3])
 def test_copies_against_brute_force(spark, rows, monkeypatch, least):
-    monkeypatch.setattr(copies, "HOT_LEAST", least)  # 3: a hot key takes the salted path
-    monkeypatch.setattr(copies, "HOT_KEYS", 20)
+    monkeypatch.setattr(copies, "HOT_ROWS", least)  # 3: hot keys take the salted path
     rng = random.Random(4)
     names = ["Zinc, ion", "ION;  zinc", "zinc ion", "zinc|ion*", "Lead", None, "", "é, É", "a_b, c"]
     cats = [["air", "Urban"], ["urban ", "AIR"], ["air/urban"], [], None, ["air", None]]
@@ -214,3 +213,42 @@ def test_names_are_split():
     assert s.split("Kluxal resid.") == ("", "kluxal", "residue") and s.split("Kluxal - un.")[2] == "unrefined ore" and s.split("Kluxal i")[2] == "i"
     assert s.split(None) == ("", "", "")
     assert linkage.cas_digits("CAS 0012-3 4") == "1234" and linkage.unit_kind(" M³ ") == "m3"
+
+
+def _slipped(rng, name, slips):
+    for _ in range(slips):
+        i = rng.randrange(1, len(name) - 1)
+        name = rng.choice([name[:i] + name[i + 1 :], name[:i] + "q" + name[i:], name[:i] + "z" + name[i + 1 :], name[:i] + name[i + 1] + name[i] + name[i + 2 :]])
+    return name
+
+
+@pytest.mark.parametrize("length", [6, 9, 14, 39, 41, 60, 150])
+def test_keys_meet_every_pair_of_two_slips(spark, length):
+    rng = random.Random(length)
+    data = [(i, n, _slipped(rng, n, 1), _slipped(rng, n, 2)) for i in range(60) for n in ["".join(rng.choices("abcdefghij", k=length + rng.randrange(2)))]]
+    df = spark.createDataFrame(data, "i long, n string, one string, two string")
+    n = F.length("n")
+    short = F.size(F.array_intersect(linkage._halves(F.col("n")), linkage._half_probes(F.col("two")))) > 0
+    long = F.size(F.array_intersect(linkage._piece_keys(F.col("n")), linkage._piece_probes(F.col("two")))) > 0
+    both = F.greatest(n, F.length("two"))
+    assert df.where(~F.when(both >= linkage.LONG_STEM + 2, long).otherwise(short)).count() == 0
+    single = F.size(F.array_intersect(linkage._one_slip(F.col("n")), linkage._one_slip(F.col("one")))) > 0
+    assert df.where((F.greatest(n, F.length("one")) < linkage.LONG_STEM) & ~single).count() == 0
+
+
+def test_linkage_beyond_earlier_bounds(spark, rows, monkeypatch):
+    """More qualifiers than 300, a rare one mistyped; compartments of several shards; stems of 60 letters; ties reported."""
+    monkeypatch.setattr(valuemap, "SHARD_ENTRIES", 2)
+    rng = random.Random(8)
+    word = lambda k: "".join(rng.choices("bcdfghjklmnprstv", k=k))
+    cl = spark.createDataFrame([(i, ["air", p], None) for i, p in enumerate(("urban", "stratosphere", "tunnel", "forest"))], "ref_id long, target_context array<string>, ef_categories array<string>")
+    tails = [word(8) for _ in range(400)]
+    cat = [("d", f"c{i}", f"{word(9)} {t}", ["air", "forest"], "kg", None, []) for i, t in enumerate(tails)]
+    long = word(60)
+    cat.append(("d", "long", long, ["air", "tunnel"], "kg", None, []))
+    cat += [("d", f"t{i}", n, ["air", "urban"], "kg", "50-00-0", []) for i, n in enumerate(("Mavelone", "Tuxerine"))]
+    name = cat[399][2]
+    src = [(1, name[:-3] + "x" + name[-2:], ["Air", "forest"], "kg", None), (2, long[:20] + long[21:40] + "e" + long[41:], ["air", "tunnel"], "kg", None), (3, "", ["air", "urban"], "kg", "50-00-0")]
+    args = (spark.createDataFrame(src, SOURCE), spark.createDataFrame(cat, CATALOG), cl)
+    assert rows(linkage.linked(*args), "source_id", "code") == [(1, "c399"), (2, "long")]
+    assert rows(linkage.undecided(*args), "source_id", "code") == [(3, "t0"), (3, "t1")]
