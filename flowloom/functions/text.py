@@ -12,7 +12,7 @@ def _col(c: Column | str) -> Column:
 
 def strip(c: Column | str) -> Column:
     """Without white space at either end; any Unicode white space counts, line ends and no-break spaces too."""
-    return F.regexp_replace(_col(c), r"(?U)^\s+|\s+$", "")
+    return F.regexp_replace(_col(c), r"(?U)^\s++|(?<!\s)\s++$", "")  # linear, however long a run of blanks is
 
 
 def blank_to_null(c: Column | str) -> Column:

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowloom.functions.text import blank_to_null, number, strip
+from flowloom.session import checkpointed
 
 
 @dataclass(frozen=True)
@@ -144,8 +145,6 @@ def spelling_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(s, u, to[u][0], to[u][1].scale) for s, u in rows.items()], "spelling string, unit string, kind string, scale double")
 
 
-#: Characters of the longest cell or note that is read.
-LONGEST_CELL = 300
 _NUMBER = r"(10\^[0-9]+|[0-9]+(?:[.,][0-9]+)?(?:[eE][+-]?[0-9]+)?)"
 #: multiple, unit, multiple, multiple of '100 kg', 'kg x 100', 'kg (x100)', '[kg]', '10^6 kg', 'kg.'
 _CELL_FORM = rf"(?U)^\s*\[?\s*(?:{_NUMBER}\s*[x×]?\s+)?(\S.*?)(?:\s*\(\s*[x×]\s*{_NUMBER}\s*\)|\s+[x×]\s*{_NUMBER})?[\s.]*\]?[\s.]*$"
@@ -155,6 +154,19 @@ def _multiple(text: Column) -> Column:
     return F.when(text == "", F.lit(1.0)).otherwise(F.replace(F.replace(text, F.lit("10^"), F.lit("1e")), F.lit(","), F.lit(".")).try_cast("double"))
 
 
+def _squeezed(text: Column) -> Column:
+    return F.trim(F.regexp_replace(text, r"(?U)\s+", " "))
+
+
+def _tidy(text: Column) -> Column:
+    """Single blanks, no points at the end; a longer run of points within, which no unit has, becomes one odd character.
+
+    On such a text the patterns of cells and notes take time in proportion to its length.
+    """
+    end = F.regexp_replace(_squeezed(text), r"(?<![ .])[ .]++$", "")
+    return F.regexp_replace(end, r"[ .]{3,}", "\u0001")
+
+
 def unit_parts(cell: Column) -> tuple[Column, Column]:
     """Base text and multiple of a unit cell; a cell of another form keeps its text."""
     group = lambda i: F.regexp_extract(cell, _CELL_FORM, i)
@@ -194,16 +206,14 @@ def common_factors(df: DataFrame, source: str = "source_unit", target: str = "ta
 
     common_factor is how many common target units one common source unit is. It is null where the factor is
     null or NaN, or a unit can't be read as one of the known kinds. Blank and placeholder cells take their
-    unit from the note. Cells and notes of more than LONGEST_CELL characters hold no unit. No row is dropped;
-    columns of other names pass through, those of these names are replaced.
+    unit from the note. Cells and notes of any length are read. No row is dropped; columns of other names pass through, those of these names are replaced.
     """
     sp = spelling_table(df.sparkSession)
     names = ("source_kind", "target_kind", "source_base", "target_base", "common_factor")
-    short = lambda c: F.when(F.length(c) <= LONGEST_CELL, c)
     cells = {}
     for side, c in (("S", source), ("T", target)):
         cell = F.col(c).cast("string")
-        cells[side] = F.when(_is_placeholder(short(cell)), note_unit(short(F.col(note).cast("string")), side)).otherwise(short(cell)) if note else short(cell)
+        cells[side] = F.when(_is_placeholder(_squeezed(cell)), note_unit(_tidy(F.col(note).cast("string")), side)).otherwise(_tidy(cell)) if note else _tidy(cell)
     out = df.withColumn("_sc", cells["S"]).withColumn("_tc", cells["T"])
     out = _with_unit(_with_unit(out, F.col("_sc"), "_src", sp), F.col("_tc"), "_tgt", sp)
     return out.select(
@@ -216,6 +226,8 @@ def common_factors(df: DataFrame, source: str = "source_unit", target: str = "ta
     )
 
 
+#: Cells of one key that are paired in one task; a key with more is split.
+SPLIT_CELLS = 2_000
 #: Width of a cell of ln(factor). Two factors of one cell differ by less than 1 %.
 _CELL = -math.log(0.99) * 0.999
 
@@ -230,7 +242,7 @@ def contradictions(df: DataFrame, key: list[str], id_col: str, by: str = "proven
     """
     width = _CELL * tolerance / 0.01
     k = [F.col(c) for c in key]
-    rows = (
+    rows = checkpointed(
         df.where(F.col(value).isNotNull() & F.col(id_col).isNotNull())
         .select(F.concat_ws("\u0001", *[F.coalesce(c.cast("string"), F.lit("\u0002")) for c in k]).alias("k"), F.col(id_col).alias("id"), F.coalesce(F.col(by).cast("string"), F.lit("\u0002")).alias("p"), F.col(value).alias("v"), *[c.isNotNull().alias(f"_n{i}") for i, c in enumerate(k)])
         .where(F.expr(" and ".join(f"_n{i}" for i in range(len(key)))))
@@ -245,10 +257,13 @@ def contradictions(df: DataFrame, key: list[str], id_col: str, by: str = "proven
     v = F.col("v")
     rows = rows.join(mixed, "k", "left_semi").withColumn("c", F.when(v == 0, F.lit(0).cast("long")).otherwise(F.floor(F.log(F.abs(v)) / width))).withColumn("s", F.signum(v).cast("int"))
     cells = rows.groupBy("k", "p", "s", "c").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
-    a = cells.select("k", *[F.col(x).alias(f"{x}a") for x in ("p", "s", "c", "lo", "hi")])
-    b = cells.select("k", *[F.col(x).alias(f"{x}b") for x in ("p", "s", "c", "lo", "hi")])
+    # a key with very many cells is split: each cell of one side meets a part's cells of the other
+    split = cells.groupBy("k").agg(F.ceil(F.count(F.lit(1)) / SPLIT_CELLS).cast("long").alias("n"))
+    cells = cells.join(split, "k")
+    a = cells.select("k", F.pmod(F.xxhash64("p", "s", "c"), F.col("n")).alias("part"), *[F.col(x).alias(f"{x}a") for x in ("p", "s", "c", "lo", "hi")])
+    b = cells.select("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("part"), *[F.col(x).alias(f"{x}b") for x in ("p", "s", "c", "lo", "hi")])
     apart = (F.col("pa") < F.col("pb")) & (far(F.col("loa"), F.col("hib")) | far(F.col("hia"), F.col("lob")))
-    met = a.join(b, "k").where(apart).select("k", "pa", "sa", "ca", "pb", "sb", "cb")
+    met = a.join(b, ["k", "part"]).where(apart).select("k", "pa", "sa", "ca", "pb", "sb", "cb")
     left = rows.select("k", F.col("p").alias("pa"), F.col("s").alias("sa"), F.col("c").alias("ca"), F.col("id").alias("ia"), F.col("v").alias("va"))
     right = rows.select("k", F.col("p").alias("pb"), F.col("s").alias("sb"), F.col("c").alias("cb"), F.col("id").alias("ib"), F.col("v").alias("vb"))
     pairs = met.join(left, ["k", "pa", "sa", "ca"]).join(right, ["k", "pb", "sb", "cb"])

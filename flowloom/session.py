@@ -23,17 +23,27 @@ def local_session(cores: str | int = "*", shuffle: int = 8, memory: str = "8g")
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage into the shared folder that the cluster names in spark.checkpoint.dir.
-
-    A folder of this machine is set only where the session names none (tests).
-    """
-    spark = df.sparkSession
-    sc = spark.sparkContext
+    """Cut the lineage into the shared folder (see shared_folder)."""
+    sc = df.sparkSession.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="flowloom-"))
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the session names in spark.checkpoint.dir.
+
+    A folder of this machine is made only for a session on this machine that names none; on a cluster, whose executors
+    could not read it, that raises.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    return tempfile.mkdtemp(prefix="flowloom-")
+
+
 def parallelism(spark: SparkSession) -> int:
     """Shuffle partitions of the session, never under 1."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))

@@ -7,17 +7,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
-
+from flowloom.session import shared_folder
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share; a folder of this machine only where the session names none."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        import tempfile
-
-        root = tempfile.mkdtemp(prefix="flowloom-stream-")
-    return f"{root}/{uuid.uuid4().hex}"
+EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
 
 def windowed(stream: DataFrame, length: str = "1 day", late: str = "1 hour") -> DataFrame:
@@ -33,7 +25,7 @@ def drain(stream: DataFrame, length: str = "1 day") -> DataFrame:
     its own rows (effectively once); the partial sums are added up when read.
     """
     spark = stream.sparkSession
-    root = shared_folder(spark)
+    root = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
 
     def batch(df: DataFrame, number: int) -> None:
         part = df.groupBy(F.window(F.col("ts").cast("timestamp"), length).alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))

@@ -94,6 +94,31 @@ def _norm(field, v):
     return (v or "").strip() or None
 
 
+def test_units_in_long_cells_and_notes(spark, rows):
+    """Padding of any length, points without end, long texts that hold no unit: read or not, but in linear time."""
+    pad = " " * 20_000
+    data = [
+        (1, "p", "a", "x", "t", "y", "kg", 1.0, None),
+        (2, "p", "b", "x", f"{pad}t{pad}", "y", f"[kg]{pad}", 2.0, None),
+        (3, "p", "c", "x", "-" + pad, "y", "kg", 3.0, f"per t{pad}."),
+        (4, "p", "d", "x", "n/a", "y", "kg", 4.0, "Factor gives kg for each" + pad + "t" + "." * 20_000),
+        (5, "p", "e", "x", "kg " * 20_000, "y", "kg", 5.0, None),
+        (6, "p", "f", "x", "", "y", "kg", 6.0, "." * 50_000 + " per t " * 5_000),
+        (7, "p", "g", "x", "kg" + "." * 50_000 + "x", "y", "kg", 7.0, None),
+    ]
+    got = units.common_factors(spark.createDataFrame(data, FLOWMAP))
+    assert {r.entry_id: r.common_factor for r in got.collect()} == {1: 1e-3, 2: 2e-3, 3: 3e-3, 4: 4e-3, 5: None, 6: None, 7: None}
+
+
+def test_contradictions_of_a_key_with_many_values(spark, rows, monkeypatch):
+    monkeypatch.setattr(units, "SPLIT_CELLS", 7)
+    rng = random.Random(2)
+    data = [(i, "k", rng.choice("ab"), rng.choice([-1, 1]) * 1.02 ** rng.randrange(60)) for i in range(120)]
+    df = spark.createDataFrame(data, "id long, k string, provenance string, common_factor double")
+    want = sorted((a[0], b[0]) for a, b in itertools.combinations(data, 2) if a[2] != b[2] and abs(a[3] - b[3]) > 0.01 * max(abs(a[3]), abs(b[3])))
+    assert sorted(rows(units.contradictions(df, ["k"], "id"))) == want
+
+
 def _copy_rows(rng, n):
     text = lambda: rng.choice([None, "", " ", "a", "A", "b ", "\tb", "é "])
     number = lambda: rng.choice([None, float("nan"), 0.0, 1.0, 1.0 + 1e-8, 1.001, -1.0, 1e-300])
