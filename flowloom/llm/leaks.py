@@ -17,11 +17,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 #: Words of the shortest passage, words for each tolerated error, and the exact run any such passage holds.
 PASSAGE, PER_ERROR, SEED = 20, 10, 6
-#: Words in all items together; beyond it the items are taken in several automata of at most this size.
-AUTOMATON_WORDS = 2_000_000
+#: Memory that the automaton of one set of items may take in a worker, and what a word of items takes (measured: 665
+#: bytes); items beyond it are taken in further sets, each with a pass of its own over the documents.
+AUTOMATON_BYTES, BYTES_PER_WORD = 160_000_000, 700
 _WORD = re.compile(r"[^\W_]+")
 _IN_NUMBER = re.compile(r"(?<=\d)[.,](?=\d)")
 
@@ -221,17 +223,18 @@ def document_passages(automaton: Automaton, text: str) -> list[tuple[int, int, i
     return [(automaton.ids[i], at[a][1], at[b - 1][2], b - a) for i, (a, b) in found.items()]
 
 
-def item_sets(items: DataFrame) -> list[list[tuple[int, str]]]:
-    """The items in sets of at most AUTOMATON_WORDS words (an item of more is a set of its own)."""
-    sets, size = [[]], 0
+def item_sets(items: DataFrame) -> Iterator[list[tuple[int, str]]]:
+    """The items, one set after the other, in sets of at most AUTOMATON_BYTES (an item of more is a set of its own)."""
+    one: list[tuple[int, str]] = []
+    size = 0
     for r in items.select("item_id", "text").where("item_id is not null and text is not null").distinct().orderBy("item_id", "text").toLocalIterator():
-        n = len(r.text.split())
-        if sets[-1] and size + n > AUTOMATON_WORDS:
-            sets.append([])
-            size = 0
-        sets[-1].append((r.item_id, r.text))
+        n = len(words_of(_plain(r.text))) * BYTES_PER_WORD
+        if one and size + n > AUTOMATON_BYTES:
+            yield one
+            one, size = [], 0
+        one.append((r.item_id, r.text))
         size += n
-    return sets
+    yield one
 
 
 def leaked_passages(documents: DataFrame, items: DataFrame) -> DataFrame:
@@ -273,3 +276,49 @@ def _automaton(shared) -> Automaton:
 def leaked_items(documents: DataFrame, items: DataFrame) -> DataFrame:
     """doc_id, item_id of each document that contains a passage of an item, once each."""
     return leaked_passages(documents, items).select("doc_id", "item_id").distinct()
+
+
+#: A document is dropped as a whole from this share of leaked words on; else spans of this many words are cut out.
+DROP_SHARE, CUT_WORDS = 0.5, PASSAGE
+
+
+def without_passages(documents: DataFrame, items: DataFrame, cut_words: int = CUT_WORDS, drop_share: float = DROP_SHARE) -> DataFrame:
+    """doc_id, words, leaked_words, coverage, action, clean_text of each document that contains a passage.
+
+    Spans of `cut_words` words and more are removed from the normalised text (overlapping ones together, a blank in
+    their place); where they cover `drop_share` of the words or more the document is dropped and its clean_text is
+    null. coverage is the share of words in such spans. Documents without a passage aren't in the result, as they stay
+    as they are. The spans of one document are few (one for each item), so they travel as a list to its text.
+    """
+    spans = leaked_passages(documents, items).where(F.col("words") >= cut_words)
+    spans = spans.groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans"))
+    hit = documents.select("doc_id", "text").join(spans, "doc_id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = [(i, *_cleaned(t, [(x["start"], x["end"]) for x in s], drop_share)) for i, t, s in zip(*[c.to_pylist() for c in b.columns], strict=True)]
+            columns = list(zip(*rows, strict=True)) if rows else [()] * 6
+            types = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.string(), pa.string()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["doc_id", "words", "leaked_words", "coverage", "action", "clean_text"])
+
+    return hit.mapInArrow(run, "doc_id long, words long, leaked_words long, coverage double, action string, clean_text string").distinct()
+
+
+def _cleaned(text: str, spans: list[tuple[int, int]], drop_share: float) -> tuple[int, int, float, str, str | None]:
+    plain = _plain(text)
+    merged: list[list[int]] = []
+    for a, b in sorted(spans):
+        if merged and a <= merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], b)
+        else:
+            merged.append([a, b])
+    total = len(_WORD.findall(plain))
+    gone = sum(len(_WORD.findall(plain[a:b])) for a, b in merged)
+    share = gone / total if total else 0.0
+    if share >= drop_share:
+        return total, gone, share, "dropped", None
+    kept, at = [], 0
+    for a, b in merged:
+        kept.append(plain[at:a])
+        at = b
+    return total, gone, share, "cut", " ".join([*kept, plain[at:]])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from flowloom.llm.copies import copy_counts, later_copies
-from flowloom.llm.leaks import leaked_items, leaked_passages
+from flowloom.llm.leaks import leaked_items, leaked_passages, without_passages
 from flowloom.llm.linkage import linked, undecided
 from flowloom.llm.quality import not_prose, text_types
 from flowloom.llm.tokens import encoded
@@ -60,6 +60,11 @@ def p8_passages(spark: SparkSession, root: str) -> DataFrame:
     return leaked_passages(table(spark, root, "documents"), table(spark, root, "eval_items"))
 
 
+def p8_cleaned(spark: SparkSession, root: str) -> DataFrame:
+    """Every document with a leaked passage, cut or dropped by length and coverage."""
+    return without_passages(table(spark, root, "documents"), table(spark, root, "eval_items"))
+
+
 def p9_found(spark: SparkSession, root: str) -> DataFrame:
     return not_prose(table(spark, root, "documents"))
 
@@ -69,7 +74,7 @@ def p9_statistics(spark: SparkSession, root: str) -> DataFrame:
     return text_types(table(spark, root, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p3_found, p4_found, p4_counts, p5_found, p5_confidence, p5_undecided, p7_ids, p8_found, p8_passages, p9_found, p9_statistics)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p3_found, p4_found, p4_counts, p5_found, p5_confidence, p5_undecided, p7_ids, p8_found, p8_passages, p8_cleaned, p9_found, p9_statistics)}
 
 _KEY = "trim(regexp_replace(lower({x}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
 _P4 = f"""

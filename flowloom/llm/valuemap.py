@@ -4,7 +4,7 @@ Entries are multisets of words. Their distance is the cheapest assignment of the
 of the other under the unrestricted Damerau-Levenshtein distance, an unpaired word costing its length: a true
 metric, whatever the order of the words. A BK-tree over the entries returns every entry within the radius by
 the triangle inequality; the nearest one that passes the limits of each word wins. Reference lists are read
-in shards of bounded size, and the winners of the shards are merged.
+one shard of bounded size after the other, and the winners of the shards are merged.
 """
 
 from __future__ import annotations
@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 RADIUS = 3
 #: Entries in one shard of the reference list, and values whose result a worker remembers.
 SHARD_ENTRIES, REMEMBERED = 20_000, 200_000
+#: Words of an entry whose parts are all listed as aliases; the parts of longer ones are searched entry by entry.
+LISTED_WORDS = 6
 #: Ways of reading a value's words that are tried one by one; more are searched entry by entry.
 PRODUCT = 64
 #: Words that say nothing, words of a compartment left unspecified, words that go before a flow.
@@ -210,8 +212,8 @@ def _fits(options: list[set[str]], entry: Words) -> bool:
 class Matcher:
     """Entries given as (ref_id, words); alias sets may stand beside the full words."""
 
-    def __init__(self, entries: Iterable[tuple[int, Words]]):
-        entries = [(i, w) for i, w in entries]
+    def __init__(self, entries: Iterable[tuple[int, Words]], long: Iterable[tuple[int, Words]] = ()):
+        entries, self.long = [(i, w) for i, w in entries], list(long)  # long: entries of which any part is an alias
         self.lexicon = Lexicon(x for _, w in entries for x in w)
         self.longest = max((len(x) for x in self.lexicon.words), default=0)
         self.exact: dict[Words, set[int]] = {}
@@ -258,6 +260,26 @@ class Matcher:
             found |= {k: words for k, (words, _) in states.items() if k not in found}
         return list(found.values())
 
+    @staticmethod
+    def _part(words: Words, entry: Words) -> int | None:
+        """Distance of the words from the nearest part of as many words of a longer entry; None beyond the limits."""
+        left, rest = _leftover(words, entry)
+        size = len(left)
+        if size > RADIUS:  # each word that isn't the same costs 1 at least
+            return None
+        best: dict[frozenset, tuple[int, tuple]] = {frozenset(): (0, ())}
+        for x in left:
+            new: dict[frozenset, tuple[int, tuple]] = {}
+            for taken, (cost, pairs) in best.items():
+                for j, y in enumerate(rest):
+                    if j not in taken and abs(len(x) - len(y)) <= RADIUS and (c := cost + edits(x, y)) <= RADIUS:
+                        t = taken | {j}
+                        if t not in new or c < new[t][0]:
+                            new[t] = (c, (*pairs, (x, y)))
+            best = new
+        hits = [(c, p) for c, p in best.values() if accepted(list(p), size < len(words))]
+        return min(hits)[0] if hits else None
+
     def nearest(self, tokens: list[str]) -> tuple[int, int] | None:
         """(distance, ref_id) of the entry meant; None if there is none or if two are equally near."""
         if any(len(t) > self.longest + RADIUS + 1 for t in tokens):  # too far from every word
@@ -277,6 +299,9 @@ class Matcher:
                 if accepted(pairs, len(pairs) < len(entry)):
                     for i in ids:
                         best[i] = min(best.get(i, d), d)
+            for i, entry in self.long:
+                if LISTED_WORDS <= len(words) < len(entry) and (d := self._part(words, entry)) is not None:
+                    best[i] = min(best.get(i, d), d)
         if not best:
             return None
         low = min(best.values())
@@ -317,7 +342,8 @@ class ContextMatcher:
                 self.long.setdefault(self._plain(ef[-1:]), set()).add(i)
         self.forms = {f.format(t): t for t in subs for f in COMPARTMENT_FORMS if " " not in t} | {t: t for t in subs}
         self.forms |= {f: t for t in subs if t.endswith("resource") for f in RESOURCE_FORMS}
-        self.subs = {t: Matcher(self._aliases(e)) for t, e in subs.items()}
+        self.subs = {t: Matcher(self._aliases(e), [(i, w) for i, w in e if len(w) > LISTED_WORDS]) for t, e in subs.items()}
+        self.tops = BKTree(((form,), n) for n, form in enumerate(self.forms))
         words = Lexicon(w for m in self.subs.values() for w in m.lexicon.words)
         self.lexicon = words
 
@@ -330,7 +356,7 @@ class ContextMatcher:
         """Each entry with the parts of its words that no other entry of the compartment has."""
         owners: dict[Words, set[int]] = {}
         for i, words in entries:
-            for n in range(1, min(len(words), 6)):
+            for n in range(1, min(len(words), LISTED_WORDS)):
                 for part in combinations(sorted(words), n):
                     owners.setdefault(part, set()).add(i)
         full = {tuple(sorted(w)) for _, w in entries}
@@ -342,12 +368,9 @@ class ContextMatcher:
         if plain in self.forms:
             return self.forms[plain]
         near: dict[str, int] = {}
-        for form, top in self.forms.items():
-            if abs(len(plain) - len(form)) > 2:
-                continue
-            d = edits(plain, form)
+        for d, (form,), _ in self.tops.within((plain,), 2):
             if d <= (1 if len(form) <= 5 else 2):
-                near[top] = min(near.get(top, d), d)
+                near[self.forms[form]] = min(near.get(self.forms[form], d), d)
         winners = [t for t, d in near.items() if d == min(near.values())]
         return winners[0] if len(winners) == 1 else None
 
@@ -375,7 +398,20 @@ class ContextMatcher:
         return None
 
 
-def mapped(values: DataFrame, row_id: str, value: str, shards: list[list[tuple]], build: Callable[[list[tuple]], object], field_name: str) -> DataFrame:
+_built: dict[tuple, object] = {}
+
+
+def _worker_matcher(shared, build: Callable[[list[tuple]], object]) -> object:
+    """The worker's matcher of a shard, built once (two lists are mapped side by side)."""
+    key = (build.__name__, hash(str(shared.value)))
+    if key not in _built:
+        if len(_built) >= 2:
+            _built.clear()
+        _built[key] = build(shared.value)
+    return _built[key]
+
+
+def mapped(values: DataFrame, row_id: str, value: str, shards: Iterable[list[tuple]], build: Callable[[list[tuple]], object], field_name: str) -> DataFrame:
     """field_name, row_id, ref_id (0: unmatched) of each row, once for each row_id and value.
 
     shards: bounded lists of entries; build makes the matcher of one. Rows aren't shuffled when there is one
@@ -385,11 +421,13 @@ def mapped(values: DataFrame, row_id: str, value: str, shards: list[list[tuple]]
     spark = values.sparkSession
     rows = values.where(F.col(row_id).isNotNull()).select(F.col(row_id).cast("long").alias("row_id"), F.col(value).alias("value"))
     parts = None
-    for shard in shards or [[]]:
+    number = 0
+    for shard in shards:
+        number += 1
         shared = spark.sparkContext.broadcast(shard)  # at most SHARD_ENTRIES entries
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            matcher, known = build(shared.value), {}
+            matcher, known = _worker_matcher(shared, build), {}
             for b in batches:
                 out = []
                 for v in b[1].to_pylist():
@@ -404,7 +442,7 @@ def mapped(values: DataFrame, row_id: str, value: str, shards: list[list[tuple]]
 
         one = rows.mapInArrow(run, "row_id long, d int, ref_id long")
         parts = one if parts is None else parts.unionByName(one)
-    if len(shards) > 1:
+    if number > 1:
         hits = parts.withColumn("d", F.when(F.col("d") >= 0, F.col("d")))
         best = hits.groupBy("row_id").agg(F.min("d").alias("least"), F.collect_set(F.when(F.col("d").isNotNull(), F.struct("d", "ref_id"))).alias("hits"))  # a hit for each shard
         near = F.array_distinct(F.transform(F.filter("hits", lambda h: h["d"] == F.col("least")), lambda h: h["ref_id"]))
@@ -412,14 +450,15 @@ def mapped(values: DataFrame, row_id: str, value: str, shards: list[list[tuple]]
     return parts.select(F.lit(field_name).alias("field_name"), "row_id", "ref_id").distinct()
 
 
-def shards_of(reference: DataFrame, *columns: str) -> list[list[tuple]]:
-    """The reference list in shards of at most SHARD_ENTRIES entries, read one shard at a time."""
-    shards: list[list[tuple]] = [[]]
+def shards_of(reference: DataFrame, *columns: str) -> Iterator[list[tuple]]:
+    """The reference list, one shard of at most SHARD_ENTRIES entries after the other (one empty shard for no entries)."""
+    shard: list[tuple] = []
     for r in reference.select(*columns).distinct().orderBy(columns[0]).toLocalIterator():
-        if len(shards[-1]) >= SHARD_ENTRIES:
-            shards.append([])
-        shards[-1].append(tuple(r))
-    return shards
+        if len(shard) >= SHARD_ENTRIES:
+            yield shard
+            shard = []
+        shard.append(tuple(r))
+    yield shard
 
 
 def typed_values(context_norm: DataFrame, flow_synonyms: DataFrame, context_list: DataFrame, flow_list: DataFrame) -> DataFrame:

@@ -143,7 +143,7 @@ def test_typed_values_and_shards(spark, rows, monkeypatch):
     want = [("simapro", 1, 11), ("simapro", 2, 0), ("source_context", 1, 2), ("source_context", 2, 0), ("source_context", 3, 0)]
     assert rows(valuemap.typed_values(c, f, cl, fl)) == want
     monkeypatch.setattr(valuemap, "SHARD_ENTRIES", 2)
-    assert len(valuemap.shards_of(fl, "ref_id", "flow")) == 3
+    assert len(list(valuemap.shards_of(fl, "ref_id", "flow"))) == 3
     assert rows(valuemap.typed_values(c.limit(0), f, cl, fl)) == want[:2]
     assert rows(valuemap.typed_values(c, f.limit(0), cl.limit(0), fl.limit(0))) == [("source_context", i, 0) for i in (1, 2, 3)]
 

@@ -146,11 +146,11 @@ def test_leaked_rows(spark, rows):
 
 
 def test_items_are_taken_in_bounded_sets(spark, rows, monkeypatch):
-    monkeypatch.setattr(leaks, "AUTOMATON_WORDS", 30)
+    monkeypatch.setattr(leaks, "AUTOMATON_BYTES", 30 * leaks.BYTES_PER_WORD)
     texts = [" ".join(f"a{k}b{i}" for i in range(25)) for k in range(3)]
     items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
     docs = spark.createDataFrame([(1, texts[0]), (2, texts[2] + " and " + texts[1])], DOCS)
-    assert len(leaks.item_sets(items)) == 3
+    assert len(list(leaks.item_sets(items))) == 3
     assert rows(leaks.leaked_items(docs, items)) == [(1, 0), (2, 1), (2, 2)]
 
 
