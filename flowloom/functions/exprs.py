@@ -187,8 +187,23 @@ def split_categories(text: Column) -> Column:
 
 
 def first_json(text: Column) -> Column:
-    """First flat JSON object inside a text, null if there is none."""
-    return F.nullif(F.regexp_extract(text, r"(?s)\{[^{}]*\}", 0), F.lit(""))
+    """First balanced JSON object inside a text, braces in quoted strings aside; null if there is none."""
+    zero = F.lit(0)
+    start = F.struct(zero.alias("at"), zero.alias("lo"), zero.alias("hi"), zero.alias("depth"), F.lit(False).alias("quoted"), F.lit(False).alias("escaped"))
+
+    def step(s: Column, c: Column) -> Column:
+        done, inside = s["hi"] > 0, s["lo"] > 0
+        opens, closes = (c == "{") & ~s["quoted"], (c == "}") & ~s["quoted"] & inside
+        depth = s["depth"] + F.when(opens, 1).when(closes, -1).otherwise(0)
+        at = s["at"] + 1
+        new = F.struct(
+            at.alias("at"), F.when(~inside & opens, at).otherwise(s["lo"]).alias("lo"), F.when(closes & (depth == 0), at).otherwise(zero).alias("hi"), depth.alias("depth"),
+            F.when(inside & (c == '"') & ~s["escaped"], ~s["quoted"]).otherwise(s["quoted"]).alias("quoted"), (s["quoted"] & (c == "\\") & ~s["escaped"]).alias("escaped"),
+        )
+        return F.when(done, s).otherwise(new)
+
+    s = F.aggregate(F.split(text, ""), start, step)
+    return F.when(s["hi"] > 0, F.substring(text, s["lo"], s["hi"] - s["lo"] + 1))
 
 
 def flow_id(db: Column, code: Column) -> Column:

@@ -43,23 +43,30 @@ def regional_rows(cfs: DataFrame, means: DataFrame, key: list[str], least: float
     return j.where(F.abs(F.col("local_cf") - F.abs("cf")) >= least)
 
 
-#: Locations that a factor may be spread over.
-MOST_LOCATIONS = 5000
+#: Locations in one block; a longer list is taken block by block.
+BLOCK_LOCATIONS = 5000
 
 
 def every_location(cfs: DataFrame, by_location: DataFrame) -> DataFrame:
     """code, location, cf with the sign of the global factor, for each location whose factor differs.
 
-    by_location: location, cf; a list of at most MOST_LOCATIONS, which is checked. Each factor is expanded by
-    the list where it stands; nothing is joined or shuffled.
+    by_location: location, cf. Each factor is expanded by a block of the list where it stands; nothing is joined or
+    shuffled, and a list of any length is taken in blocks of BLOCK_LOCATIONS.
     """
-    places = by_location.where("location is not null and cf is not null").limit(MOST_LOCATIONS + 1).collect()
-    if len(places) > MOST_LOCATIONS:
-        raise ValueError(f"more than {MOST_LOCATIONS} locations")
-    text = json.dumps([{"location": r.location, "local_cf": r.cf} for r in places])
-    spread = cfs.withColumn("_p", F.explode(F.from_json(F.lit(text), "array<struct<location:string,local_cf:double>>")))
-    value = F.signum("cf") * F.col("_p.local_cf")
-    return spread.where(F.abs(value - F.col("cf")) > 1e-12).select("code", F.col("_p.location").alias("location"), value.alias("cf"))
+    out, block = None, []
+
+    def spread(block: list[dict]) -> DataFrame:
+        each = cfs.withColumn("_p", F.explode(F.from_json(F.lit(json.dumps(block)), "array<struct<location:string,local_cf:double>>")))
+        value = F.signum("cf") * F.col("_p.local_cf")
+        return each.where(F.abs(value - F.col("cf")) > 1e-12).select("code", F.col("_p.location").alias("location"), value.alias("cf"))
+
+    for r in by_location.where("location is not null and cf is not null").select("location", "cf").toLocalIterator():
+        block.append({"location": r.location, "local_cf": r.cf})
+        if len(block) == BLOCK_LOCATIONS:
+            out, block = spread(block) if out is None else out.unionByName(spread(block)), []
+    if block or out is None:
+        out = spread(block) if out is None else out.unionByName(spread(block))
+    return out
 
 
 def subcompartment_drift(table: DataFrame, least_ratio: float = 2.0) -> DataFrame:

@@ -45,14 +45,24 @@ def with_output(activities: DataFrame, exchanges: DataFrame) -> DataFrame:
 def delete_listed(activities: DataFrame, exchanges: DataFrame, deletions: DataFrame) -> DataFrame:
     """Activities that no deletion names: by code, or by name where the deletion has no code.
 
-    An activity with emissions but no technosphere input (a system process) stays.
+    An activity with emissions but no technosphere input (a system process) stays, and so does a product (kind
+    'product') that such a process makes, by the name or target_code of its production rows (where exchanges have them).
     """
     codes = deletions.where("code is not null").select(F.col("code")).distinct()
     names = deletions.where("code is null and name is not null").select(F.lower(F.trim("name")).alias("_n")).distinct()
     system = exchanges.groupBy("activity_id").agg(((F.count_if(F.col("type") == "technosphere") == 0) & (F.count_if(F.col("type") == "biosphere") > 0)).alias("_s")).where("_s")
-    a = activities.withColumn("_n", F.lower(F.trim("name")))
-    hit = a.join(codes, "code", "left_semi").select("activity_id").unionByName(a.join(names, "_n", "left_semi").select("activity_id")).distinct()
-    return activities.join(hit.join(system, "activity_id", "left_anti"), "activity_id", "left_anti")
+    is_product = F.col("kind") == "product" if "kind" in activities.columns else F.lit(False)
+    a = activities.withColumn("_n", F.lower(F.trim("name"))).withColumn("_product", F.coalesce(is_product, F.lit(False)))
+    hit = a.join(codes, "code", "left_semi").unionByName(a.join(names, "_n", "left_semi").select(*["code", *[c for c in a.columns if c != "code"]])).distinct()
+    kept = hit.where("not _product").join(system, "activity_id", "left_semi").select("activity_id")
+    gone = hit.select("activity_id", "_n", "code", "_product").join(kept, "activity_id", "left_anti")
+    made = exchanges.where(F.col("type").isin("production", "generic production")).join(kept.distinct(), "activity_id", "left_semi")
+    for column, key in (("name", "_n"), ("target_code", "code")):
+        if column in exchanges.columns:
+            said = F.lower(F.trim(column)) if column == "name" else F.col(column)
+            paired = made.select(said.alias(key)).where(F.col(key).isNotNull() & (F.col(key) != "")).distinct().withColumn("_paired", F.lit(True))
+            gone = gone.join(paired, key, "left").where(~(F.col("_product") & F.coalesce("_paired", F.lit(False)))).drop("_paired")
+    return activities.join(gone.select("activity_id"), "activity_id", "left_anti")
 
 
 def drop_empty_unlinked(exchanges: DataFrame) -> DataFrame:

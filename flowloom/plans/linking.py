@@ -32,10 +32,9 @@ def _sp(c: str) -> str:  # Spark's trim takes blanks only
     return f"trim({c}, ' ')"
 
 
-@query(f"select bucket, count(*) as n, count(distinct inventory) as inventories from (select inventory, {_bucket('categories')} as bucket from flow_records) group by 1")
+@query(f"select record_id, inventory, {_bucket('categories')} as bucket from flow_records")
 def bucket_of(spark: SparkSession, root: str) -> DataFrame:
-    f = table(spark, root, "flow_records").select("inventory", x.bucket_of(F.col("categories")).alias("bucket"))
-    return f.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("inventory").alias("inventories"))
+    return table(spark, root, "flow_records").select("record_id", "inventory", x.bucket_of(F.col("categories")).alias("bucket"))
 
 
 @query("select record_id, array_to_string(list_transform(string_split(lower(c), '-'), lambda p: regexp_replace(p, '^0+(.)', '\\1')), '-') as cas from (select record_id, nullif(regexp_replace(cas, '^[\\s\\x{00A0}]+|[\\s\\x{00A0}]+$', '', 'g'), '') as c from flow_records) where c is not null")
@@ -231,14 +230,14 @@ def _inventory(spark: SparkSession, root: str) -> DataFrame:
 _PROMOTED = f"with {_EXC}, g as (select activity_id, bool_or(type = 'production' and functional and amount <> 0) as made, bool_or(type = 'technosphere' and functional) as able from exc group by 1), p as (select e.activity_id, e.seq, case when not made and able and type = 'technosphere' and functional then 'production' else type end as type, amount, functional from exc e join g using (activity_id) where not (not made and able and type = 'production' and amount = 0))"
 
 
-@query(_PROMOTED + " select type, activity_id, count(*) as n, sum(amount) as amount from p group by 1, 2")
+@query(_PROMOTED + " select activity_id, seq, type, amount from p")
 def waste_promotion(spark: SparkSession, root: str) -> DataFrame:
-    return link.promote_functional(_inventory(spark, root)).groupBy("type", "activity_id").agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("amount"))
+    return link.promote_functional(_inventory(spark, root)).select("activity_id", "seq", "type", "amount")
 
 
-@query(f"with {_EXC} select case when type = 'production' and not functional then 'technosphere' else type end as type, count(*) as n, round(sum(amount), 6) as amount from exc group by 1")
+@query(f"with {_EXC} select case when type = 'production' and not functional then 'technosphere' else type end as type, activity_id, seq, amount from exc")
 def production_reclassify(spark: SparkSession, root: str) -> DataFrame:
-    return link.demote_unfunctional(_inventory(spark, root)).groupBy("type").agg(F.count(F.lit(1)).alias("n"), rnd(F.sum("amount")).alias("amount"))
+    return link.demote_unfunctional(_inventory(spark, root)).select("activity_id", "seq", "type", "amount")
 
 
 @query(f"with {_EXC} select o_orderkey as activity_id from orders where o_orderpriority like '1%' or o_orderkey in (select activity_id from exc where type = 'production' or (type = 'technosphere' and functional))")
@@ -315,19 +314,19 @@ def _tiered_inputs(spark: SparkSession, root: str) -> tuple:
 _STATUS = _TIERED[: _TIERED.index("best as (select")] + """pick as (select n, b, sub, unit, cas, linked, min(rn) filter (valid) as bn, min(rn) filter (halt) as hn, count(*) filter (halt) as nh,
   count(*) filter (not halt and not (tier in (5, 8, 9, 10, 11, 12) and linked) and tcode is null) as no_, count(*) filter (not halt and not (tier in (5, 8, 9, 10, 11, 12) and linked) and tcode is not null and multiplier is null) as nu from o group by all),
 st as (select *, case when bn is not null and (hn is null or bn < hn) then 'matched' when nh > 0 then 'recognised_unmatchable' when nu > 0 and no_ = 0 then 'unit_mismatch_only' when no_ > 0 and nu = 0 then 'target_unresolved_only' else 'mixed' end as status from pick)
-select coalesce(st.status, 'no_registry') as status, count(*) as n from exc e left join st on st.n = e.n and st.b = e.b and st.sub = e.sub and st.cas = e.cas and st.linked = e.linked and st.unit is not distinct from e.unit group by 1"""
+select e.exc_id, coalesce(st.status, 'no_registry') as status from exc e left join st on st.n = e.n and st.b = e.b and st.sub = e.sub and st.cas = e.cas and st.linked = e.linked and st.unit is not distinct from e.unit"""
 
 
 @query(_STATUS)
 def match_status(spark: SparkSession, root: str) -> DataFrame:
-    return match.match_status(*_tiered_inputs(spark, root)).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+    return match.match_status(*_tiered_inputs(spark, root))
 
 
-@query(f"with m as ({_TIERED}) select case when {_fold('r.target_code')} is null then 'new_link' else 'override' end as kind, m.tier, count(*) as n from m join flow_records r on r.record_id = m.exc_id where {_fold('r.target_code')} is null or not ({_fold('r.target_code')} = m.t_code and coalesce({_fold('r.target_db')} = m.t_db, true)) group by 1, 2".replace("with m as (\nwith", "with m as (with"))
+@query(f"with m as ({_TIERED}) select case when {_fold('r.target_code')} is null then 'new_link' else 'override' end as kind, m.exc_id, m.tier, m.t_code as new_code from m join flow_records r on r.record_id = m.exc_id where {_fold('r.target_code')} is null or not ({_fold('r.target_code')} = m.t_code and coalesce({_fold('r.target_db')} = m.t_db, true))".replace("with m as (\nwith", "with m as (with"))
 def match_audit(spark: SparkSession, root: str) -> DataFrame:
     f = table(spark, root, "flow_records").select(F.col("record_id").alias("exc_id"), F.col("target_db").alias("prior_db"), F.col("target_code").alias("prior_code"))
     a = match.match_audit(f, match.tiered_match(*_tiered_inputs(spark, root)))
-    return a.groupBy("kind", "tier").agg(F.count(F.lit(1)).alias("n"))
+    return a.select("kind", "exc_id", "tier", "new_code")
 
 
 @query(

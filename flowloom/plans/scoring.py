@@ -70,10 +70,9 @@ def _nested_orders(spark: SparkSession, root: str) -> DataFrame:
     return table(spark, root, "lineitem").groupBy(F.col("l_orderkey").alias("output_id")).agg(F.collect_list(e).alias("exchanges"))
 
 
-@query("select edge_type, is_biosphere, count(*) as n, sum(amount) as amount, sum(allocation_factor) as factor from (select case when l_returnflag <> 'N' then 'biosphere' else 'technosphere' end as edge_type, l_returnflag <> 'N' as is_biosphere, l_quantity as amount, 1.0::double as allocation_factor from lineitem where l_linestatus = 'F') group by 1, 2")
+@query("select l_orderkey as output_id, l_partkey as input_id, case when l_returnflag <> 'N' then 'biosphere' else 'technosphere' end as edge_type, l_returnflag <> 'N' as is_biosphere, l_quantity as amount, 1.0::double as allocation_factor from lineitem where l_linestatus = 'F'")
 def flatten_exchanges(spark: SparkSession, root: str) -> DataFrame:
-    f = fr.flatten(_nested_orders(spark, root))
-    return f.groupBy("edge_type", "is_biosphere").agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("amount"), F.sum("allocation_factor").alias("factor"))
+    return fr.flatten(_nested_orders(spark, root)).select("output_id", "input_id", "edge_type", "is_biosphere", "amount", "allocation_factor")
 
 
 def _signed(spark: SparkSession, root: str) -> DataFrame:

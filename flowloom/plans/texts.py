@@ -59,14 +59,14 @@ def strip_blocks(spark: SparkSession, root: str) -> DataFrame:
 
 @query(
     "with s as (select distinct source_kind, source_name, source_top_bucket, source_cas, target_db, target_code, target_name, unit_conversion, priority_tier, provenance_row, provenance, case when mapping_id % 3 = 0 then 1 else 0 end as src from mapping),"
-    " r as (select *, row_number() over (partition by source_kind, lower(trim(source_name, ' ')), source_top_bucket, source_cas, target_db, target_code, target_name, unit_conversion, priority_tier order by src, provenance_row nulls first, provenance) as rn from s) select source_kind, priority_tier, count(*) as n from r where rn = 1 group by 1, 2"
+    " r as (select *, row_number() over (partition by source_kind, lower(trim(source_name, ' ')), source_top_bucket, source_cas, target_db, target_code, target_name, unit_conversion, priority_tier order by src, provenance_row nulls first, source_name, provenance) as rn from s) select source_kind, source_name, source_top_bucket, source_cas, target_db, target_code, target_name, unit_conversion, priority_tier, provenance_row from r where rn = 1"
 )
 def registry_build(spark: SparkSession, root: str) -> DataFrame:
     from flowloom.schema import conformed
 
     m = table(spark, root, "mapping")
     parts = [conformed(m.where(f"mapping_id % 3 {op} 0"), "mapping") for op in ("<>", "=")]
-    return registry.build(parts).groupBy("source_kind", "priority_tier").agg(F.count(F.lit(1)).alias("n"))
+    return registry.build(parts).select("source_kind", "source_name", "source_top_bucket", "source_cas", "target_db", "target_code", "target_name", "unit_conversion", "priority_tier", "provenance_row")
 
 
 @query("select source_unit, target_unit, arg_min(multiplier, (provenance, multiplier)) as multiplier from unit_conversion group by 1, 2")

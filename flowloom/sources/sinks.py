@@ -91,10 +91,14 @@ def write_csv(df: DataFrame, path: str, digits: int | None = None) -> None:
     df.write.mode("overwrite").options(header=True, nullValue="", emptyValue="").csv(path)
 
 
-def write_product_json(contributions: DataFrame, path: str, key: str = "demand_id", limit: int = 200) -> None:
-    """One JSON document for each product and method, with its largest contributions."""
-    top = F.slice(F.sort_array(F.collect_list(F.struct(F.abs("contribution").alias("size"), "row_id", "contribution", "share")), asc=False), 1, limit)
-    doc = contributions.groupBy(key, "method").agg(top.alias("flows"), F.sum(F.abs("contribution")).alias("total_abs_contribution"))
+def write_product_json(contributions: DataFrame, path: str, key: str = "demand_id", limit: int | None = None) -> None:
+    """One JSON document for each product and method, with its contributions, the largest first; only so many if a limit is given.
+
+    A document holds the flows of one inventory. With a limit `n_flows` tells how many there are in all.
+    """
+    top = F.sort_array(F.collect_list(F.struct(F.abs("contribution").alias("size"), "row_id", "contribution", "share")), asc=False)
+    top = top if limit is None else F.slice(top, 1, limit)
+    doc = contributions.groupBy(key, "method").agg(top.alias("flows"), F.count(F.lit(1)).alias("n_flows"), F.sum(F.abs("contribution")).alias("total_abs_contribution"))
     doc.write.mode("overwrite").json(path)
 
 
