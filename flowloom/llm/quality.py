@@ -1,9 +1,10 @@
-"""Statistics of whole texts, and text types learned from noisy threshold rules.
+"""Statistics of whole texts, and text types learned from noisy labelling functions.
 
-Each statistic with its threshold is a labelling function that votes for a type or abstains. Only the
-patterns of votes and their counts leave the workers (at most 2**len(RULES) rows, however many documents);
-expectation-maximisation over the pattern counts learns how reliable each rule is for each type, and every
-document gets the posterior of its pattern.
+Statistics are cut at two thresholds each: every threshold is a labelling function, and the two of one statistic make a
+signal of three levels. What a level says of the type is not fixed: expectation-maximisation over the counts of level
+patterns learns from their agreement how often each type shows each level, starting from weak guesses. The posterior
+decides, also against most of the signals. Only patterns and counts leave the workers (at most 3**10 rows, however many
+documents).
 """
 
 from __future__ import annotations
@@ -28,6 +29,17 @@ COMMON = frozenset(
     "le la les l d de du des un une et en est sont était a au aux pour par sur dans avec sans que qu qui ce cette ces se s n ne pas plus ou mais si "
     "comme après avant entre chez depuis lors il elle on nous vous ils elles son sa ses leur leurs y été être ont avait fait c j m t à où sous bien".split()
 )
+#: Common words of further languages, read where hardly a word of a text is common in English or French.
+OTHER_LANGUAGES = [
+    frozenset(words.split())
+    for words in (
+        "der die das und ist nicht in zu den mit von für auf ein eine einer dem des im sich auch als an es bei oder wird werden wurde sind war hat aus nach wie über nur noch durch",
+        "el la los las de del y en que es un una con por para se no lo su al como más pero este esta son fue ha sin sobre entre cuando también muy ya o",
+        "il lo la i gli le di del della e è un una in che con per non si da al alla sono come più ma questo questa anche o nel nella dei delle ha stato dopo",
+        "o a os as de do da dos das e em no na um uma que com por para se não é ao mais como mas foi são este esta ou também entre sem quando já",
+        "de het een en van in is dat op te met voor niet zijn aan er maar om ook als bij door naar uit worden wordt werd was heeft nog over of deze dit",
+    )
+]
 _LINE = re.compile(r"\r\n|[\n\r\v\f\x85  ]")
 _WORD = re.compile(r"[^\W\d_]+")
 _BULLET = re.compile(r"^\s*(?:[-*•·–—+◦▪‣>»]|\d{1,3}[.)]|\(?[a-zA-Z0-9]{1,3}\)|[a-zA-Z][.)]|\[[ xX✓]?\])\s+\S")
@@ -74,8 +86,12 @@ STATISTICS = [
 ]
 
 
-def statistics_of(text: str | None) -> tuple:
-    """The statistics in the order of STATISTICS. A null, empty or blank text has zeros."""
+def statistics_of(text: str | None, language: frozenset = COMMON) -> tuple:
+    """The statistics in the order of STATISTICS. A null, empty or blank text has zeros.
+
+    Common words are those of `language`; a text of which hardly a word is common in English or French is read in
+    the language of OTHER_LANGUAGES that fits it, if one does.
+    """
     text = text or ""
     if not text.strip():
         return (0, 0.0, 0.0, 0.0, 0.0, 0) + (0.0,) * 13 + (0, 0.0)
@@ -87,7 +103,7 @@ def statistics_of(text: str | None) -> tuple:
     rows: Counter = Counter()
     words: list[str] = []
     bullets = entries = ended = sentence = total = common = 0
-    is_common = COMMON.__contains__
+    is_common = language.__contains__
     for x in lines:
         ws = _WORD.findall(x)
         words += ws
@@ -112,6 +128,11 @@ def statistics_of(text: str | None) -> tuple:
         elif n_ws <= 12 and near < 0.2 and len(x) <= 120:
             entries += 1
     n1, n_lines, n_tokens = max(1, len(words)), len(lines), len(tokens)
+    if language is COMMON and len(words) >= 8 and common / n1 < 0.15:
+        hits = [[w for w in words if w in other and len(w) > 1] for other in OTHER_LANGUAGES]
+        best = max(range(len(hits)), key=lambda k: len(hits[k]))
+        if len(hits[best]) / n1 >= 0.2 and len(set(hits[best])) >= 4:
+            return statistics_of(text, OTHER_LANGUAGES[best])
     same = sum(c for k, c in rows.items() if k == "rule" or c >= 2)
     letters, digits = sum(map(len, words)), sum(map(len, _DIGITS.findall(text)))
     sentences = [s for s in _SENTENCE.split(text) if len(s) > 20]
@@ -140,59 +161,71 @@ def statistics_of(text: str | None) -> tuple:
     )
 
 
-def _rule(x: dict) -> list[tuple[str, bool]]:
-    """(type, vote) of each labelling function. One that doesn't vote abstains."""
-    wordy = x["mean_word_length"] >= 2.6 and x["single_share"] < 0.5
-    rows, bullets = x["row_share"], x["bullet_share"]
+#: Labelling functions: each signal with its two thresholds, and how often prose, lists, tables and junk are first taken
+#: to show its three levels.
+SIGNALS: dict[str, tuple[float, float, list[tuple[float, float, float]]]] = {
+    "bullets": (0.2, 0.6, [(0.90, 0.08, 0.02), (0.45, 0.10, 0.45), (0.93, 0.05, 0.02), (0.94, 0.04, 0.02)]),
+    "rows": (0.3, 0.6, [(0.93, 0.05, 0.02), (0.88, 0.08, 0.04), (0.02, 0.08, 0.90), (0.90, 0.06, 0.04)]),
+    "sentences": (0.2, 0.5, [(0.05, 0.10, 0.85), (0.85, 0.12, 0.03), (0.93, 0.05, 0.02), (0.90, 0.07, 0.03)]),
+    "common": (0.12, 0.25, [(0.03, 0.12, 0.85), (0.75, 0.20, 0.05), (0.88, 0.10, 0.02), (0.85, 0.10, 0.05)]),
+    "entries": (0.3, 0.6, [(0.88, 0.09, 0.03), (0.04, 0.06, 0.90), (0.90, 0.06, 0.04), (0.80, 0.10, 0.10)]),
+    "width": (4.0, 7.0, [(0.05, 0.15, 0.80), (0.50, 0.40, 0.10), (0.40, 0.30, 0.30), (0.35, 0.15, 0.50)]),
+    "garble": (0.4, 1.0, [(0.97, 0.025, 0.005), (0.96, 0.035, 0.005), (0.96, 0.035, 0.005), (0.65, 0.10, 0.25)]),
+    "code": (0.6, 1.0, [(0.97, 0.025, 0.005), (0.96, 0.035, 0.005), (0.88, 0.10, 0.02), (0.60, 0.10, 0.30)]),
+    "repeats": (0.5, 1.0, [(0.95, 0.045, 0.005), (0.95, 0.045, 0.005), (0.90, 0.08, 0.02), (0.65, 0.10, 0.25)]),
+    "words": (0.5, 1.0, [(0.01, 0.01, 0.98), (0.02, 0.03, 0.95), (0.25, 0.15, 0.60), (0.30, 0.10, 0.60)]),
+}
+#: Share of the documents that the first guesses count for, and the least number of documents they do.
+PRIOR_SHARE, PRIOR_LEAST = 0.01, 20.0
+_GUESS = np.stack([np.array(g) for _, _, g in SIGNALS.values()])  # signals, types, levels
+
+
+def signals(x: dict) -> list[float]:
+    """The values that the thresholds of SIGNALS are laid on, from the statistics of a text."""
+    few_rows, wordy = x["row_share"] < 0.5, x["mean_word_length"] >= 2.6 and x["single_share"] < 0.5  # single letters are common words too
+    worst = lambda *v: max(v)
+    repeats = worst(x["top_share"] / 0.34, 0.05 / x["distinct_share"] if x["distinct_share"] else 0.0) if few_rows and x["n_words"] >= 8 else 0.0
     return [
-        ("prose", wordy and x["common_share"] >= 0.25 and x["top_share"] < 0.3),
-        ("prose", wordy and x["sentence_share"] >= 0.5),
-        ("prose", wordy and x["common_share"] >= 0.2 and x["words_per_line"] >= 7 and rows < 0.5 and bullets < 0.5),
-        ("list", bullets >= 0.6 and x["sentence_share"] < 0.6),
-        ("list", x["n_lines"] >= 3 and bullets + x["entry_share"] >= 0.6 and rows < 0.5 and x["sentence_share"] < 0.5 and wordy),
-        ("list", x["n_lines"] >= 3 and x["words_per_line"] < 7 and x["common_share"] < 0.25 and rows < 0.5 and x["hex_share"] < 0.3 and wordy),
-        ("table", rows >= 0.6),
-        ("table", rows >= 0.5 and x["common_share"] < 0.25 and x["sentence_share"] < 0.5),
-        ("junk", x["vowelless_share"] >= 0.4 or x["odd_share"] >= 0.04 or x["tag_share"] >= 0.3),
-        ("junk", x["hex_share"] >= 0.4 or x["longest_token"] >= 60 or (x["symbol_share"] >= 0.45 and rows < 0.5)),
-        ("junk", (rows < 0.5 and x["n_words"] >= 8 and (x["top_share"] >= 0.34 or x["distinct_share"] <= 0.05)) or x["repeated_share"] >= 0.6 or x["single_share"] >= 0.6),
-        ("junk", rows < 0.5 and bullets < 0.5 and x["n_words"] >= 6 and x["words_per_line"] >= 6 and x["common_share"] < 0.12 and x["entry_share"] + x["sentence_share"] < 2),
+        x["bullet_share"],
+        x["row_share"],
+        x["sentence_share"] if wordy else 0.0,
+        x["common_share"] if wordy else 0.0,
+        x["bullet_share"] + x["entry_share"] if x["n_lines"] >= 3 and few_rows else 0.0,
+        x["words_per_line"],
+        worst(x["vowelless_share"] / 0.4, x["odd_share"] / 0.04, x["tag_share"] / 0.3),
+        worst(x["hex_share"] / 0.4, x["longest_token"] / 60, x["symbol_share"] / 0.45 if few_rows else 0.0),
+        worst(repeats, x["repeated_share"] / 0.6, x["single_share"] / 0.6),
+        1.0 if wordy else 0.5 if x["mean_word_length"] >= 2.0 else 0.0,
     ]
 
 
-RULES = 12
-
-
-def votes(statistics: tuple) -> int:
-    """The pattern of votes: bit i is set when rule i votes."""
+def pattern(statistics: tuple) -> int:
+    """The levels of all signals as one number in base 3; -1 for a blank text."""
     x = dict(zip((n for n, _ in STATISTICS), statistics, strict=True))
     if not x["n_lines"]:
-        return 0
-    return sum(1 << i for i, (_, v) in enumerate(_rule(x)) if v)
+        return -1
+    return sum(((v >= a) + (v >= b)) * 3**i for i, (v, (a, b, _)) in enumerate(zip(signals(x), SIGNALS.values(), strict=True)))
 
 
-#: The type that each rule votes for.
-VOTES_FOR = [t for t, _ in _rule({n: 0 for n, _ in STATISTICS})]
+def levels_of(patterns: list[int]) -> np.ndarray:
+    return np.array([[p // 3**i % 3 for i in range(len(SIGNALS))] for p in patterns], int).reshape(-1, len(SIGNALS))
 
 
-def learn(counts: dict[int, int], turns: int = 200, prior: float = 1.0) -> dict[int, np.ndarray]:
+def learn(counts: dict[int, int], turns: int = 300) -> dict[int, np.ndarray]:
     """Posterior over TYPES of each pattern, by expectation-maximisation over the patterns' counts.
 
-    A rule is taken to vote independently, with a rate of its own for each type, starting from 0.7 for the
-    type that it names and 0.05 for the others; `prior` pseudo-votes keep rates off 0 and 1. Rules stay better
-    than chance: a rule's rate for its own type is at least its rate for any other.
+    Signals are taken to show their levels independently, given the type. The first guesses weigh as much as
+    PRIOR_SHARE of the documents, whatever their number, so that types keep their names; all else is learned.
     """
     patterns = sorted(counts)
     if not patterns:
         return {}
-    n = np.array([counts[p] for p in patterns], float)
-    fired = np.array([[(p >> i) & 1 for i in range(RULES)] for p in patterns], float)
-    own = np.array([[t == TYPES[k] for t in VOTES_FOR] for k in range(len(TYPES))])
-    rate, share = np.where(own, 0.7, 0.05), np.full(len(TYPES), 1 / len(TYPES))
-    start = rate.copy()
+    n, at = np.array([counts[p] for p in patterns], float), levels_of(patterns)
+    prior = max(PRIOR_LEAST, PRIOR_SHARE * n.sum())
+    rate, share = _GUESS, np.array([0.55, 0.15, 0.15, 0.15])
     post = np.zeros((len(patterns), len(TYPES)))
     for _ in range(turns):
-        log = np.log(share) + fired @ np.log(rate).T + (1 - fired) @ np.log(1 - rate).T
+        log = np.log(share) + sum(np.log(rate[i][:, at[:, i]]).T for i in range(len(SIGNALS)))
         new = np.exp(log - log.max(1, keepdims=True))
         new /= new.sum(1, keepdims=True)
         if np.abs(new - post).max() < 1e-9:
@@ -200,19 +233,24 @@ def learn(counts: dict[int, int], turns: int = 200, prior: float = 1.0) -> dict[
         post = new
         weight = post * n[:, None]
         total = weight.sum(0)
-        rate = (weight.T @ fired + prior * 20 * start) / (total[:, None] + prior * 20)
-        rate = np.where(own, np.maximum(rate, np.where(own, 0, rate).max(0)), rate).clip(1e-4, 1 - 1e-4)
-        share = (total + prior) / (total.sum() + prior * len(TYPES))
-    # a type that no rule names for a pattern is not given to it
-    named = fired @ own.T.astype(float) > 0
-    kept = np.where(named | ~named.any(1, keepdims=True), post, 0.0)
-    kept = np.where(kept.sum(1, keepdims=True) > 0, kept, named / np.maximum(1, named.sum(1, keepdims=True)))
-    kept /= kept.sum(1, keepdims=True)
-    return {p: kept[i] for i, p in enumerate(patterns)}
+        seen = np.stack([np.stack([weight[at[:, i] == level].sum(0) for level in range(3)], 1) for i in range(len(SIGNALS))])
+        rate = (seen + prior * _GUESS) / (total[None, :, None] + prior)
+        share = (total + 1) / (total.sum() + len(TYPES))
+    return {p: post[i] for i, p in enumerate(patterns)}
+
+
+def plurality(counts: dict[int, int]) -> dict[int, str]:
+    """What most signals name for each pattern, each level voting for the type that is first taken to show it most: to compare with."""
+    best = _GUESS.argmax(1)  # signals, levels
+    out = {}
+    for p, row in zip(counts, levels_of(list(counts)), strict=True):
+        named = Counter(int(best[i, level]) for i, level in enumerate(row))
+        out[p] = TYPES[max(named, key=lambda t: (named[t], -t))]
+    return out
 
 
 def text_statistics(documents: DataFrame) -> DataFrame:
-    """doc_id, the STATISTICS and `votes` of each document; one pass, no shuffle. A blank text has zeros and no votes."""
+    """doc_id, the STATISTICS and the `pattern` of each document; one pass, no shuffle. A blank text has zeros and -1."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types = [pa.int64(), *[pa.int64() if t == "long" else pa.float64() for _, t in STATISTICS], pa.int32()]
@@ -220,10 +258,10 @@ def text_statistics(documents: DataFrame) -> DataFrame:
             for lo in range(0, b.num_rows, 1000):
                 part = b.slice(lo, 1000)
                 rows = [statistics_of(t) for t in part[1].to_pylist()]
-                columns = [part[0].to_pylist(), *zip(*rows, strict=True), [votes(r) for r in rows]]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["doc_id", *[n for n, _ in STATISTICS], "votes"])
+                columns = [part[0].to_pylist(), *zip(*rows, strict=True), [pattern(r) for r in rows]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["doc_id", *[n for n, _ in STATISTICS], "pattern"])
 
-    schema = "doc_id long, " + ", ".join(f"{n} {t}" for n, t in STATISTICS) + ", votes int"
+    schema = "doc_id long, " + ", ".join(f"{n} {t}" for n, t in STATISTICS) + ", pattern int"
     return documents.select("doc_id", "text").mapInArrow(run, schema)
 
 
@@ -231,18 +269,16 @@ def text_types(documents: DataFrame) -> DataFrame:
     """doc_id, form, confidence and the statistics of each document.
 
     form is 'prose', 'list', 'table' or 'junk', confidence its posterior; both are null for null, empty and
-    blank texts, and form is 'prose' where no rule votes. Ties go to the first of TYPES. An empty table gives
-    no rows. Whole texts are read; the rules' rates are learned over all documents.
+    blank texts. Ties go to the first of TYPES. An empty table gives no rows. Whole texts are read; the rates are
+    learned over all documents.
     """
     spark = documents.sparkSession
     stats = checkpointed(text_statistics(documents))  # the texts are read once
-    patterns = {r["votes"]: r["count"] for r in stats.where("n_lines > 0").groupBy("votes").count().collect()}  # at most 2**RULES rows
-    posterior = learn({p: c for p, c in patterns.items() if p})
-    rows = [(p, TYPES[int(np.argmax(v))], float(v.max())) for p, v in posterior.items()] + [(0, "prose", 0.5)]
-    known = spark.createDataFrame(rows, "votes int, form string, confidence double")
-    out = stats.join(F.broadcast(known), "votes", "left")
-    blank = F.col("n_lines") == 0
-    return out.select("doc_id", F.when(~blank, F.col("form")).alias("form"), F.when(~blank, F.col("confidence")).alias("confidence"), *[n for n, _ in STATISTICS])
+    counts = {r["pattern"]: r["count"] for r in stats.where("pattern >= 0").groupBy("pattern").count().collect()}  # at most 3**len(SIGNALS) rows
+    rows = [(p, TYPES[int(np.argmax(v))], float(v.max())) for p, v in learn(counts).items()]
+    known = spark.createDataFrame(rows, "pattern int, form string, confidence double")
+    out = stats.join(F.broadcast(known), "pattern", "left")
+    return out.select("doc_id", "form", "confidence", *[n for n, _ in STATISTICS])
 
 
 def not_prose(documents: DataFrame) -> DataFrame:
