@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from flowloom.operators.graph import reachable
 from flowloom.operators.keep import keep_first, top_per_group
-from flowloom.session import checkpointed
+from flowloom.session import checkpointed, parallelism
 
 _BINARY = {ast.Add: operator.add, ast.Sub: operator.sub, ast.Mult: operator.mul, ast.Div: operator.truediv, ast.Pow: operator.pow}
 _UNARY = {ast.UAdd: operator.pos, ast.USub: operator.neg}
@@ -150,7 +150,7 @@ def reevaluate(parameters: DataFrame, exchanges: DataFrame, plan: DataFrame, rat
     p = p.select("process_code", F.when(F.col("kind") == "input", 0).otherwise(1).alias("what"), "name", none("long").alias("exchange_index"), F.col("amount").cast("double").alias("amount"), "formula")
     o = plan.select("process_code", F.lit(2).alias("what"), "name", none("long").alias("exchange_index"), F.col("value").cast("double").alias("amount"), none("string").alias("formula"))
     x = e.select("process_code", F.lit(3).alias("what"), none("string").alias("name"), F.col("exchange_index").cast("long").alias("exchange_index"), F.col("amount").cast("double").alias("amount"), "formula")
-    rows = p.unionByName(o).unionByName(x).repartition("process_code").sortWithinPartitions("process_code", "what")
+    rows = p.unionByName(o).unionByName(x).repartition(parallelism(parameters.sparkSession), "process_code").sortWithinPartitions("process_code", "what")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code, at, inputs, plan_, calc, base, new, failed = None, -1, {}, {}, [], {}, {}, None

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from flowloom.operators.graph import components_of, strong_components
-from flowloom.session import checkpointed
+from flowloom.session import checkpointed, parallelism
 
 #: Nodes of the largest component that one task inverts; larger ones are solved by the Krylov method.
 DENSE = 3_000
@@ -206,7 +206,7 @@ def _side_by_side(start: DataFrame, shared: _Shared) -> DataFrame:
         if held:
             yield from solved(*(np.concatenate([p[i] for p in held]) for i in range(3)))
 
-    rows = start.groupBy("grp", "node").agg(F.sum("x").alias("x")).select("grp", F.col("node").cast("long").alias("node"), "x").repartition("grp").sortWithinPartitions("grp")
+    rows = start.groupBy("grp", "node").agg(F.sum("x").alias("x")).select("grp", F.col("node").cast("long").alias("node"), "x").repartition(parallelism(start.sparkSession), "grp").sortWithinPartitions("grp")  # few rows, much work: not to be merged
     return rows.mapInArrow(run, f"grp {kind}, node long, x double")
 
 
