@@ -248,14 +248,14 @@ def contradictions(df: DataFrame, key: list[str], id_col: str, by: str = "proven
         .where(F.expr(" and ".join(f"_n{i}" for i in range(len(key)))))
         .select("k", "id", "p", "v")
         .distinct()
+        .select("*", F.signum("v").cast("int").alias("s"), F.when(F.col("v") == 0, F.lit(0).cast("long")).otherwise(F.floor(F.log(F.abs("v")) / width)).alias("c"))
     )
 
     def far(a: Column, b: Column) -> Column:
         return F.abs(a - b) > F.lit(tolerance) * F.greatest(F.abs(a), F.abs(b))
 
     mixed = rows.groupBy("k").agg(F.min("v").alias("lo"), F.max("v").alias("hi")).where(far(F.col("lo"), F.col("hi"))).select("k")
-    v = F.col("v")
-    rows = rows.join(mixed, "k", "left_semi").withColumn("c", F.when(v == 0, F.lit(0).cast("long")).otherwise(F.floor(F.log(F.abs(v)) / width))).withColumn("s", F.signum(v).cast("int"))
+    rows = rows.join(mixed, "k", "left_semi")
     cells = rows.groupBy("k", "p", "s", "c").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
     # a key with very many cells is split: each cell of one side meets a part's cells of the other
     split = cells.groupBy("k").agg(F.ceil(F.count(F.lit(1)) / SPLIT_CELLS).cast("long").alias("n"))
