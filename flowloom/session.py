@@ -18,6 +18,8 @@ def local_session(cores: str | int = "*", shuffle: int = 8, memory: str = "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="flowloom-"))
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
 
