@@ -59,19 +59,17 @@ def unique_lookup(right: DataFrame, key: list[str], value: list[str]) -> DataFra
 def forward_fill(df: DataFrame, value: Column, order: str, into: str, group: list[str] = ()) -> DataFrame:
     """`into`: the last value that isn't null up to each row, within the group.
 
-    Without a group the rows are cut into ranges of the order column first: each range is filled by itself and
-    starts from the last value of the ranges before it, so no task sees all rows.
+    Without a group the rows are cut into ranges of the order column (a number) first, at its quantiles, so that gaps don't
+    overfill a range: each range is filled by itself and starts from the last value of the ranges before it, and no
+    task sees all rows.
     """
     df = df.withColumn("_v", value)
     if group:
         w = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumn(into, F.last("_v", ignorenulls=True).over(w)).drop("_v")
     parts = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
-    lo, hi = df.agg(F.min(order), F.max(order)).first()
-    if lo is None:
-        return df.withColumn(into, F.col("_v")).drop("_v")
-    width = max(1, -(-(int(hi) - int(lo) + 1) // parts))
-    df = df.withColumn("_r", F.floor((F.col(order) - F.lit(int(lo))) / width))
+    cuts = sorted(set(df.approxQuantile(order, [i / parts for i in range(1, parts)], 0.25 / parts))) if parts > 1 else []
+    df = df.withColumn("_r", F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col(order))).cast("long") if cuts else F.lit(0).cast("long"))
     w = Window.partitionBy("_r").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     filled = df.withColumn("_f", F.last("_v", ignorenulls=True).over(w))
     ends = df.where("_v is not null").groupBy("_r").agg(F.max_by("_v", order).alias("_e"))
