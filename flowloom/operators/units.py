@@ -278,6 +278,10 @@ def contradicting_factors(flowmap: DataFrame, unit_conversion: DataFrame) -> Dat
     """
     f = common_factors(flowmap).withColumn("source_name", blank_to_null("source_name")).withColumn("target_name", blank_to_null("target_name"))
     u = common_factors(unit_conversion, factor="multiplier", note=None)
-    a = contradictions(f, ["package_id", "source_name", "target_name", "source_kind", "target_kind"], "entry_id")
+    # parsed once, then filtered: filters on what the patterns give would repeat the patterns
+    names = ["package_id", "source_name", "target_name", "source_kind", "target_kind"]
+    f = checkpointed(f.select("entry_id", "provenance", "common_factor", *names))
+    u = checkpointed(u.select("conv_id", "provenance", "common_factor", "source_base", "target_base"))
+    a = contradictions(f, names, "entry_id")
     b = contradictions(u, ["source_base", "target_base"], "conv_id")
     return a.select(F.lit("flowmap").alias("table_name"), "id_a", "id_b").unionByName(b.select(F.lit("unit_conversion").alias("table_name"), "id_a", "id_b"))
