@@ -10,6 +10,8 @@ from flowloom.functions.exprs import normal_product_code, product_code_in
 #: Share of the median reference below which both sides count as zero.
 NEAR_ZERO = 0.01
 _GRAM = 3
+#: Numbers that pieces are folded to before they are broadcast.
+_FOLDS = 1 << 18
 
 
 def _grams(name: Column) -> Column:
@@ -26,48 +28,61 @@ def contained_in(references: DataFrame, entries: DataFrame) -> DataFrame:
     """ref_id, key: the entry of the shortest name (then smallest key) that contains the reference's name, letter case aside.
 
     references: ref_id, name. entries: key, name. Names meet on one rare piece of three letters of the
-    reference, then the containment is checked; no pair is formed without a piece in common.
+    reference, then the containment is checked; no pair is formed without a piece in common. Entries are reduced to
+    their different names, and pieces that no reference has are dropped where they are made. Pieces of entries are
+    never broadcast: they are many times the names, which Spark's estimate of a generator does not see.
     """
-    e = entries.select("key", F.lower("name").alias("e_name")).distinct()
+    e = entries.groupBy(F.lower("name").alias("e_name")).agg(F.min("key").alias("key")).where("e_name is not null")
     r = references.where("name is not null and name <> ''").select("ref_id", F.lower("name").alias("r_name"))
     index = e.select("key", "e_name", F.explode(_grams(F.col("e_name"))).alias("g"))
-    counts = index.groupBy("g").agg(F.count(F.lit(1)).alias("df"))
     names = r.select("r_name").distinct()
     pieces = names.select("r_name", F.explode(_grams(F.col("r_name"))).alias("g")).where(F.length("g") == F.least(F.length("r_name"), F.lit(_GRAM)))
     # a piece that no entry has settles the name: nothing contains it
-    rare = pieces.join(counts, "g", "left").groupBy("r_name").agg(F.min_by("g", F.struct(F.coalesce("df", F.lit(0)), "g")).alias("g"))
-    best = rare.join(index, "g").where(F.col("e_name").contains(F.col("r_name"))).groupBy("r_name").agg(F.min(F.struct(F.length("e_name").alias("n"), "key")).alias("b"))
+    counts = _among(index, pieces).groupBy("g").agg(F.count(F.lit(1)).alias("df"))
+    rare = pieces.hint("merge").join(counts, "g", "left").groupBy("r_name").agg(F.min_by("g", F.struct(F.coalesce("df", F.lit(0)), "g")).alias("g"))
+    best = rare.join(_among(index, rare).hint("merge"), "g").where(F.col("e_name").contains(F.col("r_name"))).groupBy("r_name").agg(F.min(F.struct(F.length("e_name").alias("n"), "key")).alias("b"))
     return r.join(best, "r_name").select("ref_id", F.col("b.key").alias("key"))
 
 
+def _among(index: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows of index whose piece g may be one of wanted's: no such row is lost, a few others stay."""
+    fold = lambda c: F.pmod(F.xxhash64(c), F.lit(_FOLDS))
+    marks = wanted.select(fold("g").alias("_f")).distinct()  # at most _FOLDS numbers
+    return index.withColumn("_f", fold("g")).join(F.broadcast(marks), "_f", "left_semi").drop("_f")
+
+
 def map_products(references: DataFrame, entries: DataFrame) -> DataFrame:
     """ref_id, key, how: the catalogue entry of each reference row; key is null where none is found.
 
-    references: ref_id, code_a, code_b, storage, name. entries: key, type, name. In order: the product code in
+    references: ref_id (unique), code_a, code_b, storage, name. entries: key, type, name. In order: the product code in
     the entry's name (first code_a, then code_b), unique, or unique among products, or among the products whose
     name has the storage label; the exact name, unique or unique among products; the shortest name that
-    contains the reference's.
+    contains the reference's. Entries are counted for each code and name, and only different codes with their label meet
+    entries, so that a code which many rows and many entries share forms no pairs of them.
     """
     e = entries.select("key", "type", "name", normal_product_code(product_code_in(F.col("name"))).alias("code"))
-    codes = references.select("ref_id", "storage", F.posexplode(F.array(normal_product_code(F.col("code_a")), normal_product_code(F.col("code_b")))).alias("at", "code")).where("code is not null")
     product = F.col("type") == "product"
-    hit = codes.join(e, "code")
-    stored = product & F.coalesce(F.col("storage") != "", F.lit(False)) & F.col("name").contains(F.col("storage"))
-
-    def pick(df: DataFrame, group: list[str], conditions: list[Column | None]) -> DataFrame:
-        aggs = []
-        for i, c in enumerate(conditions):
-            aggs += [F.count(F.lit(1) if c is None else F.when(c, 1)).alias(f"n{i}"), F.min(F.col("key") if c is None else F.when(c, F.col("key"))).alias(f"k{i}")]
-        g = df.groupBy(*group).agg(*aggs)
-        return g.select(*group, F.coalesce(*[F.when(F.col(f"n{i}") == 1, F.col(f"k{i}")) for i in range(len(conditions))]).alias("key")).where("key is not null")
-
-    by_code = pick(hit, ["ref_id", "at"], [None, product, stored]).groupBy("ref_id").agg(F.min_by("key", "at").alias("key"))
-    rest = references.join(by_code, "ref_id", "left_anti")
-    by_name = pick(rest.select("ref_id", "name").join(e.drop("code"), "name"), ["ref_id"], [None, product])
-    rest = rest.join(by_name, "ref_id", "left_anti")
-    by_part = contained_in(rest, entries)
-    found = by_code.withColumn("how", F.lit("code")).unionByName(by_name.withColumn("how", F.lit("name"))).unionByName(by_part.withColumn("how", F.lit("contained")))
-    return references.select("ref_id").join(found, "ref_id", "left")
+    labelled = references.select("name", F.coalesce("storage", F.lit("")).alias("label"), normal_product_code(F.col("code_a")).alias("code_a"), normal_product_code(F.col("code_b")).alias("code_b"), "ref_id")
+
+    def counted(group: str) -> DataFrame:
+        g = e.where(F.col(group).isNotNull()).groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("k"), F.count_if(product).alias("np"), F.min(F.when(product, F.col("key"))).alias("kp"))
+        return g.select(group, F.when(F.col("n") == 1, F.col("k")).when(F.col("np") == 1, F.col("kp")).alias("only"))
+
+    asked = labelled.select("label", F.explode(F.array("code_a", "code_b")).alias("code")).where("code is not null").distinct()
+    codes = asked.join(counted("code").hint("merge"), "code")
+    open_ = codes.where("only is null and label <> ''").drop("only")
+    stored = open_.join(e.where(product).select("code", "key", "name").hint("merge"), "code").where(F.col("name").contains(F.col("label"))).groupBy("code", "label").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("k"))
+    by_code = codes.join(stored, ["code", "label"], "left").select("code", "label", F.coalesce("only", F.when(F.col("n") == 1, F.col("k"))).alias("key")).where("key is not null")
+
+    names = labelled.select("name").where("name is not null").distinct()
+    exact = names.join(counted("name").hint("merge"), "name", "left")
+    part = contained_in(exact.where("only is null").select(F.col("name").alias("ref_id"), "name"), entries)
+    by_name = exact.join(part.select(F.col("ref_id").alias("name"), "key"), "name", "left").select("name", F.coalesce("only", "key").alias("by_name"), F.when(F.col("only").isNotNull(), "name").when(F.col("key").isNotNull(), "contained").alias("how_name"))
+    found = labelled.select("ref_id", "label", "name", "code_a", "code_b")
+    for side in ("a", "b"):
+        found = found.join(by_code.select(F.col("code").alias(f"code_{side}"), "label", F.col("key").alias(f"by_{side}")), [f"code_{side}", "label"], "left")
+    found = found.join(by_name, "name", "left").withColumn("_c", F.coalesce("by_a", "by_b"))
+    return found.select("ref_id", F.coalesce("_c", "by_name").alias("key"), F.when(F.col("_c").isNotNull(), "code").otherwise(F.col("how_name")).alias("how"))
 
 
 def differences(pairs: DataFrame) -> DataFrame:

@@ -235,3 +235,13 @@ def test_statuses_and_audit(spark, rows):
     same = spark.createDataFrame([(0, None, "c1")], "exc_id int, prior_db string, prior_code string")
     assert rows(match.match_audit(same, m)) == []
     assert rows(match.match_audit(same.withColumn("prior_code", F.lit(None).cast("string")), m), "kind") == [("new_link",)]
+
+
+def test_products_are_mapped_without_broadcasting_pieces(spark, rows, tmp_path):
+    entries = [(1, "product", "Milk [Ciqual code: 0007]"), (2, "process", "Milk, cold [Ciqual code: 8]"), (3, "product", "Milk, warm [Ciqual code: 8]"), (4, "product", "Beer can [Ciqual code: 9]"), (5, "product", "Beer keg [Ciqual code: 9]"), (6, "process", "Salt"), (7, "product", "Salt"), (8, "product", "Salted butter"), (9, "product", "SALTED BUTTER"), (10, None, None)]
+    spark.createDataFrame([*entries, *((100 + i, "process", f"{i} " + "long name " * 40) for i in range(50))], "key long, type string, name string").write.parquet(str(tmp_path / "e"))
+    refs = [("a", "7", None, "", "x"), ("b", " 08", None, None, "x"), ("c", "9", None, "keg", "Salt"), ("d", "9", "7", "Beer", "x"), ("e", "9", None, None, "Salt"), ("f", None, None, "", "alted"), ("g", None, None, "", "no such"), ("h", "404", None, "keg", None), ("i", None, None, "", ""), ("j", None, None, "", "lT")]
+    got = report.map_products(spark.createDataFrame(refs, "ref_id string, code_a string, code_b string, storage string, name string"), spark.read.parquet(str(tmp_path / "e")))
+    plan = spark.sparkContext._jvm.PythonSQLUtils.explainString(got._jdf.queryExecution(), "formatted")
+    assert not [x for x in plan.split(") BroadcastExchange\n")[1:] if "e_name" in x.split("\n", 1)[0]]  # a small file, but some hundred pieces a name
+    assert rows(got) == [("a", 1, "code"), ("b", 3, "code"), ("c", 5, "code"), ("d", 1, "code"), ("e", 7, "name"), ("f", 8, "contained"), ("g", None, None), ("h", None, None), ("i", None, None), ("j", 6, "contained")]
