@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from array import array
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,15 +45,17 @@ def _core(src: np.ndarray, dst: np.ndarray, n: int) -> np.ndarray:
 def components_of(src: np.ndarray, dst: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Nodes that lie on a cycle, and the smallest node of the component of each."""
     nodes, at = np.unique(np.r_[src, dst], return_inverse=True)
-    s, d = at[: len(src)], at[len(src) :]
-    keep = _core(s, d, len(nodes))
-    s, d = s[keep], d[keep]
+    keep = _core(at[: len(src)], at[len(src) :], len(nodes))
+    nodes, at = np.unique(np.r_[src[keep], dst[keep]], return_inverse=True)  # what is left of them
+    if not len(nodes):
+        return nodes, nodes
+    s, d = at[: len(keep)], at[len(keep) :]
     order = np.argsort(s, kind="stable")
     s, d = s[order], d[order]
-    first = np.searchsorted(s, np.arange(len(nodes) + 1)).tolist()
-    into = d.tolist()
-    index, low = [-1] * len(nodes), [0] * len(nodes)
-    on, stack, comp, count = [False] * len(nodes), [], np.full(len(nodes), -1, np.int64), 0
+    first = array("q", np.searchsorted(s, np.arange(len(nodes) + 1)).astype(np.int64).tobytes())  # a number takes 8 bytes, not 40
+    into = array("q", d.astype(np.int64).tobytes())
+    index, low = array("q", [-1]) * len(nodes), array("q", [0]) * len(nodes)
+    on, stack, comp, count = bytearray(len(nodes)), [], np.full(len(nodes), -1, np.int64), 0
     for root in np.unique(s).tolist():
         if index[root] >= 0:
             continue

@@ -13,7 +13,6 @@ from collections.abc import Iterator
 from uuid import uuid4
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -27,6 +26,8 @@ DENSE = 3_000
 HELD_EDGES = 2_000_000
 #: Cells of the largest matrix of nodes by groups that a worker fills at once.
 _CELLS = 4_000_000
+#: Rows that a worker holds of groups that reach little of the graph.
+_ROWS = 1_000_000
 #: Rounds that one job takes: their exchanges are shared, and lineage is cut once for all.
 ROUNDS = 3
 
@@ -52,24 +53,77 @@ def _parts(a: DataFrame, producers: DataFrame) -> tuple[DataFrame, DataFrame]:
     return diagonal, off.join(made, "input")
 
 
-def _inverted(m: np.ndarray, name: object) -> np.ndarray:
+def _inverted(m: np.ndarray, names: np.ndarray) -> np.ndarray:
+    """Inverses of matrices of one size; names: a node of each."""
     try:
         k = np.linalg.inv(m)
     except np.linalg.LinAlgError as e:
-        raise SingularSystem(f"the component of {name} nets to nothing") from e
-    if not np.isfinite(k).all() or np.linalg.norm(m, 1) * np.linalg.norm(k, 1) > 1e15:
-        raise SingularSystem(f"the component of {name} nets to nothing")
+        if len(m) > 1:  # which one it is
+            return np.concatenate([_inverted(m[i : i + 1], names[i : i + 1]) for i in range(len(m))])
+        raise SingularSystem(f"the component of {names[0]} nets to nothing") from e
+    bad = ~np.isfinite(k).all((1, 2)) | (np.abs(m).sum(1).max(1) * np.abs(k).sum(1).max(1) > 1e15)
+    if bad.any():
+        raise SingularSystem(f"the component of {names[bad][0]} nets to nothing")
     return k
 
 
-def _inverse(pdf: pd.DataFrame) -> pd.DataFrame:
-    """node, into, k of one component: (I - M)^-1, given its edges (src, dst, w)."""
-    nodes = np.unique(np.r_[pdf.src.to_numpy(), pdf.dst.to_numpy()])
-    m = np.eye(len(nodes))
-    np.subtract.at(m, (np.searchsorted(nodes, pdf.dst), np.searchsorted(nodes, pdf.src)), pdf.w.to_numpy())
-    k = _inverted(m, nodes[0])
-    i, j = np.nonzero(k)
-    return pd.DataFrame({"node": nodes[j], "into": nodes[i], "k": k[i, j]})
+def _stacks(comp: np.ndarray, src: np.ndarray, dst: np.ndarray, w: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Nodes (components by size) and (I - M)^-1 (components by size by size) of components, those of one size together.
+
+    comp, src, dst, w: the edges inside components, in order of comp.
+    """
+    if not len(comp):
+        return
+    first, end = _slices(comp)
+    c = np.repeat(np.arange(len(first)), end - first)
+    both, of = np.r_[src, dst], np.r_[c, c]
+    order = np.lexsort((both, of))
+    both, of = both[order], of[order]
+    new = np.r_[True, (both[1:] != both[:-1]) | (of[1:] != of[:-1])]
+    number = np.empty(len(order), np.int64)
+    number[order] = np.cumsum(new) - 1
+    nodes, of = both[new], of[new]
+    begin = np.searchsorted(of, np.arange(len(first) + 1))
+    size = np.diff(begin)
+    s, d = number[: len(src)] - begin[c], number[len(src) :] - begin[c]
+    for m in np.unique(size):
+        all_of = np.flatnonzero(size == m)
+        at_once = max(1, _CELLS // int(m * m))
+        for lo in range(0, len(all_of), at_once):
+            some = all_of[lo : lo + at_once]
+            mine = np.full(len(first), -1)
+            mine[some] = np.arange(len(some))
+            e = np.flatnonzero(mine[c] >= 0)
+            k = np.tile(np.eye(m), (len(some), 1, 1))
+            np.subtract.at(k, (mine[c[e]], d[e], s[e]), w[e])
+            at = nodes[begin[some][:, None] + np.arange(m)]
+            yield at, _inverted(k, at[:, 0])
+
+
+def _inverses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """node, into, k of components: (I - M)^-1, given their edges (cs, src, dst, w) in order of cs."""
+    for comp, src, dst, w in _whole(batches, ("cs", "src", "dst", "w")):
+        for at, k in _stacks(comp, src, dst, w):
+            c, i, j = np.nonzero(k)
+            yield pa.RecordBatch.from_arrays([pa.array(at[c, j]), pa.array(at[c, i]), pa.array(k[c, i, j])], ["node", "into", "k"])
+
+
+def _whole(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]) -> Iterator[list[np.ndarray]]:
+    """Columns of many rows at a time; rows of one group (the first column, in order) stay together."""
+    held: list[list[np.ndarray]] = []
+    rows = 0
+    for b in batches:
+        if not b.num_rows:
+            continue
+        held.append([b[n].to_numpy(zero_copy_only=False) for n in names])
+        rows += b.num_rows
+        if rows >= _ROWS // 4 and held[-1][0][-1] != held[0][0][0]:  # all groups but the last are complete
+            columns = [np.concatenate(x) for x in zip(*held, strict=True)]
+            cut = _slices(columns[0])[0][-1]
+            yield [x[:cut] for x in columns]
+            held, rows = [[x[cut:] for x in columns]], len(columns[0]) - cut
+    if held:
+        yield [np.concatenate(x) for x in zip(*held, strict=True)]
 
 
 class Graph:
@@ -82,16 +136,22 @@ class Graph:
         unit = np.arange(n)  # what a node is settled with: itself, or its component
         unit[np.searchsorted(self.nodes, on)] = np.searchsorted(self.nodes, comp)
         inner = unit[s] == unit[d]
+        #: By level: nodes (components by size) and their inverses.
         self.blocks: dict[int, list] = {}
         level = self._depths(unit[s[~inner]], unit[d[~inner]], n)
         order = np.argsort(unit[s[inner]], kind="stable")
-        bs, bd, bw, bu = s[inner][order], d[inner][order], w[inner][order], unit[s[inner]][order]
-        for lo, hi in zip(*_slices(bu), strict=True):
-            at = np.unique(np.r_[bs[lo:hi], bd[lo:hi]])
-            m = np.eye(len(at))
-            np.subtract.at(m, (np.searchsorted(at, bd[lo:hi]), np.searchsorted(at, bs[lo:hi])), bw[lo:hi])
-            self.blocks.setdefault(int(level[bu[lo]]), []).append((at, _inverted(m, self.nodes[at[0]])))
+        bs, bd, bw = s[inner][order], d[inner][order], w[inner][order]
+        #: By node: its level, the stack of its component (-1: none), the component's place there, and its own place.
+        self.level, self.stack, self.row, self.place = level[unit], np.full(n, -1), np.zeros(n, np.int64), np.zeros(n, np.int64)
+        self.stacks = [(at, k) for at, k in _stacks(unit[bs], bs, bd, bw)]
+        for i, (at, k) in enumerate(self.stacks):
+            self.stack[at], self.row[at], self.place[at] = i, np.arange(len(at))[:, None], np.arange(at.shape[1])
+            of = self.level[at[:, 0]]
+            for at_level in np.unique(of):
+                self.blocks.setdefault(int(at_level), []).append((at[of == at_level], k[of == at_level]))
         s, d, w = s[~inner], d[~inner], w[~inner]
+        order = np.argsort(s, kind="stable")
+        self.into, self.weight, self.first = d[order], w[order], np.searchsorted(s[order], np.arange(n + 1))
         order = np.lexsort((d, level[unit[s]]))
         s, d, w, l = s[order], d[order], w[order], level[unit[s]][order]  # noqa: E741
         self.steps = []
@@ -122,15 +182,66 @@ class Graph:
         steps = iter(self.steps)
         step = next(steps, None)
         for level in range(self.depth):
-            for at, k in self.blocks.get(level, ()):
-                x[at] = k @ x[at]
-                met[at] = met[at].any(0)
+            for all_at, all_k in self.blocks.get(level, ()):
+                at_once = max(1, _ROWS // (all_at.shape[1] * x.shape[1]))
+                for lo in range(0, len(all_at), at_once):
+                    at = all_at[lo : lo + at_once]
+                    x[at] = all_k[lo : lo + at_once] @ x[at]
+                    met[at] = met[at].any(1, keepdims=True)
             if step is not None and step[0] == level:
                 _, s, w, first, d = step
                 x[d] += np.add.reduceat(x[s] * w, first)
                 met[d] |= np.logical_or.reduceat(met[s], first)
                 step = next(steps, None)
 
+    def spread(self, g: np.ndarray, node: np.ndarray, x: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+        """Group, node and x of the solution, by way of the nodes that are reached only; None if these are more than `most`."""
+        n, todo, out, rows = len(self.nodes), {}, [], 0
+
+        def put(g: np.ndarray, node: np.ndarray, x: np.ndarray) -> None:
+            order = np.argsort(self.level[node], kind="stable")
+            for lo, hi in zip(*_slices(self.level[node][order]), strict=True):
+                todo.setdefault(int(self.level[node[order[lo]]]), []).append((g[order[lo:hi]], node[order[lo:hi]], x[order[lo:hi]]))
+
+        put(g, node, x)
+        while todo:
+            g, node, x = (np.concatenate(p) for p in zip(*todo.pop(min(todo)), strict=True))
+            order = np.argsort(key := g * n + node, kind="stable")
+            first, _ = _slices(key[order])
+            g, node, x = g[order][first], node[order][first], np.add.reduceat(x[order], first)
+            if (self.stack[node] >= 0).any():
+                parts = [(g[alone], node[alone], x[alone]) for alone in [self.stack[node] < 0]]
+                for i in np.unique(self.stack[node]):
+                    if i >= 0:
+                        parts += self._settled(i, *(p[self.stack[node] == i] for p in (g, node, x)))
+                g, node, x = (np.concatenate(p) for p in zip(*parts, strict=True))
+            out.append((g, node, x))
+            size = self.first[node + 1] - self.first[node]
+            rows += len(g)
+            if rows + size.sum() > most:
+                return None
+            if size.any():
+                at = np.repeat(self.first[node] - np.r_[0, np.cumsum(size)[:-1]], size) + np.arange(size.sum())
+                put(np.repeat(g, size), self.into[at], np.repeat(x, size) * self.weight[at])
+        return tuple(np.concatenate(p) for p in zip(*out, strict=True))
+
+    def _settled(self, i: int, g: np.ndarray, node: np.ndarray, x: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """What arrives at components of stack i, taken through their inverses."""
+        nodes, k = self.stacks[i]
+        m = nodes.shape[1]
+        order = np.lexsort((g, self.row[node]))
+        g, node, x = g[order], node[order], x[order]
+        row = self.row[node]
+        new = np.r_[True, (row[1:] != row[:-1]) | (g[1:] != g[:-1])]
+        v = np.zeros((int(new.sum()), m))
+        v[np.cumsum(new) - 1, self.place[node]] = x
+        g, row = g[new], row[new]
+        if m * m <= 64:
+            y = (k[row] @ v[:, :, None])[:, :, 0]
+        else:
+            y = np.concatenate([v[lo:hi] @ k[row[lo]].T for lo, hi in zip(*_slices(row), strict=True)])
+        return [(np.repeat(g, m), nodes[row].ravel(), y.ravel())]
+
 
 def _slices(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Bounds of the runs of equal values."""
@@ -169,42 +280,50 @@ def _side_by_side(start: DataFrame, shared: _Shared) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         graph = _held(shared)
         n = len(graph.nodes)
-        most = int(np.clip(_CELLS // max(1, n), 1, 256))
-
-        def solved(g: np.ndarray, node: np.ndarray, v: np.ndarray) -> Iterator[pa.RecordBatch]:
-            first, _ = _slices(g)
-            names = g[first]
-            for lo in range(0, len(names), most):
-                a, b = first[lo], first[lo + most] if lo + most < len(names) else len(g)
-                col = np.searchsorted(first, np.arange(a, b), "right") - 1 - lo
-                at = np.searchsorted(graph.nodes, node[a:b])
-                known = (at < n) & (graph.nodes[np.minimum(at, n - 1)] == node[a:b]) if n else np.zeros(b - a, bool)
-                width = min(most, len(names) - lo)
-                x, met = np.zeros((n, width)), np.zeros((n, width), bool)
-                np.add.at(x, (at[known], col[known]), v[a:b][known])
-                met[at[known], col[known]] = True
-                graph.solve(x, met)
-                i, j = np.nonzero(met)
-                alone = ~known  # nodes without any edge keep what they have
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.r_[names[lo + j], names[lo + col[alone]]]), pa.array(np.r_[graph.nodes[i], node[a:b][alone]]), pa.array(np.r_[x[i, j], v[a:b][alone]])], ["grp", "node", "x"]
-                )
-
-        held: list[tuple] = []
-        for b in batches:
-            if not b.num_rows:
-                continue
-            part = (b["grp"].to_numpy(zero_copy_only=False), b["node"].to_numpy(), b["x"].to_numpy())
-            held.append(part)
-            g = np.concatenate([p[0] for p in held])
-            first, _ = _slices(g)
-            if len(first) > most:  # all groups but the last are complete
-                node, v = (np.concatenate([p[i] for p in held]) for i in (1, 2))
-                cut = first[-1]
-                yield from solved(g[:cut], node[:cut], v[:cut])
-                held = [(g[cut:], node[cut:], v[cut:])]
-        if held:
-            yield from solved(*(np.concatenate([p[i] for p in held]) for i in range(3)))
+        width = int(np.clip(_CELLS // max(1, n), 1, 256))  # groups that are filled in whole at once
+        take, filled, skip = width, 0, 0
+
+        def full(col: np.ndarray, at: np.ndarray, v: np.ndarray, groups: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            x, met = np.zeros((n, groups)), np.zeros((n, groups), bool)
+            np.add.at(x, (at, col), v)
+            met[at, col] = True
+            graph.solve(x, met)
+            i, j = np.nonzero(met)
+            return j, i, x[i, j]
+
+        for g, node, v in _whole(batches, ("grp", "node", "x")):
+            first, end = _slices(g)
+            names, groups = g[first], np.repeat(np.arange(len(first)), end - first)
+            at = np.searchsorted(graph.nodes, node)
+            known = (at < n) & (graph.nodes[np.minimum(at, n - 1)] == node) if n else np.zeros(len(node), bool)
+            alone = ~known  # nodes without any edge keep what they have
+            if alone.any():
+                yield pa.RecordBatch.from_arrays([pa.array(names[groups[alone]]), pa.array(node[alone]), pa.array(v[alone])], ["grp", "node", "x"])
+            lo = 0
+            while lo < len(names):
+                hi = min(lo + (width if filled else take), len(names))
+                rows = slice(first[lo], end[hi - 1])
+                mine = known[rows]
+                want = groups[rows][mine] - lo, at[rows][mine], v[rows][mine]
+                if filled:
+                    filled -= 1
+                    part = full(*want, hi - lo)
+                elif not len(want[0]):
+                    part = None
+                elif (part := graph.spread(*want, min(_ROWS, max(1000, n * (hi - lo) // 8)))) is not None:
+                    skip = 0
+                    if len(part[0]) < _ROWS // 4:
+                        take *= 2
+                elif hi - lo > width:
+                    take = max(width, (hi - lo) // 2)
+                    continue
+                else:  # groups that reach much of the graph: filled in whole, and so are more of the next each time
+                    skip = filled = min(2 * skip + 1, 31)
+                    take = width
+                    part = full(*want, hi - lo)
+                if part is not None:
+                    yield pa.RecordBatch.from_arrays([pa.array(names[lo + part[0]]), pa.array(graph.nodes[part[1]]), pa.array(part[2])], ["grp", "node", "x"])
+                lo = hi
 
     rows = start.groupBy("grp", "node").agg(F.sum("x").alias("x")).select("grp", F.col("node").cast("long").alias("node"), "x").repartition(parallelism(start.sparkSession), "grp").sortWithinPartitions("grp")  # few rows, much work: not to be merged
     return rows.mapInArrow(run, f"grp {kind}, node long, x double")
@@ -217,14 +336,15 @@ def recurrence(start: DataFrame, edges: DataFrame, dense: int = DENSE, held: int
     residual falls under `tolerance` of its start (NotConverged after `most` steps). A component that nets to nothing
     raises SingularSystem. Lineage is cut into the shared checkpoint folder. An empty start gives no rows.
     """
-    edges = edges.groupBy("src", "dst").agg(F.sum("w").alias("w"))
-    table = edges.limit(held + 1).toArrow()
-    if table.num_rows <= held:  # a graph of known size
+    counted = Observation()
+    edges = checkpointed(edges.groupBy("src", "dst").agg(F.sum("w").alias("w")).observe(counted, F.count(F.lit(1)).alias("n")))
+    if counted.get["n"] <= held:  # a graph of known size; a larger one never comes to the driver
+        table = edges.toArrow()
         src, dst, w = (np.asarray(table[c].to_numpy(), t) for c, t in (("src", np.int64), ("dst", np.int64), ("w", float)))
         on, comp = components_of(src, dst)
         if not len(comp) or np.unique(comp, return_counts=True)[1].max() <= dense:
             return _side_by_side(start, _Shared(start.sparkSession.sparkContext.broadcast((src, dst, w, on, comp))))
-    edges = checkpointed(edges)
+        del table, src, dst, w, on, comp
     comps = strong_components(edges)
     if comps is None:
         return _levels(start, edges, None)
@@ -234,7 +354,8 @@ def recurrence(start: DataFrame, edges: DataFrame, dense: int = DENSE, held: int
         return _krylov(start, edges, tolerance, most)
     s, d = comps.select(F.col("node").alias("src"), F.col("comp").alias("cs")), comps.select(F.col("node").alias("dst"), F.col("comp").alias("cd"))
     marked = checkpointed(edges.join(s, "src", "left").join(d, "dst", "left").withColumn("inner", F.coalesce(F.col("cs") == F.col("cd"), F.lit(False))))
-    inverse = checkpointed(marked.where("inner").groupBy("cs").applyInPandas(_inverse, "node long, into long, k double"))  # at most `dense` nodes a component
+    inner = marked.where("inner").select("cs", "src", "dst", "w").repartition("cs").sortWithinPartitions("cs")
+    inverse = checkpointed(inner.mapInArrow(_inverses, "node long, into long, k double"))  # at most `dense` nodes a component
     return _levels(start, marked.where("not inner").select("src", "dst", "w"), inverse)
 
 

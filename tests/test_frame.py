@@ -93,6 +93,14 @@ def test_systems_with_cycles(spark, name, way, monkeypatch):
         assert y.get(d, 0.0) == pytest.approx(1e15 * inverse[-1, j], rel=1e-8, abs=0 if name == "small" and way != "krylov" else 100)
 
 
+def test_a_graph_over_the_bound_never_comes_to_the_driver(spark, monkeypatch):
+    start = spark.createDataFrame([("m", 1, 1.0)], "grp string, node long, x double")
+    edges = spark.createDataFrame([(i, i + 1, 0.5) for i in range(1, 6)], "src long, dst long, w double")
+    monkeypatch.setattr(type(edges), "toArrow", lambda df: pytest.fail("collected"))
+    got = {r.node: r.x for r in solve.recurrence(start, edges, held=3).collect()}
+    assert got == {i: 0.5 ** (i - 1) for i in range(1, 7)}
+
+
 def test_a_cycle_that_nets_to_nothing_raises(spark):
     a, made, want = _system(spark, [(1, 1, 1.0), (2, 2, 1.0), (2, 1, -1.0), (1, 2, -1.0)])
     with pytest.raises(Exception, match="nets to nothing"):
