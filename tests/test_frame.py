@@ -101,6 +101,21 @@ def test_a_graph_over_the_bound_never_comes_to_the_driver(spark, monkeypatch):
     assert got == {i: 0.5 ** (i - 1) for i in range(1, 7)}
 
 
+def test_components_are_inverted_many_at_once(spark, monkeypatch):
+    from pyspark.sql import GroupedData
+
+    monkeypatch.setattr(GroupedData, "applyInPandas", lambda *_: pytest.fail("a call for each component"))
+    default = solve.recurrence
+    monkeypatch.setattr(solve, "recurrence", lambda start, edges, dense: default(start, edges, dense, held=-1))
+    pairs = [(n, m, -0.1 - (n % 5) / 10) for i in range(0, 60, 2) for n, m in ((i, i + 1), (i + 1, i))]
+    ring = [(100 + i, 100 + (i + 1) % 5, -0.7) for i in range(5)]
+    cells = [*((i, i, 1.0 + i % 3) for i in [*range(60), *range(100, 105)]), *pairs, *ring, (100, 7, -2.0), (9, 102, -1e-7)]
+    a, made, want = _system(spark, cells)
+    ids, inverse = _dense(cells)
+    got = {(r.demand_id, r.col_id): r.supply for r in solve.supply(a, made, want).collect()}
+    assert [got.get((d, c), 0.0) for d in ids for c in ids] == pytest.approx(inverse.T.ravel().tolist(), rel=1e-10, abs=1e-16)
+
+
 def test_a_cycle_that_nets_to_nothing_raises(spark):
     a, made, want = _system(spark, [(1, 1, 1.0), (2, 2, 1.0), (2, 1, -1.0), (1, 2, -1.0)])
     with pytest.raises(Exception, match="nets to nothing"):
