@@ -41,15 +41,16 @@ class SingularSystem(ValueError):
 
 
 def _parts(a: DataFrame, producers: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Diagonal (product_id, activity_id, made) and consumption (maker, input, amount, made, input_made).
+    """Diagonal (product_id, activity_id, made) and consumption (maker, user, input, giver, amount, made, input_made).
 
-    Products whose production nets to 0 have no diagonal. maker is the product of the consuming activity.
+    Products whose production nets to 0 have no diagonal. maker is the product of the consuming activity (user), giver
+    the activity of the input.
     """
     diagonal = a.join(producers, (a.row_id == producers.product_id) & (a.col_id == producers.activity_id)).select("product_id", "activity_id", F.col("value").alias("made"))
     diagonal = diagonal.where("made <> 0")
     by_activity = diagonal.select(F.col("activity_id").alias("col_id"), F.col("product_id").alias("maker"), "made")
-    off = a.join(by_activity, "col_id").where("row_id <> maker").select("maker", F.col("row_id").alias("input"), (-F.col("value")).alias("amount"), "made")
-    made = diagonal.select(F.col("product_id").alias("input"), F.col("made").alias("input_made"))
+    off = a.join(by_activity, "col_id").where("row_id <> maker").select("maker", F.col("col_id").alias("user"), F.col("row_id").alias("input"), (-F.col("value")).alias("amount"), "made")
+    made = diagonal.select(F.col("product_id").alias("input"), F.col("activity_id").alias("giver"), F.col("made").alias("input_made"))
     return diagonal, off.join(made, "input")
 
 
@@ -439,11 +440,16 @@ def supply(a: DataFrame, producers: DataFrame, demands: DataFrame, dense: int =
     production nets to 0, give no rows (`unsolvable` names them).
     """
     diagonal, used = _parts(a, producers)
+    n = diagonal.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("product_id").alias("p"), F.count_distinct("activity_id").alias("a")).first()
+    single = n.n == n.p == n.a  # then activities are the nodes, and the supplies, which are many, need no join to be named
+    src, dst, node = ("user", "giver", "activity_id") if single else ("maker", "input", "product_id")
     # one unit of supply of the maker's activity asks for amount / made(input) units of supply of the input's
-    edges = used.select(F.col("maker").alias("src"), F.col("input").alias("dst"), (F.col("amount") / F.col("input_made")).alias("w"))
-    start = demands.join(diagonal, "product_id").select(F.col("demand_id").alias("grp"), F.col("product_id").alias("node"), (F.col("amount") / F.col("made")).alias("x"))
+    edges = used.select(F.col(src).alias("src"), F.col(dst).alias("dst"), (F.col("amount") / F.col("input_made")).alias("w"))
+    start = demands.join(diagonal, "product_id").select(F.col("demand_id").alias("grp"), F.col(node).alias("node"), (F.col("amount") / F.col("made")).alias("x"))
     x = recurrence(start, edges, dense)
-    return x.join(diagonal.select(F.col("product_id").alias("node"), "activity_id"), "node").select(F.col("grp").alias("demand_id"), F.col("activity_id").alias("col_id"), F.col("x").alias("supply"))
+    if not single:
+        x = x.join(diagonal.select(F.col("product_id").alias("node"), "activity_id"), "node").withColumn("node", F.col("activity_id"))
+    return x.select(F.col("grp").alias("demand_id"), F.col("node").alias("col_id"), F.col("x").alias("supply"))
 
 
 def unit_scores(a: DataFrame, producers: DataFrame, per_activity: DataFrame, dense: int = DENSE) -> DataFrame:

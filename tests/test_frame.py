@@ -116,6 +116,25 @@ def test_components_are_inverted_many_at_once(spark, monkeypatch):
     assert [got.get((d, c), 0.0) for d in ids for c in ids] == pytest.approx(inverse.T.ravel().tolist(), rel=1e-10, abs=1e-16)
 
 
+def test_what_a_group_reaches_is_the_whole_solution():
+    rng = np.random.default_rng(7)
+    src, dst = rng.integers(0, 60, (2, 150))
+    keep = src < dst
+    src, dst = np.r_[src[keep], [1, 2, 3, *range(20, 30)]], np.r_[dst[keep], [0, 1, 1, *range(21, 30), 20]]  # two cycles
+    pairs, w = np.unique(np.c_[src, dst], axis=0), None
+    src, dst, w = pairs[:, 0], pairs[:, 1], rng.uniform(-0.3, 0.3, len(pairs))
+    g = solve.Graph(src, dst, w, *graph.components_of(src, dst))
+    n = len(g.nodes)
+    x, met = np.zeros((n, 5)), np.zeros((n, 5), bool)
+    node, of, v = np.array([0, 5, 20, 25, 25, n - 1]), np.array([0, 1, 2, 2, 3, 4]), np.arange(1.0, 7.0)
+    x[node, of], met[node, of] = v, True
+    g.solve(x, met)
+    group, at, value = g.spread(of, node, v, 10**6)
+    assert sorted(zip(group, at, strict=True)) == sorted((j, i) for i, j in np.argwhere(met))
+    assert value == pytest.approx(x[at, group], rel=1e-12, abs=1e-15)
+    assert g.spread(of, node, v, 10) is None
+
+
 def test_a_cycle_that_nets_to_nothing_raises(spark):
     a, made, want = _system(spark, [(1, 1, 1.0), (2, 2, 1.0), (2, 1, -1.0), (1, 2, -1.0)])
     with pytest.raises(Exception, match="nets to nothing"):
