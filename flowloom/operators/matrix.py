@@ -44,10 +44,10 @@ def biosphere_matrix(frame: DataFrame) -> DataFrame:
     return b.join(makers, "col_id", "left_semi").select("row_id", "col_id", "value")
 
 
-def characterisation(cfs: DataFrame, b: DataFrame) -> DataFrame:
-    """Q: method, row_id, cf of the flows that B has; duplicates summed."""
-    flows = b.select("row_id").distinct()
-    return cfs.groupBy("method", F.col("flow_id").alias("row_id")).agg(F.sum("cf").alias("cf")).join(flows, "row_id", "left_semi").select("method", "row_id", "cf")
+def characterisation(cfs: DataFrame, b: DataFrame | None = None) -> DataFrame:
+    """Q: method, row_id, cf of the flows that B has; duplicates summed. Without b, of all flows: a join with B drops the others."""
+    q = cfs.groupBy("method", F.col("flow_id").alias("row_id")).agg(F.sum("cf").alias("cf"))
+    return q if b is None else q.join(b.select("row_id").distinct(), "row_id", "left_semi").select("method", "row_id", "cf")
 
 
 def regional_correction(b: DataFrame, q: DataFrame, regional: DataFrame, locations: DataFrame) -> DataFrame:

@@ -63,7 +63,8 @@ def activity_contributions(s: DataFrame, b: DataFrame, q: DataFrame, corrections
     per = per_activity(b, q, corrections)
     c = s.join(per, "col_id").select("demand_id", "method", "col_id", (F.col("supply") * F.col("x")).alias("contribution")).where("contribution <> 0")
     t = c.groupBy("demand_id", "method").agg(F.sum("contribution").alias("_t"))
-    return c.join(t, ["demand_id", "method"]).select("demand_id", "method", "col_id", "contribution", F.try_divide("contribution", "_t").alias("share"))
+    # every row has its total; a left join is left out where nobody asks for the share
+    return c.join(t, ["demand_id", "method"], "left").select("demand_id", "method", "col_id", "contribution", F.try_divide("contribution", "_t").alias("share"))
 
 
 def edge_contributions(s: DataFrame, b: DataFrame, q: DataFrame, n: int | None = None) -> DataFrame:

@@ -23,8 +23,10 @@ def exchanges(spark: SparkSession, root: str) -> DataFrame:
 
 
 def emissions(spark: SparkSession, root: str) -> DataFrame:
-    b = table(spark, root, "lineitem").groupBy("l_partkey", "l_suppkey").agg((F.sum("l_quantity") / 1000).alias("amount"))
-    return b.select(F.col("l_partkey").cast("long").alias("output_id"), (F.col("l_suppkey") + FLOW_BASE).cast("long").alias("input_id"), "amount", F.lit("biosphere").alias("edge_type"), F.lit(True).alias("is_biosphere"))
+    # grouped by the columns as they are given, so that sums over them need no exchange of their own
+    keys = F.col("l_partkey").cast("long").alias("output_id"), (F.col("l_suppkey") + FLOW_BASE).cast("long").alias("input_id")
+    b = table(spark, root, "lineitem").groupBy(*keys).agg((F.sum("l_quantity") / 1000).alias("amount"))
+    return b.select("output_id", "input_id", "amount", F.lit("biosphere").alias("edge_type"), F.lit(True).alias("is_biosphere"))
 
 
 def factors(spark: SparkSession, root: str) -> DataFrame:

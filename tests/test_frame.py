@@ -135,6 +135,15 @@ def test_what_a_group_reaches_is_the_whole_solution():
     assert g.spread(of, node, v, 10) is None
 
 
+def test_a_share_that_nobody_asks_for_costs_no_join(spark, chain):
+    _, b, q, *_ = parts(spark, chain)
+    s = spark.createDataFrame([(101, 201, 1.0), (101, 202, 0.5)], "demand_id long, col_id long, supply double")
+    c = score.activity_contributions(s, b, q)
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert "_t#" in plan(c) and "_t#" not in plan(c.drop("share"))
+    assert {r.col_id: round(r.share, 6) for r in c.collect()} == {201: 0.444444, 202: 0.555556}
+
+
 def test_a_cycle_that_nets_to_nothing_raises(spark):
     a, made, want = _system(spark, [(1, 1, 1.0), (2, 2, 1.0), (2, 1, -1.0), (1, 2, -1.0)])
     with pytest.raises(Exception, match="nets to nothing"):
