@@ -144,6 +144,19 @@ def test_a_share_that_nobody_asks_for_costs_no_join(spark, chain):
     assert {r.col_id: round(r.share, 6) for r in c.collect()} == {201: 0.444444, 202: 0.555556}
 
 
+@pytest.mark.parametrize("name", ["flow_contrib", "parity_check"])
+def test_emissions_are_read_once_for_each_use(spark, tmp_path, name):
+    from flowloom.plans import scoring
+
+    for table, rows_, schema in (
+        ("part", [(p, 1) for p in range(1, 5)], "p_partkey int, p_size int"), ("lineitem", [(1, 1, 1.0)], "l_partkey int, l_suppkey int, l_quantity double"),
+        ("supplier", [(1, 1, 5.0)], "s_suppkey int, s_nationkey int, s_acctbal double"), ("nation", [(1, 1)], "n_nationkey int, n_regionkey int"),
+    ):
+        spark.createDataFrame(rows_, schema).write.parquet(str(tmp_path / f"{table}.parquet"))
+    plan = scoring.QUERIES[name](spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("l_quantity#") and sum("Relation" in x and "l_suppkey#" in x for x in plan.splitlines()) == (1 if name == "flow_contrib" else 2)
+
+
 def test_a_cycle_that_nets_to_nothing_raises(spark):
     a, made, want = _system(spark, [(1, 1, 1.0), (2, 2, 1.0), (2, 1, -1.0), (1, 2, -1.0)])
     with pytest.raises(Exception, match="nets to nothing"):
