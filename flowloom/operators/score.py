@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from flowloom.operators import flows
 from flowloom.operators.keep import top_per_group
-from flowloom.operators.solve import unit_scores
+from flowloom.operators.solve import supply, unit_scores
 
 
 def inventory(s: DataFrame, b: DataFrame) -> DataFrame:
@@ -58,6 +59,32 @@ def flow_contributions(s: DataFrame, b: DataFrame, q: DataFrame) -> DataFrame:
     return c.select("demand_id", "method", "row_id", "contribution", F.try_divide(x, total).alias("share"), F.try_divide(F.abs(x), size).alias("abs_share"))
 
 
+def demand_flow_contributions(a: DataFrame, producers: DataFrame, demands: DataFrame, b: DataFrame, q: DataFrame, share: bool = True) -> DataFrame:
+    """flow_contributions of each demand (demand_id, product_id, amount), without its supply where workers can hold the graph.
+
+    Two passes over the flows: the first sums up magnitudes for each product and method, the second gives the rows with
+    their shares; no inventory is shuffled. share: whether the share of the score is wanted too (null if not).
+    """
+    methods = flows.methods_of(q)
+    held = flows.held(a, producers, demands) if methods else None
+    if held is None or held.nodes * len(methods) > flows.HELD_SUMS:
+        return flow_contributions(supply(a, producers, demands), b, q)
+    sizes = held.table(held.sums(b, q, methods, "magnitudes"), methods)
+    totals = held.table(held.sums(b, q, methods), methods) if share else None
+    out = flows.named(held.contributions(b, q, methods, sizes, totals), methods)
+    return out.select("demand_id", "method", "row_id", "contribution", "share", "abs_share")
+
+
+def demand_parity(a: DataFrame, producers: DataFrame, demands: DataFrame, b: DataFrame, q: DataFrame, tolerance: float = 1e-9) -> DataFrame:
+    """parity of the scores of each demand by way of the activities and by way of its inventory, which is formed in whole."""
+    methods = flows.methods_of(q)
+    held = flows.held(a, producers, demands) if methods else None
+    if held is None:
+        s = supply(a, producers, demands)
+        return parity(scores(s, b, q), scores_by_inventory(s, b, q), tolerance)
+    return _errors(flows.named(held.scores(b, q, methods), methods), tolerance)
+
+
 def activity_contributions(s: DataFrame, b: DataFrame, q: DataFrame, corrections: DataFrame | None = None) -> DataFrame:
     """demand_id, method, col_id, contribution = ((Q B) + C) s, share of the corrected score."""
     per = per_activity(b, q, corrections)
@@ -83,6 +110,11 @@ def edge_contributions(s: DataFrame, b: DataFrame, q: DataFrame, n: int | None =
 def parity(a: DataFrame, b: DataFrame, tolerance: float = 1e-9) -> DataFrame:
     """method, n, max_error, ok: largest relative difference of two score tables; a missing score is an error of 1."""
     m = a.select("demand_id", "method", F.col("score").alias("x")).join(b.select("demand_id", "method", F.col("score").alias("y")), ["demand_id", "method"], "full_outer")
+    return _errors(m, tolerance)
+
+
+def _errors(m: DataFrame, tolerance: float) -> DataFrame:
+    """parity of pairs x and y."""
     top = F.greatest(F.abs("x"), F.abs("y"))
     error = F.when(F.col("x").isNull() | F.col("y").isNull(), 1.0).when(top == 0, 0.0).otherwise(F.abs(F.col("x") - F.col("y")) / top)
     return m.groupBy("method").agg(F.count(F.lit(1)).alias("n"), F.max(error).alias("max_error")).withColumn("ok", F.col("max_error") <= tolerance)

@@ -40,14 +40,14 @@ class SingularSystem(ValueError):
     """A cycle that nets to nothing: no supply, or any supply, would do."""
 
 
-def _parts(a: DataFrame, producers: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _parts(a: DataFrame, producers: DataFrame, cut: bool = False) -> tuple[DataFrame, DataFrame]:
     """Diagonal (product_id, activity_id, made) and consumption (maker, user, input, giver, amount, made, input_made).
 
     Products whose production nets to 0 have no diagonal. maker is the product of the consuming activity (user), giver
-    the activity of the input.
+    the activity of the input. cut: the diagonal is kept in the shared checkpoint folder.
     """
     diagonal = a.join(producers, (a.row_id == producers.product_id) & (a.col_id == producers.activity_id)).select("product_id", "activity_id", F.col("value").alias("made"))
-    diagonal = diagonal.where("made <> 0")
+    diagonal = checkpointed(diagonal.where("made <> 0")) if cut else diagonal.where("made <> 0")
     by_activity = diagonal.select(F.col("activity_id").alias("col_id"), F.col("product_id").alias("maker"), "made")
     off = a.join(by_activity, "col_id").where("row_id <> maker").select("maker", F.col("col_id").alias("user"), F.col("row_id").alias("input"), (-F.col("value")).alias("amount"), "made")
     made = diagonal.select(F.col("product_id").alias("input"), F.col("activity_id").alias("giver"), F.col("made").alias("input_made"))
@@ -130,8 +130,9 @@ def _whole(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]) -> Iterato
 class Graph:
     """Edges (src, dst, w) in the order in which a recurrence over them is solved."""
 
-    def __init__(self, src: np.ndarray, dst: np.ndarray, w: np.ndarray, on: np.ndarray, comp: np.ndarray):
-        self.nodes = np.unique(np.r_[src, dst])
+    def __init__(self, src: np.ndarray, dst: np.ndarray, w: np.ndarray, on: np.ndarray, comp: np.ndarray, alone: np.ndarray | None = None):
+        """alone: further nodes, which may have no edge."""
+        self.nodes = np.unique(np.r_[src, dst] if alone is None else np.r_[src, dst, alone])
         s, d = np.searchsorted(self.nodes, src), np.searchsorted(self.nodes, dst)
         n = len(self.nodes)
         unit = np.arange(n)  # what a node is settled with: itself, or its component
@@ -274,6 +275,51 @@ class _Shared:
         return self._b.value
 
 
+def _solved(graph: Graph, chunks: Iterator[tuple], rows_at_once: int = _ROWS) -> Iterator[tuple]:
+    """Names of some groups, and the solution of these: group (its place among the names), node (its place in the graph), x; what came with their chunk.
+
+    chunks: group, node's place, x, anything; rows of one group stand together in one chunk.
+    """
+    n = len(graph.nodes)
+    width = int(np.clip(_CELLS // max(1, n), 1, 256))  # groups that are filled in whole at once
+    take, filled, skip = width, 0, 0
+
+    def full(col: np.ndarray, at: np.ndarray, v: np.ndarray, groups: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        x, met = np.zeros((n, groups)), np.zeros((n, groups), bool)
+        np.add.at(x, (at, col), v)
+        met[at, col] = True
+        graph.solve(x, met)
+        i, j = np.nonzero(met)
+        return j, i, x[i, j]
+
+    for g, at, v, rest in chunks:
+        if not len(g):
+            continue
+        first, end = _slices(g)
+        names, groups = g[first], np.repeat(np.arange(len(first)), end - first)
+        lo = 0
+        while lo < len(names):
+            hi = min(lo + (width if filled else take), len(names))
+            rows = slice(first[lo], end[hi - 1])
+            want = groups[rows] - lo, at[rows], v[rows]
+            if filled:
+                filled -= 1
+                part = full(*want, hi - lo)
+            elif (part := graph.spread(*want, min(rows_at_once, max(1000, n * (hi - lo) // 8)))) is not None:
+                skip = 0
+                if len(part[0]) < rows_at_once // 4:
+                    take *= 2
+            elif hi - lo > width:
+                take = max(width, (hi - lo) // 2)
+                continue
+            else:  # groups that reach much of the graph: filled in whole, and so are more of the next each time
+                skip = filled = min(2 * skip + 1, 31)
+                take = width
+                part = full(*want, hi - lo)
+            yield names[lo:hi], *part, rest
+            lo = hi
+
+
 def _side_by_side(start: DataFrame, shared: _Shared) -> DataFrame:
     """The recurrence with the whole graph in each worker: groups are solved some at a time, each by one task."""
     kind = start.schema["grp"].dataType.simpleString()
@@ -281,55 +327,45 @@ def _side_by_side(start: DataFrame, shared: _Shared) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         graph = _held(shared)
         n = len(graph.nodes)
-        width = int(np.clip(_CELLS // max(1, n), 1, 256))  # groups that are filled in whole at once
-        take, filled, skip = width, 0, 0
-
-        def full(col: np.ndarray, at: np.ndarray, v: np.ndarray, groups: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-            x, met = np.zeros((n, groups)), np.zeros((n, groups), bool)
-            np.add.at(x, (at, col), v)
-            met[at, col] = True
-            graph.solve(x, met)
-            i, j = np.nonzero(met)
-            return j, i, x[i, j]
-
-        for g, node, v in _whole(batches, ("grp", "node", "x")):
-            first, end = _slices(g)
-            names, groups = g[first], np.repeat(np.arange(len(first)), end - first)
-            at = np.searchsorted(graph.nodes, node)
-            known = (at < n) & (graph.nodes[np.minimum(at, n - 1)] == node) if n else np.zeros(len(node), bool)
-            alone = ~known  # nodes without any edge keep what they have
-            if alone.any():
-                yield pa.RecordBatch.from_arrays([pa.array(names[groups[alone]]), pa.array(node[alone]), pa.array(v[alone])], ["grp", "node", "x"])
-            lo = 0
-            while lo < len(names):
-                hi = min(lo + (width if filled else take), len(names))
-                rows = slice(first[lo], end[hi - 1])
-                mine = known[rows]
-                want = groups[rows][mine] - lo, at[rows][mine], v[rows][mine]
-                if filled:
-                    filled -= 1
-                    part = full(*want, hi - lo)
-                elif not len(want[0]):
-                    part = None
-                elif (part := graph.spread(*want, min(_ROWS, max(1000, n * (hi - lo) // 8)))) is not None:
-                    skip = 0
-                    if len(part[0]) < _ROWS // 4:
-                        take *= 2
-                elif hi - lo > width:
-                    take = max(width, (hi - lo) // 2)
-                    continue
-                else:  # groups that reach much of the graph: filled in whole, and so are more of the next each time
-                    skip = filled = min(2 * skip + 1, 31)
-                    take = width
-                    part = full(*want, hi - lo)
-                if part is not None:
-                    yield pa.RecordBatch.from_arrays([pa.array(names[lo + part[0]]), pa.array(graph.nodes[part[1]]), pa.array(part[2])], ["grp", "node", "x"])
-                lo = hi
+        apart: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+        def chunks() -> Iterator[tuple]:
+            for g, node, v in _whole(batches, ("grp", "node", "x")):
+                at = np.searchsorted(graph.nodes, node)
+                known = (at < n) & (graph.nodes[np.minimum(at, n - 1)] == node) if n else np.zeros(len(node), bool)
+                if not known.all():  # nodes without any edge keep what they have
+                    apart.append((g[~known], node[~known], v[~known]))
+                if known.any():
+                    yield g[known], at[known], v[known], None
+
+        for names, group, at, v, _ in _solved(graph, chunks()):
+            yield pa.RecordBatch.from_arrays([pa.array(names[group]), pa.array(graph.nodes[at]), pa.array(v)], ["grp", "node", "x"])
+            while apart:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in apart.pop()], ["grp", "node", "x"])
+        while apart:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in apart.pop()], ["grp", "node", "x"])
 
     rows = start.groupBy("grp", "node").agg(F.sum("x").alias("x")).select("grp", F.col("node").cast("long").alias("node"), "x").repartition(parallelism(start.sparkSession), "grp").sortWithinPartitions("grp")  # few rows, much work: not to be merged
     return rows.mapInArrow(run, f"grp {kind}, node long, x double")
 
 
+def _counted(edges: DataFrame) -> tuple[DataFrame, int]:
+    """Edges (src, dst, w), each once, and how many they are."""
+    counted = Observation()
+    edges = checkpointed(edges.groupBy("src", "dst").agg(F.sum("w").alias("w")).observe(counted, F.count(F.lit(1)).alias("n")))
+    return edges, counted.get["n"]
+
+
+def _fetched(edges: DataFrame, dense: int) -> tuple[np.ndarray, ...] | None:
+    """What Graph takes, of a graph of known size (a larger one never comes to the driver); None if a component has more than `dense` nodes."""
+    table = edges.toArrow()
+    src, dst, w = (np.asarray(table[c].to_numpy(), t) for c, t in (("src", np.int64), ("dst", np.int64), ("w", float)))
+    on, comp = components_of(src, dst)
+    if len(comp) and np.unique(comp, return_counts=True)[1].max() > dense:
+        return None
+    return src, dst, w, on, comp
+
+
 def recurrence(start: DataFrame, edges: DataFrame, dense: int = DENSE, held: int = HELD_EDGES, tolerance: float = 1e-13, most: int = 400) -> DataFrame:
     """grp, node, x with x = start + the sum over edges (src, dst, w) of w * x(src), for each grp.
 
@@ -337,15 +373,9 @@ def recurrence(start: DataFrame, edges: DataFrame, dense: int = DENSE, held: int
     residual falls under `tolerance` of its start (NotConverged after `most` steps). A component that nets to nothing
     raises SingularSystem. Lineage is cut into the shared checkpoint folder. An empty start gives no rows.
     """
-    counted = Observation()
-    edges = checkpointed(edges.groupBy("src", "dst").agg(F.sum("w").alias("w")).observe(counted, F.count(F.lit(1)).alias("n")))
-    if counted.get["n"] <= held:  # a graph of known size; a larger one never comes to the driver
-        table = edges.toArrow()
-        src, dst, w = (np.asarray(table[c].to_numpy(), t) for c, t in (("src", np.int64), ("dst", np.int64), ("w", float)))
-        on, comp = components_of(src, dst)
-        if not len(comp) or np.unique(comp, return_counts=True)[1].max() <= dense:
-            return _side_by_side(start, _Shared(start.sparkSession.sparkContext.broadcast((src, dst, w, on, comp))))
-        del table, src, dst, w, on, comp
+    edges, n = _counted(edges)
+    if n <= held and (graph := _fetched(edges, dense)) is not None:
+        return _side_by_side(start, _Shared(start.sparkSession.sparkContext.broadcast(graph)))
     comps = strong_components(edges)
     if comps is None:
         return _levels(start, edges, None)

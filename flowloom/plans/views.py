@@ -29,6 +29,11 @@ def emissions(spark: SparkSession, root: str) -> DataFrame:
     return b.select("output_id", "input_id", "amount", F.lit("biosphere").alias("edge_type"), F.lit(True).alias("is_biosphere"))
 
 
+def emitted(spark: SparkSession, root: str) -> DataFrame:
+    """row_id, col_id, value: B with several rows for a cell, for what sums them up anyway, so that they need no exchange before."""
+    return table(spark, root, "lineitem").select((F.col("l_suppkey") + FLOW_BASE).cast("long").alias("row_id"), F.col("l_partkey").cast("long").alias("col_id"), (F.col("l_quantity") / 1000).alias("value"))
+
+
 def factors(spark: SparkSession, root: str) -> DataFrame:
     s = table(spark, root, "supplier").join(table(spark, root, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
     return s.select(F.concat(F.lit("m"), F.col("n_regionkey").cast("string")).alias("method"), (F.col("s_suppkey") + FLOW_BASE).cast("long").alias("flow_id"), (F.col("s_acctbal") / 1000).alias("cf"))

@@ -157,6 +157,34 @@ def test_emissions_are_read_once_for_each_use(spark, tmp_path, name):
     assert plan.count("l_quantity#") and sum("Relation" in x and "l_suppkey#" in x for x in plan.splitlines()) == (1 if name == "flow_contrib" else 2)
 
 
+def _asked(spark):
+    """A system with a cycle, emissions of both signs (a cell in two rows), a flow of two methods, and two demands for a product."""
+    cells = [*((i, i, 1.0 + i % 3) for i in range(9)), (1, 0, -0.4), (0, 1, -0.3), (2, 1, -0.5), (5, 2, 0.2), (6, 5, -2.0), (7, 5, -0.1), (3, 7, -1.0)]
+    a, made, _ = _system(spark, cells)
+    want = spark.createDataFrame([(100 + i, i % 9, 0.5 + i) for i in range(11)] + [(300, 77, 1.0)], "demand_id long, product_id long, amount double")
+    b = spark.createDataFrame([(40 + (i * 7) % 5, i % 8, (i % 4 - 1.5) / 3) for i in range(30)] + [(49, 3, 2.0), (41, 99, 1.0)], "row_id long, col_id long, value double")
+    q = spark.createDataFrame([("m", 40, 1.5), ("m", 41, -2.0), ("k", 41, 0.5), ("k", 43, 3.0), ("z", 43, 1.0), ("z", 48, 1.0)], "method string, row_id long, cf double")
+    return a, made, want, b, q
+
+
+def test_scores_by_inventory_shuffle_sums_only(spark, rows, monkeypatch):
+    from flowloom.operators import flows
+
+    a, made, want, b, q = _asked(spark)
+    s = solve.supply(a, made, want)
+    old = {(r.demand_id, r.method): r.score for r in score.scores(s, b, q).collect()}
+    held, methods = flows.held(a, made, want), flows.methods_of(q)
+    got = {(r.demand_id, r.method): (r.x, r.y) for r in flows.named(held.scores(b, q, methods), methods).collect()}
+    assert got.keys() == old.keys()
+    for key, pair in got.items():
+        assert pair == (pytest.approx(old[key], rel=1e-9, abs=1e-12), pytest.approx(old[key], rel=1e-9, abs=1e-12))
+    monkeypatch.setattr(flows, "HELD_SUMS", 0)  # sums are given out in parts
+    assert {(r.demand_id, r.method) for r in flows.named(held.scores(b, q, methods), methods).collect()} == old.keys()
+    monkeypatch.setattr(score, "inventory", lambda *_: pytest.fail("an inventory is shuffled"))
+    n = {m: sum(k[1] == m for k in old) for m in methods}
+    assert [r[:2] for r in rows(score.demand_parity(a, made, want, b, q))] == [(m, n[m]) for m in methods]
+
+
 def test_a_cycle_that_nets_to_nothing_raises(spark):
     a, made, want = _system(spark, [(1, 1, 1.0), (2, 2, 1.0), (2, 1, -1.0), (1, 2, -1.0)])
     with pytest.raises(Exception, match="nets to nothing"):
