@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from flowloom.operators import flows
 from flowloom.operators.keep import top_per_group
 from flowloom.operators.solve import supply, unit_scores
+from flowloom.session import let_go
 
 
 def inventory(s: DataFrame, b: DataFrame) -> DataFrame:
@@ -71,6 +72,7 @@ def demand_flow_contributions(a: DataFrame, producers: DataFrame, demands: DataF
         return flow_contributions(supply(a, producers, demands), b, q)
     sizes = held.table(held.sums(b, q, methods, "magnitudes"), methods)
     totals = held.table(held.sums(b, q, methods), methods) if share else None
+    let_go(b.sparkSession)  # what the first pass shuffled
     out = flows.named(held.contributions(b, q, methods, sizes, totals), methods)
     return out.select("demand_id", "method", "row_id", "contribution", "share", "abs_share")
 

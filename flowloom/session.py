@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import math
 import tempfile
 
@@ -46,6 +47,12 @@ def shared_folder(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="flowloom-")
 
 
+def let_go(spark: SparkSession) -> None:
+    """Have Spark remove the shuffle files that nothing refers to any more, which it else does when the driver collects its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def parallelism(spark: SparkSession) -> int:
     """Shuffle partitions of the session, never under 1."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))

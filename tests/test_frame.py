@@ -185,6 +185,16 @@ def test_scores_by_inventory_shuffle_sums_only(spark, rows, monkeypatch):
     assert [r[:2] for r in rows(score.demand_parity(a, made, want, b, q))] == [(m, n[m]) for m in methods]
 
 
+def test_flow_contributions_shuffle_no_inventory(spark, monkeypatch):
+    a, made, want, b, q = _asked(spark)
+    get = lambda df: {(r.demand_id, r.method, r.row_id): r[3:] for r in df.where("abs(contribution) > 1e-12").collect()}
+    old = get(score.flow_contributions(solve.supply(a, made, want), b, q))
+    monkeypatch.setattr(score, "inventory", lambda *_: pytest.fail("an inventory is shuffled"))
+    got = get(score.demand_flow_contributions(a, made, want, b, q))
+    assert got.keys() == old.keys()
+    assert all(got[k] == pytest.approx(old[k], rel=1e-9, abs=1e-12) for k in old)
+
+
 def test_a_cycle_that_nets_to_nothing_raises(spark):
     a, made, want = _system(spark, [(1, 1, 1.0), (2, 2, 1.0), (2, 1, -1.0), (1, 2, -1.0)])
     with pytest.raises(Exception, match="nets to nothing"):
